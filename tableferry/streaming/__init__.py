@@ -1,0 +1 @@
+"""Every source this package reads is a static table, so there is no streaming operator."""
