@@ -1,0 +1,40 @@
+"""Every registered query against its SQL oracle, on the smallest tables."""
+
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from check import rows_of
+from conftest import SF_DIR
+from tableferry.plans.queries import TABLES
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
+    yield connection
+    connection.close()
+
+
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query(spark, db, name):
+    result = queries()[name](spark, SF_DIR)
+    want = db.sql(oracle_sql()[name])
+    assert sorted(result.columns) == sorted(want.columns)
+    assert rows_of(result.columns, result.collect()) == rows_of(want.columns, want.fetchall())
+
+
+def test_entry(spark):
+    result = entry(spark)
+    assert result.columns[0] == "order_key" and result.count() > 0
+
+
+def test_queries_leave_no_tables_behind(spark):
+    queries()["overwrite_partition"](spark, SF_DIR)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tableferry_")]
