@@ -35,8 +35,8 @@ def _latest(value: Column, order_by: list[str] | None) -> Column:
         return F.when(
             F.count(value) > 1, F.raise_error(F.lit("a key repeats: name the order of its rows with order_by"))
         ).otherwise(F.max(value))
-    rank = F.struct(*[F.col(quoted(c)) for c in order_by], value)
-    return F.max_by(value, F.when(value.isNotNull(), rank))
+    ranked = F.struct(*[F.col(quoted(c)).alias(f"_order_{i}") for i, c in enumerate(order_by)], value.alias("_value"))
+    return F.max(F.when(value.isNotNull(), ranked))["_value"]
 
 
 def _expiring(df: DataFrame, expire_ms: int | None) -> DataFrame:

@@ -20,6 +20,7 @@ from tableferry.operators.columns import normalize_types, plain_names, prune_col
 from tableferry.session import setting
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error")
+OPEN_FILES = 16
 REPORT = "table_name string, partition string, n_rows bigint"
 
 
@@ -45,7 +46,7 @@ def partition_spec(
 
 
 def _spec_sql(spec: Mapping[str, str]) -> str:
-    return ", ".join(f"{quoted(k)}={_text(v)}" for k, v in spec.items())
+    return ", ".join(f"{quoted(k)}={'null' if v is None else _text(v)}" for k, v in spec.items())
 
 
 def _partition_keys(spark: SparkSession, table: str) -> list[str]:
@@ -128,13 +129,19 @@ def _publish(df: DataFrame, table: str, keys: Sequence[str]) -> tuple[int, set[t
     """Replace exactly the partitions ``df`` has rows for; returns rows written and those partitions.
 
     The set holds one entry per touched partition, as the catalog itself does.
+    Tasks keep a few files open instead of sorting their rows by partition:
+    most write to one partition only, and Spark sorts by itself beyond that.
     """
     seen = Observation()
     part = F.struct(*[F.col(quoted(k)) for k in keys]) if keys else F.lit(None)
     watched = _by_name(df, table).observe(
         seen, F.count(F.lit(1)).alias("n_rows"), F.collect_set(part).alias("parts")
     )
-    with setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    spark = df.sparkSession
+    with (
+        setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"),
+        setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)),
+    ):
         watched.write.mode("overwrite").insertInto(table)
     found = seen.get
     return found["n_rows"], {tuple(p) for p in found["parts"]}
@@ -278,6 +285,18 @@ def _location(spark: SparkSession, table: str) -> str:
     return described.where("col_name = 'Location'").first()["data_type"]
 
 
+def _any_partition(keys: Sequence[str], parts: list[tuple]) -> Column:
+    """True for rows of the given partitions; a balanced condition however many there are."""
+    if not parts:
+        return F.lit(False)
+    if len(parts) == 1:
+        return reduce(
+            lambda a, b: a & b, [F.col(quoted(k)).eqNullSafe(F.lit(v)) for k, v in zip(keys, parts[0])]
+        )
+    half = len(parts) // 2
+    return _any_partition(keys, parts[:half]) | _any_partition(keys, parts[half:])
+
+
 def delete_then_write(df: DataFrame, table: str, delete_where: str | Column | None = None) -> DataFrame:
     """Remove the rows matching ``delete_where``, then append ``df``, as one change.
 
@@ -302,13 +321,11 @@ def delete_then_write(df: DataFrame, table: str, delete_where: str | Column | No
     kept = stored.where(~F.coalesce(delete_where, F.lit(False)))
     if keys:
         names = [quoted(k) for k in keys]
-        hit = stored.where(delete_where).select(names).distinct()
-        concerned = hit.union(rows.select(names)).distinct().select([F.col(n).alias(f"_p{i}") for i, n in enumerate(names)])
-        same = reduce(
-            lambda a, b: a & b, [kept[n].eqNullSafe(concerned[f"_p{i}"]) for i, n in enumerate(names)]
-        )
-        touched = {tuple(r) for r in hit.collect()}
-        n_rows, written = _publish(kept.join(concerned, same, "left_semi").unionByName(rows), table, keys)
+        touched = {tuple(r) for r in stored.where(delete_where).select(names).distinct().collect()}
+        entered = {tuple(r) for r in rows.select(names).distinct().collect()}
+        # Literal values prune the scan to the partitions that will be written again.
+        concerned = _any_partition(keys, sorted(touched | entered, key=repr))
+        n_rows, written = _publish(kept.where(concerned).unionByName(rows), table, keys)
         for part in touched - written:
             _clear(spark, table, dict(zip(keys, part)))
         return _delete_report(spark, table, n_rows, None)

@@ -4,8 +4,8 @@ import os
 import pytest
 from pyspark.errors import PythonException
 
-from tableferry.operators.keyed import kv_set
 from tableferry.sinks.bulk import batch_plan, write_bulk
+from tableferry.sinks.stores import publish_conformed, publish_keyed
 
 
 def writer_to(folder, fail_on=(), code=210, times=1):
@@ -106,12 +106,24 @@ def test_other_errors_are_not_retried_even_when_dropping(spark, folder):
         )
 
 
+def sent(folder):
+    return sorted(tuple(r.values()) for log in logs(folder) for batch in log[:-1] for r in batch)
+
+
 def test_key_value_entries_are_published(spark, folder):
     df = spark.createDataFrame([("k", "a"), ("k", "a"), ("k", "b")], "k string, v string")
-    report = write_bulk(kv_set(df, expire_ms=5), writer_to(folder), bulk_size=1000)
+    report = publish_keyed(df, writer_to(folder), "set", expire_ms=5)
     assert report.first()["n_rows"] == 2
-    sent = sorted((r["key"], r["member"], r["expire_ms"]) for log in logs(folder) for b in log[:-1] for r in b)
-    assert sent == [("k", "a", 5), ("k", "b", 5)]
+    assert sent(folder) == [("k", "set", None, "a", 5), ("k", "set", None, "b", 5)]
+
+
+def test_conformed_rows_are_published_with_retries(spark, folder):
+    df = spark.range(3).selectExpr("id", "if(id = 1, null, id) as n").coalesce(1)
+    report = publish_conformed(
+        df, writer_to(folder, fail_on=[0]), {"id": "Int64", "n": "Int32"}, bulk_size=2, retry=3, retry_codes=[210]
+    )
+    assert tuple(report.first()) == (3, 2, 1, 0, 0)
+    assert sent(folder) == [(0, 0), (1, 0), (2, 2)]
 
 
 def test_wrong_arguments(spark, folder):

@@ -4,7 +4,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tableferry.session import setting
 from tableferry.sinks.tables import (
+    _any_partition,
     delete_then_write,
     ensure_table,
     merge_shards,
@@ -229,3 +231,31 @@ def test_delete_then_write_rewrites_only_partitions_concerned(spark, new_table,
     ]
     assert set(spark.table(table).where("dt = 'c'").inputFiles()) == before
     assert "dt=b" not in [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
+def test_delete_then_write_reads_only_partitions_concerned(spark, new_table):
+    table = new_table()
+    for dt in "abc":
+        overwrite_partition(spark.range(3), table, {"dt": dt})
+    plan = spark.table(table).where(_any_partition(["dt"], [("a",), ("c",)]))._jdf.queryExecution()
+    filters = plan.executedPlan().toString().split("PartitionFilters: [")[1]
+    assert "dt" in filters.split("], PushedFilters")[0]
+
+
+def test_rows_without_a_partition_value(spark, new_table, rows):
+    table = new_table()
+    overwrite_partition(spark.range(1), table, {"dt": "a"})
+    delete_then_write(spark.sql("select 5L id, cast(null as string) dt"), table, "id = 9")
+    assert rows(spark.table(table)) == [(0, "a"), (5, None)]
+    delete_then_write(spark.sql("select 6L id, 'a' dt"), table, "dt is null")
+    assert rows(spark.table(table)) == [(0, "a"), (6, "a")]
+
+
+def test_partition_writes_do_not_sort(spark, new_table):
+    table = new_table()
+    ensure_table(spark, table, spark.range(1).schema, ["shard"])
+    union_shards({"a": spark.range(2), "b": spark.range(3)}).createOrReplaceTempView("merged")
+    sql = f"EXPLAIN INSERT OVERWRITE {table} PARTITION (shard) SELECT id, shard FROM merged"
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "16"):
+        assert "Sort [" not in spark.sql(sql).first()[0]
+    assert "Sort [" in spark.sql(sql).first()[0]
