@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.operators.columns import quoted
 
@@ -21,9 +22,20 @@ def _order(order_by: Sequence[str] | str) -> list[str]:
     return [order_by] if isinstance(order_by, str) else list(order_by)
 
 
-def _key(df: DataFrame) -> Column:
-    key = F.col(quoted(df.columns[0])).cast("string")
-    return F.when(key.isNull(), F.raise_error(F.lit("an entry has no key"))).otherwise(key)
+# Different values of these types have different texts, so rows can be grouped
+# before the cast, on the cheaper value.
+_TEXT_KEEPS_APART = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.DecimalType)
+
+
+def _grouping(df: DataFrame, position: int) -> Column:
+    field = df.schema.fields[position]
+    column = F.col(quoted(field.name))
+    return column if isinstance(field.dataType, _TEXT_KEEPS_APART) else column.cast("string")
+
+
+def _key_text(column: str) -> Column:
+    key = F.col(column).cast("string")
+    return F.when(key.isNull(), F.raise_error(F.lit("an entry has no key"))).otherwise(key).alias("key")
 
 
 def _latest(value: Column, order_by: list[str] | None) -> Column:
@@ -61,9 +73,10 @@ def kv_string(
     order_by = _order(order_by) if order_by else None
     value = F.col(quoted(df.columns[1])).cast("string")
     latest = (
-        df.groupBy(_key(df).alias("key"))
+        df.groupBy(_grouping(df, 0).alias("_key"))
         .agg(_latest(value, order_by).alias("value"))
         .where(F.col("value").isNotNull())
+        .select(_key_text("_key"), "value")
     )
     return _expiring(latest, expire_ms)
 
@@ -85,14 +98,14 @@ def kv_hash(
     if not names:
         raise ValueError("a hash needs at least one field column")
     slots = [f"_field_{i}" for i in range(len(names))]
-    wide = df.groupBy(_key(df).alias("key")).agg(
+    wide = df.groupBy(_grouping(df, 0).alias("_key")).agg(
         *[
             _latest(F.col(quoted(name)).cast("string"), order_by).alias(slot)
             for name, slot in zip(names, slots)
         ]
     )
     pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(s).alias("value")) for n, s in zip(names, slots)])
-    entries = wide.select("key", F.inline(pairs)).where(F.col("value").isNotNull())
+    entries = wide.select(_key_text("_key"), F.inline(pairs)).where(F.col("value").isNotNull())
     return _expiring(entries, expire_ms)
 
 
@@ -101,9 +114,9 @@ def kv_set(df: DataFrame, expire_ms: int | None = None) -> DataFrame:
 
     Members stay rows, so a key may have any number of them.
     """
-    member = F.col(quoted(df.columns[1])).cast("string").alias("member")
-    pairs = df.select(_key(df).alias("key"), member).where(F.col("member").isNotNull()).distinct()
-    return _expiring(pairs, expire_ms)
+    pairs = df.select(_grouping(df, 0).alias("_key"), _grouping(df, 1).alias("_member"))
+    pairs = pairs.where(F.col("_member").isNotNull()).distinct()
+    return _expiring(pairs.select(_key_text("_key"), F.col("_member").cast("string").alias("member")), expire_ms)
 
 
 def keyed_entries(

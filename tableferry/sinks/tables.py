@@ -1,8 +1,9 @@
 """Publishing DataFrames as parquet tables of the session catalog.
 
-Writes go to a staging folder and are moved into place when the job commits,
-so a failed or repeated run leaves either the old or the new data. Nothing is
-shuffled unless a layout is asked for: each write task writes the rows it read.
+A partition is written to a staging folder and moved into place when the job
+commits, so a failed run leaves the old partition. Overwriting a table without
+partitions clears it first, as Spark does. Nothing is shuffled unless a layout
+is asked for: each write task writes the rows it read.
 """
 
 from __future__ import annotations

@@ -47,6 +47,27 @@ def read_documents(spark: SparkSession, path: str, schema: SchemaSpec | None = N
     return reader.json(path)
 
 
+def read_collection(
+    spark: SparkSession,
+    uri: str,
+    database: str,
+    collection: str,
+    schema: SchemaSpec | None = None,
+    **options: str,
+) -> DataFrame:
+    """A collection of a document store, through the ``mongodb`` data source.
+
+    The connector must be on the cluster's class path. Without a schema it
+    infers one.
+    """
+    reader = spark.read.format("mongodb").options(
+        **{"connection.uri": uri, "database": database, "collection": collection, **options}
+    )
+    if schema is not None:
+        reader = reader.schema(document_schema(schema))
+    return reader.load()
+
+
 # Outside back-quoted names, variant types read as column types after these replacements.
 _VARIANT_WORDS = {"OBJECT": "STRUCT", "VOID": "STRING"}
 

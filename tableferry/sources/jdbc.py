@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.operators.columns import prune_columns, select_list
+from tableferry.operators.conform import target_schema
 from tableferry.operators.splits import KeyBounds, mod_predicates, range_predicates, read_bounds
 from tableferry.sources.catalog import with_comments
 
@@ -134,6 +135,13 @@ def jdbc_comments(spark: SparkSession, link: JdbcLink, database: str, table: str
     return {row[0]: row[1] or "" for row in found.collect()}
 
 
+def target_types(spark: SparkSession, link: JdbcLink, database: str, table: str) -> dict[str, str]:
+    """Column name to type text of a column-store table, from its own catalog."""
+    columns = link.load(spark, dbtable="system.columns")
+    described = columns.where((F.col("database") == database) & (F.col("table") == table)).select("name", "type")
+    return target_schema(described)
+
+
 def read_jdbc_shards(
     spark: SparkSession,
     link: JdbcLink,

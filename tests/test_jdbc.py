@@ -9,6 +9,7 @@ from functools import reduce
 import pytest
 from pyspark.sql import DataFrame
 
+from tableferry.operators.conform import conform
 from tableferry.sinks.jdbc import delete_then_write_jdbc, save_jdbc
 from tableferry.sinks.tables import merge_shards
 from tableferry.sources.catalog import column_report
@@ -20,6 +21,7 @@ from tableferry.sources.jdbc import (
     read_jdbc_ranges,
     read_jdbc_residues,
     read_jdbc_shards,
+    target_types,
 )
 
 LINK = JdbcLink("jdbc:some:db", "reader", "hush", driver="some.Driver", options={"fetchsize": "500"})
@@ -68,6 +70,10 @@ def reader(spark):
             [("db", "people", "id", "the key's name"), ("db", "people", "age", None), ("db", "p_0", "id", "no")],
             "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, COLUMN_COMMENT string",
         ),
+        "system.columns": spark.createDataFrame(
+            [("db", "t", "id", "UInt64"), ("db", "t", "n", "Nullable(Int8)"), ("db", "u", "id", "String")],
+            "database string, table string, name string, type string",
+        ),
     }
     for name, df in tables.items():
         if "." not in name:
@@ -123,6 +129,12 @@ def test_tables_of_a_database(reader, rows):
     assert rows(list_jdbc_tables(reader, LINK, "db", "^p_")) == [("P_1",), ("p_0",)]
 
 
+def test_types_of_a_target_table(reader, spark):
+    target = target_types(reader, LINK, "db", "t")
+    assert target == {"id": "UInt64", "n": "Nullable(Int8)"}
+    assert tuple(conform(spark.range(1), target, ["id", "n"]).first()) == (0, None)
+
+
 def test_shards_are_probed_in_one_query_and_merged(reader, spark, rows, new_table):
     shards = read_jdbc_shards(reader, LINK, ["p_0", "p_1", "p_2"], "id", 3, where="id > 1")
     assert len([c for c in reader.calls if "query" in c]) == 1

@@ -74,3 +74,10 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
         assert "partial_max(" in below or "HashAggregate(keys=" in below
         assert "Python" not in plan
     assert kv_string(df, "at").first()["value"] == "99"
+
+
+def test_keys_with_the_same_text_are_one_key(spark, rows):
+    df = spark.sql("select map('a', 1) k, 'x' v, 1 at union all select map('a', 1), 'y', 2")
+    assert rows(kv_set(df.selectExpr("to_json(k) k", "v"))) == [('{"a":1}', "x"), ('{"a":1}', "y")]
+    moments = spark.sql("select timestamp_ntz '2024-01-01 00:00:00' k, 'x' v, 1 at union all select timestamp_ntz '2024-01-01', 'y', 2")
+    assert rows(kv_string(moments, "at")) == [("2024-01-01 00:00:00", "y")]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 from tableferry.sources.catalog import column_report, list_tables, with_comments
-from tableferry.sources.documents import document_schema, inferred_schema, parse_documents, read_documents
+from tableferry.sources.documents import document_schema, inferred_schema, parse_documents, read_collection, read_documents
 
 PEOPLE = ['{"name": "Ann"}', '{"name": "Bo", "age": 30}', '{"name": "Cy", "age": 19}']
 
@@ -36,6 +36,40 @@ def test_document_files(spark, tmp_path, rows):
     assert rows(declared) == [("Ann", None, None), ("Bo", 30, None), ("Cy", 19, None)]
 
 
+class Reader:
+    def __init__(self):
+        self.seen = {}
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen.update(options)
+        return self
+
+    def schema(self, schema):
+        self.seen["schema"] = schema.simpleString()
+        return self
+
+    def load(self):
+        return self.seen
+
+
+def test_collections_are_read_through_the_connector():
+    plain = read_collection(Reader(), "mongodb://host", "db", "people", batchSize="10")
+    assert plain == {
+        "format": "mongodb", "connection.uri": "mongodb://host", "database": "db", "collection": "people",
+        "batchSize": "10",
+    }
+    declared = read_collection(Reader(), "mongodb://host", "db", "people", '{"name": "string", "age": "int"}')
+    assert declared["schema"] == "struct<name:string,age:int>"
+
+
 def test_schema_descriptions():
     nested = document_schema('{"a": "string", "b": {"c": "double"}, "d": ["int"], "e": [{"f": "bigint"}]}')
     assert nested.simpleString() == "struct<a:string,b:struct<c:double>,d:array<int>,e:array<struct<f:bigint>>>"
