@@ -86,19 +86,28 @@ class TargetType:
             return now.cast(self.spark)
         return F.lit(self.fill).cast(self.spark)
 
+    def _fitted(self, column: Column) -> Column:
+        fitted = column.try_cast(self.spark)
+        if self.upper is None:
+            return fitted
+        return F.when(fitted.between(F.lit(0), F.lit(str(self.upper)).cast(self.spark)), fitted)
+
+    def unfit(self, column: Column) -> Column:
+        """True where there is a value and the type cannot hold it."""
+        if self.element is not None:
+            return F.coalesce(F.exists(column, self.element.unfit), F.lit(False))
+        return column.isNotNull() & self._fitted(column).isNull()
+
     def encode(self, column: Column, now: Column, strict: bool = True) -> Column:
-        """Cast present values; nulls, and with ``strict=False`` unfit values, are filled."""
-        present = column.cast(self.spark) if strict else column.try_cast(self.spark)
-        if self.upper is not None:
-            fits = present.between(F.lit(0), F.lit(str(self.upper)).cast(self.spark))
-            unfit = (
-                F.raise_error(F.concat(F.lit(f"out of range for {self.text}: "), column.cast("string")))
-                if strict
-                else F.lit(None).cast(self.spark)
-            )
-            present = F.when(present.isNull() | fits, present).otherwise(unfit)
+        """Cast present values and fill nulls. An unfit value is an error, or
+        with ``strict=False`` filled like a null, whether or not ANSI mode is on."""
         if self.element is not None:
-            present = F.transform(present, lambda item: self.element.encode(item, now, strict))
+            present = F.transform(column, lambda item: self.element.encode(item, now, strict))
+        else:
+            present = self._fitted(column)
+            if strict:
+                message = F.concat(F.lit(f"value does not fit {self.text}: "), column.cast("string"))
+                present = F.when(self.unfit(column), F.raise_error(message)).otherwise(present)
         return present if self.nullable else F.coalesce(present, self.fill_column(now))
 
 

@@ -19,7 +19,7 @@ def target_schema(description: DataFrame) -> dict[str, str]:
 
 
 def _now(now: dt.datetime | None) -> Column:
-    return F.lit(now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+    return F.lit(now or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
 
 
 def _verdict(field: str, target: Mapping[str, str], df: DataFrame) -> tuple[str, TargetType | None]:
@@ -38,16 +38,14 @@ def conform_report(df: DataFrame, target: Mapping[str, str], fields: Sequence[st
     ``n_filled`` counts rows that take the default (or NULL), ``n_unfit`` rows
     whose value does not fit the target type. All counts come from one pass.
     """
-    now = _now(None)
     rows = []
     for field in fields or df.columns:
         verdict, kind = _verdict(field, target, df)
         filled, unfit = F.lit(0), F.lit(0)
         if verdict == "ok":
             value = F.col(quoted(field))
-            as_nullable = TargetType(kind.text, kind.spark, None, True, kind.upper, kind.element)
             filled = F.count_if(value.isNull())
-            unfit = F.count_if(value.isNotNull() & as_nullable.encode(value, now, strict=False).isNull())
+            unfit = F.count_if(kind.unfit(value))
         elif kind is not None:
             filled = F.count(F.lit(1))
         rows.append((field, target.get(field), verdict, filled, unfit))

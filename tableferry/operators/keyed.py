@@ -41,11 +41,12 @@ def _key_text(column: str) -> Column:
 def _latest(value: Column, order_by: list[str] | None) -> Column:
     """The value of the last row that has one; equal order falls to the greater value.
 
-    With no order a key may have one value only, else the query fails.
+    With no order a key may have one distinct value only, else the query fails.
     """
     if order_by is None:
         return F.when(
-            F.count(value) > 1, F.raise_error(F.lit("a key repeats: name the order of its rows with order_by"))
+            F.min(value) != F.max(value),
+            F.raise_error(F.lit("a key has several values: name the order of its rows with order_by")),
         ).otherwise(F.max(value))
     ranked = F.struct(*[F.col(quoted(c)).alias(f"_order_{i}") for i, c in enumerate(order_by)], value.alias("_value"))
     return F.max(F.when(value.isNotNull(), ranked))["_value"]

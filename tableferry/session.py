@@ -35,9 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="tableferry-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tableferry-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -245,8 +245,8 @@ def merge_shards(
     """
     spark, spec = next(iter(shards.values())).sparkSession, partition_spec(partition)
     if columns:
-        plain = all(c.isidentifier() for c in plain_names(columns))
-        pick = prune_columns if plain else select_list
+        known = {c for df in shards.values() for c in df.columns}
+        pick = prune_columns if known.issuperset(plain_names(columns)) else select_list
         shards = {name: pick(df, columns) for name, df in shards.items()}
     merged = union_shards(shards)
     keys = [*spec, "shard"]

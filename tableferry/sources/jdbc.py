@@ -17,6 +17,8 @@ from tableferry.operators.conform import target_schema
 from tableferry.operators.splits import KeyBounds, mod_predicates, range_predicates, read_bounds
 from tableferry.sources.catalog import with_comments
 
+PROBES_PER_QUERY = 200
+
 
 @dataclass(frozen=True)
 class JdbcLink:
@@ -152,17 +154,17 @@ def read_jdbc_shards(
 ) -> dict[str, DataFrame]:
     """Every table of a sharded set as a split read, ready to be merged.
 
-    One query fetches the bounds of all shards.
+    One query fetches the bounds of up to ``PROBES_PER_QUERY`` shards.
     """
     tables = list(tables)
-    if not tables:
-        return {}
-    probes = " UNION ALL ".join(
-        f"SELECT {i} AS shard_no, max({key}) AS max_key, min({key}) AS min_key FROM {table}{_where(where)}"
-        for i, table in enumerate(tables)
-    )
-    probe = _bounds_columns(link.load(spark, query=probes))
-    bounds = {row["shard_no"]: KeyBounds.of(row["min_key"], row["max_key"]) for row in probe.collect()}
+    bounds: dict[int, KeyBounds] = {}
+    for start in range(0, len(tables), PROBES_PER_QUERY):
+        probes = " UNION ALL ".join(
+            f"SELECT {i} AS shard_no, max({key}) AS max_key, min({key}) AS min_key FROM {table}{_where(where)}"
+            for i, table in enumerate(tables[start : start + PROBES_PER_QUERY], start)
+        )
+        probe = _bounds_columns(link.load(spark, query=probes))
+        bounds.update({r["shard_no"]: KeyBounds.of(r["min_key"], r["max_key"]) for r in probe.collect()})
     return {
         table: spark.read.jdbc(
             link.url,

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 
 from tableferry.functions.types import UnsupportedTargetType, target_type
 from tableferry.operators.conform import conform, conform_report, target_schema
+from tableferry.session import setting
 
 NOW = dt.datetime(2024, 5, 6, 7, 8, 9)
 
@@ -81,6 +82,33 @@ def test_values_that_do_not_fit(spark, kind, good, bad):
     assert (report["verdict"], report["n_filled"], report["n_unfit"]) == ("ok", 0, 1)
 
 
+def test_unfit_values_are_errors_without_ansi_mode_too(spark):
+    with setting(spark, "spark.sql.ansi.enabled", "false"):
+        df = spark.createDataFrame([("300",), ("x",)], "x string")
+        for kind in ("Int8", "Nullable(Int8)"):
+            with pytest.raises(PySparkException, match="does not fit"):
+                conform(df, {"x": kind}).collect()
+        assert [r["x"] for r in conform(df, {"x": "Nullable(Int8)"}, strict=False).collect()] == [None, None]
+
+
+def test_unfit_array_elements(spark):
+    df = spark.createDataFrame([([1, 300, None],), ([2],), (None,)], "x array<int>")
+    with pytest.raises(PySparkException, match="does not fit UInt8: 300"):
+        conform(df, {"x": "Array(UInt8)"}).collect()
+    assert [r["x"] for r in conform(df, {"x": "Array(UInt8)"}, strict=False).collect()] == [[1, 0, 0], [2], []]
+    report = conform_report(df, {"x": "Array(Nullable(UInt8))"}).first()
+    assert (report["n_filled"], report["n_unfit"]) == (1, 1)
+    nested = spark.createDataFrame([([["1"], None],)], "x array<array<string>>")
+    assert conform(nested, {"x": "Array(Array(Int64))"}).first()["x"] == [[1], []]
+
+
+def test_one_now_for_all_rows(spark):
+    out = conform(spark.range(3), {"id": "Int64", "t": "DateTime", "d": "Date"}, ["id", "t", "d"])
+    found = {(r["t"], r["d"]) for r in out.collect()} | {(r["t"], r["d"]) for r in out.collect()}
+    ((moment, day),) = found
+    assert abs(moment - dt.datetime.now()) < dt.timedelta(minutes=5) and day == moment.date()
+
+
 def test_report(spark, rows):
     df = spark.createDataFrame([(1, "1"), (None, "x")], "a int, b string")
     target = {"a": "Int32", "b": "Nullable(Int32)", "c": "String", "d": "UUID"}

@@ -13,6 +13,7 @@ from tableferry.operators.conform import conform
 from tableferry.sinks.jdbc import delete_then_write_jdbc, save_jdbc
 from tableferry.sinks.tables import merge_shards
 from tableferry.sources.catalog import column_report
+from tableferry.sources import jdbc
 from tableferry.sources.jdbc import (
     JdbcLink,
     jdbc_bounds,
@@ -144,6 +145,13 @@ def test_shards_are_probed_in_one_query_and_merged(reader, spark, rows, new_tabl
     assert read_jdbc_shards(reader, LINK, [], "id", 3) == {}
 
 
+def test_many_shards_are_probed_in_several_queries(reader, monkeypatch):
+    monkeypatch.setattr(jdbc, "PROBES_PER_QUERY", 2)
+    shards = read_jdbc_shards(reader, LINK, ["p_0", "p_1", "p_2"], "id", 2)
+    assert len([c for c in reader.calls if "query" in c]) == 2
+    assert [df.count() for df in shards.values()] == [2, 1, 0]
+
+
 class Writes:
     """A DataFrame stand-in that notes how it is written."""
 

@@ -23,6 +23,11 @@ def test_repeating_keys_need_an_order(spark):
             entries.collect()
 
 
+def test_equal_rows_need_no_order(spark, rows):
+    df = spark.createDataFrame([("k", "a"), ("k", "a"), ("k", None)], "k string, v string")
+    assert rows(kv_string(df)) == [("k", "a")] and rows(kv_hash(df)) == [("k", "v", "a")]
+
+
 def test_a_missing_key_fails(spark):
     df = spark.createDataFrame([(None, "v", 1)], "k string, v string, at int")
     for entries in (kv_string(df, "at"), kv_hash(df, "at"), kv_set(df)):

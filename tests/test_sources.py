@@ -1,9 +1,12 @@
 import json
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import types as T
 
+from tableferry.session import scratch_dir, shared_dir
 from tableferry.sources.catalog import column_report, list_tables, with_comments
 from tableferry.sources.documents import document_schema, inferred_schema, parse_documents, read_collection, read_documents
 
@@ -105,9 +108,38 @@ def test_inferred_document_schema(spark):
 
 
 def test_scratch_folder_is_the_shared_one(spark, tmp_path):
-    from tableferry.session import scratch_dir, shared_dir
-
     shared = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == shared
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second and first.startswith(shared) and not os.path.exists(first)
+
+
+NO_SHARED_FOLDER = """
+from tableferry.session import local_session, scratch_dir, shared_dir
+spark = local_session(1)
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+first = shared_dir(spark)
+assert "tableferry-" in first and shared_dir(spark) == first
+assert scratch_dir(spark, "x").startswith(first)
+print("fine")
+"""
+
+
+def test_a_local_folder_is_used_only_without_a_setting(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", NO_SHARED_FOLDER], env=env, capture_output=True, text=True, timeout=300)
+    assert "fine" in done.stdout, done.stderr
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster)
