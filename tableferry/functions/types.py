@@ -21,6 +21,11 @@ def canonical_type(dtype: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def _refuse(column: Column, message: str) -> Column:
+    """An error naming the value, unless it is null; evaluated only where reached."""
+    return F.when(column.isNotNull(), F.raise_error(F.concat(F.lit(message), column.cast("string"))))
+
+
 def to_canonical(column: Column, dtype: T.DataType, on_overflow: str = "error") -> Column:
     """Cast one column to its stored type.
 
@@ -38,8 +43,7 @@ def to_canonical(column: Column, dtype: T.DataType, on_overflow: str = "error")
         fitted = column.try_cast(target)
         if on_overflow == "null":
             return fitted
-        message = F.concat(F.lit("value does not fit in bigint: "), column.cast("string"))
-        return F.when(column.isNotNull() & fitted.isNull(), F.raise_error(message)).otherwise(fitted)
+        return F.coalesce(fitted, _refuse(column, "value does not fit in bigint: "))
     return column.cast(target)
 
 
@@ -106,8 +110,7 @@ class TargetType:
         else:
             present = self._fitted(column)
             if strict:
-                message = F.concat(F.lit(f"value does not fit {self.text}: "), column.cast("string"))
-                present = F.when(self.unfit(column), F.raise_error(message)).otherwise(present)
+                present = F.coalesce(present, _refuse(column, f"value does not fit {self.text}: "))
         return present if self.nullable else F.coalesce(present, self.fill_column(now))
 
 

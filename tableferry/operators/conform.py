@@ -87,8 +87,11 @@ def conform(
     columns = []
     for field in fields:
         verdict, kind = verdicts[field]
-        value = (
-            kind.encode(F.col(quoted(field)), moment, strict) if verdict == "ok" else kind.fill_column(moment)
-        )
+        if verdict == "ok":
+            same = df.schema[field].dataType.simpleString() == kind.spark
+            as_is = same and kind.upper is None and kind.element is None
+            value = kind.encode(F.col(quoted(field)), moment, strict and not as_is)
+        else:
+            value = kind.fill_column(moment)
         columns.append(value.alias(field))
     return df.select(columns)

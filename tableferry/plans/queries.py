@@ -24,7 +24,14 @@ from tableferry.operators.sqlstep import sql_step
 from tableferry.plans.job import Job, preview
 from tableferry.session import scratch_dir
 from tableferry.sinks.bulk import batch_plan, write_bulk
-from tableferry.sinks.tables import SAVE_MODES, delete_then_write, merge_shards, overwrite_partition, save_files
+from tableferry.sinks.tables import (
+    SAVE_MODES,
+    delete_then_write,
+    merge_shards,
+    overwrite_partition,
+    save_files,
+    table_location,
+)
 from tableferry.sources.catalog import column_report, list_tables, with_comments
 from tableferry.sources.documents import parse_documents
 
@@ -58,10 +65,9 @@ class _Target:
         self.location = scratch_dir(spark, name)
         self.name = f"tableferry_{name}_{uuid.uuid4().hex}"
 
-    def stored(self, location: str | None = None) -> DataFrame:
+    def stored(self) -> DataFrame:
         schema = self.spark.table(self.name).schema
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where("col_name = 'Location'")
-        location = described.first()["data_type"]
+        location = table_location(self.spark, self.name)
         self.spark.sql(f"DROP TABLE {self.name}")
         return self.spark.read.schema(schema).parquet(location)
 
@@ -115,7 +121,7 @@ def q_column_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     comments = {"c_custkey": "customer key", "c_name": "the customer's name", "c_acctbal": "balance"}
     commented = with_comments(table(spark, sf_dir, "customer"), comments)
     # Comments stay with their columns through later steps.
-    kept = prune_columns(commented.where("c_acctbal > 0"), "c_custkey,c_name,c_nationkey,c_acctbal")
+    kept = prune_columns(commented, "c_custkey,c_name,c_nationkey,c_acctbal")
     return column_report(kept).select("column_name", "comment", "n_values")
 
 

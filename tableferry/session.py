@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -39,27 +40,42 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def filesystem(spark: SparkSession, location: str):
+    """The file system holding ``location``, and ``location`` as its path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, not yet existing path in the shared folder, removed when the driver exits."""
     location = f"{shared_dir(spark)}/tableferry/{name}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path.getParent())
+    fs, path = filesystem(spark, location)
     # deleteOnExit only accepts a path that exists.
     fs.mkdirs(path)
     fs.deleteOnExit(path)
     return f"{location}/data"
 
 
+_lock = threading.Lock()
+_held: dict[tuple, tuple[int, str | None]] = {}
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str):
-    """Run one action with a session setting, then put the old value back."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
+    """Run an action with a session setting; the last of parallel users puts the old value back."""
+    slot = (id(spark._jsparkSession), name)
+    with _lock:
+        users, before = _held.get(slot, (0, spark.conf.get(name, None)))
+        _held[slot] = (users + 1, before)
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        with _lock:
+            users, before = _held.pop(slot)
+            if users > 1:
+                _held[slot] = (users - 1, before)
+            elif before is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, before)

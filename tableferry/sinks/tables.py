@@ -18,10 +18,11 @@ from pyspark.sql import types as T
 
 from tableferry.functions.types import canonical_type
 from tableferry.operators.columns import normalize_types, plain_names, prune_columns, quoted, select_list
-from tableferry.session import setting
+from tableferry.session import filesystem, setting
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error")
 OPEN_FILES = 16
+PARTITIONS_PER_STATEMENT = 100
 REPORT = "table_name string, partition string, n_rows bigint"
 
 
@@ -30,20 +31,34 @@ def _text(value: str) -> str:
     return f"'{escaped}'"
 
 
+def _listed(text: str | Sequence[str] | None) -> list[str]:
+    if isinstance(text, str):
+        return [item.strip() for item in text.split(",")] if text.strip() else []
+    return [str(item) for item in text or ()]
+
+
+def _unquoted(value: str) -> str:
+    return value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"" else value
+
+
 def partition_spec(
     keys: Mapping[str, str] | str | Sequence[str] | None, values: str | Sequence[str] | None = None
 ) -> dict[str, str]:
     """Static partition values, from a mapping or from two lists of equal length.
 
-    Values are text; quotes around a value are taken as quoting.
+    Values are text; in lists, quotes around a value are taken as quoting.
     """
     if isinstance(keys, Mapping):
-        return {k: str(v) for k, v in keys.items()}
-    split = [[p.strip() for p in x.split(",")] if isinstance(x, str) and x.strip() else list(x or []) for x in (keys, values)]
-    names, texts = split
-    if len(names) != len(texts):
-        raise ValueError(f"{len(names)} partition keys but {len(texts)} values")
-    return {n: t[1:-1] if len(t) > 1 and t[0] == t[-1] and t[0] in "'\"" else t for n, t in zip(names, texts)}
+        spec = {k: str(v) for k, v in keys.items()}
+    else:
+        names, texts = _listed(keys), _listed(values)
+        if len(names) != len(texts):
+            raise ValueError(f"{len(names)} partition keys but {len(texts)} values")
+        spec = {name: _unquoted(text) for name, text in zip(names, texts)}
+    blank = [name for name, value in spec.items() if not value]
+    if blank:
+        raise ValueError(f"partition values are blank: {blank}")
+    return spec
 
 
 def _spec_sql(spec: Mapping[str, str]) -> str:
@@ -133,19 +148,33 @@ def _publish(df: DataFrame, table: str, keys: Sequence[str]) -> tuple[int, set[t
     Tasks keep a few files open instead of sorting their rows by partition:
     most write to one partition only, and Spark sorts by itself beyond that.
     """
-    seen = Observation()
+    spark, seen = df.sparkSession, Observation()
     part = F.struct(*[F.col(quoted(k)) for k in keys]) if keys else F.lit(None)
     watched = _by_name(df, table).observe(
         seen, F.count(F.lit(1)).alias("n_rows"), F.collect_set(part).alias("parts")
     )
-    spark = df.sparkSession
-    with (
-        setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"),
-        setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)),
-    ):
+    if not keys:
         watched.write.mode("overwrite").insertInto(table)
-    found = seen.get
-    return found["n_rows"], {tuple(p) for p in found["parts"]}
+        return seen.get["n_rows"], set()
+    # The mode is an option of this write, so parallel loads in one session do
+    # not disturb each other; the partitions are then made known to the catalog.
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+        watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(
+            table_location(spark, table)
+        )
+    parts = {tuple(p) for p in seen.get["parts"]}
+    listed = [f"PARTITION ({_spec_sql(dict(zip(keys, part)))})" for part in sorted(parts, key=repr)]
+    for start in range(0, len(listed), PARTITIONS_PER_STATEMENT):
+        some = " ".join(listed[start : start + PARTITIONS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
+    spark.catalog.refreshTable(table)
+    return seen.get["n_rows"], parts
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where the files of a table are."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.where("col_name = 'Location'").first()["data_type"]
 
 
 def _clear(spark: SparkSession, table: str, spec: Mapping[str, str]) -> bool:
@@ -216,6 +245,8 @@ def union_shards(shards: Mapping[str, DataFrame], shard_column: str = "shard") -
                 raise ValueError(
                     f"column {f.name} is {types[f.name].simpleString()} but {f.dataType.simpleString()} in {name}"
                 )
+    if shard_column in types:
+        raise ValueError(f"the shards already have a column {shard_column}")
     aligned = [
         df.select(
             *[
@@ -281,11 +312,6 @@ def save_files(df: DataFrame, path: str, mode: str = "append", layout: int | str
     _laid_out(df, layout).write.mode(mode).parquet(path)
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return described.where("col_name = 'Location'").first()["data_type"]
-
-
 def _any_partition(keys: Sequence[str], parts: list[tuple]) -> Column:
     """True for rows of the given partitions; a balanced condition however many there are."""
     if not parts:
@@ -298,13 +324,19 @@ def _any_partition(keys: Sequence[str], parts: list[tuple]) -> Column:
     return _any_partition(keys, parts[:half]) | _any_partition(keys, parts[half:])
 
 
-def delete_then_write(df: DataFrame, table: str, delete_where: str | Column | None = None) -> DataFrame:
+def delete_then_write(
+    df: DataFrame,
+    table: str,
+    delete_where: str | Column | None = None,
+    keep_replaced: bool = False,
+) -> DataFrame:
     """Remove the rows matching ``delete_where``, then append ``df``, as one change.
 
     Rows for which the condition is null stay. A partitioned table has only
     the partitions concerned rewritten; otherwise the new content is written
     beside the old and the table pointed at it, so a failure changes nothing.
-    Returns ``table_name, partition, n_rows`` and the ``replaced_location``.
+    The old content is then deleted, unless it is to be kept. Returns
+    ``table_name, partition, n_rows`` and the ``replaced_location``.
     """
     spark = df.sparkSession
     rows = normalize_types(df)
@@ -331,11 +363,14 @@ def delete_then_write(df: DataFrame, table: str, delete_where: str | Column | No
             _clear(spark, table, dict(zip(keys, part)))
         return _delete_report(spark, table, n_rows, None)
 
-    old = _location(spark, table)
+    old = table_location(spark, table)
     new = f"{old.split('__v_')[0]}__v_{uuid.uuid4().hex}"
     seen = Observation()
     kept.unionByName(rows).observe(seen, F.count(F.lit(1)).alias("n_rows")).write.parquet(new)
     spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(new)}")
+    if not keep_replaced:
+        fs, path = filesystem(spark, old)
+        fs.delete(path, True)
     return _delete_report(spark, table, seen.get["n_rows"], old)
 
 

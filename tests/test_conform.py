@@ -98,6 +98,8 @@ def test_unfit_array_elements(spark):
     assert [r["x"] for r in conform(df, {"x": "Array(UInt8)"}, strict=False).collect()] == [[1, 0, 0], [2], []]
     report = conform_report(df, {"x": "Array(Nullable(UInt8))"}).first()
     assert (report["n_filled"], report["n_unfit"]) == (1, 1)
+    with pytest.raises(PySparkException, match="does not fit UInt8: 300"):
+        conform(df.selectExpr("cast(x as array<smallint>) as x"), {"x": "Array(UInt8)"}).collect()
     nested = spark.createDataFrame([([["1"], None],)], "x array<array<string>>")
     assert conform(nested, {"x": "Array(Array(Int64))"}).first()["x"] == [[1], []]
 

@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import PySparkException
@@ -31,9 +32,11 @@ def test_partition_values_are_text_and_counts_must_match():
     assert partition_spec("dt", "'2024-01-01'") == {"dt": "2024-01-01"}
     assert partition_spec(["dt"], ["x"]) == {"dt": "x"} and partition_spec({"n": 5}) == {"n": "5"}
     assert partition_spec(None) == {} and partition_spec("", "") == {}
-    for values in ("2024-01-01", "a,b,c"):
+    for values in ("2024-01-01", "a,b,c", "a,"):
         with pytest.raises(ValueError):
             partition_spec("dt,hr", values)
+    with pytest.raises(ValueError, match="blank"):
+        partition_spec({"dt": ""})
 
 
 def test_created_tables_have_stored_types_comments_and_text_partitions(spark, new_table, tmp_path):
@@ -259,3 +262,48 @@ def test_partition_writes_do_not_sort(spark, new_table):
     with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "16"):
         assert "Sort [" not in spark.sql(sql).first()[0]
     assert "Sort [" in spark.sql(sql).first()[0]
+
+
+def test_parallel_loads_in_one_session(spark, new_table):
+    table = new_table()
+    overwrite_partition(spark.range(1), table, {"dt": "kept"})
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: overwrite_partition(spark.range(i + 1), table, {"dt": str(i)}), range(6)))
+    counts = {r["dt"]: r["count"] for r in spark.table(table).groupBy("dt").count().collect()}
+    assert counts == {"kept": 1, **{str(i): i + 1 for i in range(6)}}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_partition_values_with_special_characters(spark, new_table, rows):
+    table = new_table()
+    values = ["a/b", "x=1", "it's", "50%"]
+    for value in values:
+        overwrite_partition(spark.range(1), table, {"dt": value})
+        overwrite_partition(spark.range(1, 2), table, {"dt": value})
+    assert rows(spark.table(table)) == sorted([(1, v) for v in values], key=repr)
+    overwrite_partition(spark.range(0), table, {"dt": "it's"})
+    assert spark.table(table).count() == 3
+
+
+def test_comments_reach_the_table_through_aliases(spark, new_table):
+    table = new_table()
+    df = with_comments(spark.sql("select 1 id, 'x' name"), {"id": "the key", "name": "its name"})
+    overwrite_partition(df, table, {"dt": "a"}, columns="id as key, name, upper(name) as loud")
+    assert {k: v[1] for k, v in described(spark, table).items()} == {
+        "key": "the key", "name": "its name", "loud": "", "dt": "",
+    }
+
+
+def test_replaced_content_is_deleted_unless_kept(spark, new_table):
+    table = new_table()
+    overwrite_partition(spark.range(3), table)
+    kept = delete_then_write(spark.range(5, 6), table, "id = 0", keep_replaced=True).first()["replaced_location"]
+    assert spark.read.parquet(kept).count() == 3
+    gone = delete_then_write(spark.range(6, 7), table, "id = 1").first()["replaced_location"]
+    assert not os.path.exists(gone.removeprefix("file:"))
+    assert sorted(r["id"] for r in spark.table(table).collect()) == [2, 5, 6]
+
+
+def test_a_shard_column_in_the_data_is_refused(spark):
+    with pytest.raises(ValueError, match="shard"):
+        union_shards({"a": spark.sql("select 1 id, 'x' shard")})
