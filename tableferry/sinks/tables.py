@@ -342,6 +342,9 @@ def delete_then_write(
     rows = normalize_types(df)
     is_new = not spark.catalog.tableExists(table)
     keys = [] if is_new else _partition_keys(spark, table)
+    absent = set(keys) - set(df.columns)
+    if absent:
+        raise ValueError(f"rows for {table} need the partition columns {sorted(absent)}")
     ensure_table(spark, table, rows.drop(*keys).schema, keys)
     rows, stored = _by_name(rows, table), spark.table(table)
     if isinstance(delete_where, str):

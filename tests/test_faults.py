@@ -1,0 +1,77 @@
+"""Tasks that fail once are run again; what is published is the same."""
+
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+SCRIPT = """
+import sys
+from pyspark.sql import functions as F
+from tableferry.session import local_session
+from tableferry.sinks.bulk import write_bulk
+from tableferry.sinks.tables import delete_then_write, merge_shards, overwrite_partition
+
+folder = sys.argv[1]
+spark = local_session(
+    "4,3",
+    **{"spark.sql.warehouse.dir": folder + "/warehouse", "spark.checkpoint.dir": folder + "/shared"},
+)
+spark.sparkContext.setLogLevel("OFF")
+
+
+def failing_once(df):
+    def rows(batches):
+        from pyspark import TaskContext
+
+        context = TaskContext.get()
+        for i, batch in enumerate(batches):
+            yield batch
+        if context.attemptNumber() == 0 and context.partitionId() % 2 == 0:
+            raise RuntimeError("lost after all rows were handed on")
+
+    return df.mapInArrow(rows, df.schema)
+
+
+numbers = spark.range(0, 1000, 1, 8)
+report = overwrite_partition(failing_once(numbers), "t", {"dt": "a"}).first()
+assert report["n_rows"] == 1000, report
+assert spark.table("t").agg(F.count("id"), F.sum("id")).first()[:] == (1000, 499500)
+
+shards = {"x": failing_once(numbers), "y": failing_once(numbers.where("id < 10")), "z": failing_once(numbers.where("id < 0"))}
+counts = {r["partition"]: r["n_rows"] for r in merge_shards(shards, "m").collect()}
+assert counts == {"shard=x": 1000, "shard=y": 10, "shard=z": 0}, counts
+
+overwrite_partition(numbers, "d")
+delete_then_write(failing_once(numbers.where("id < 5")), "d", "id >= 500")
+assert spark.table("d").count() == 505
+
+
+def open_writer():
+    class Writer:
+        def write(self, table):
+            from pyspark import TaskContext
+
+            context = TaskContext.get()
+            if context.attemptNumber() == 0 and context.partitionId() == 1:
+                raise OSError("connection lost")
+
+        def close(self):
+            pass
+
+    return Writer()
+
+
+report = write_bulk(numbers, open_writer, bulk_size=50).first()
+assert (report["n_rows"], report["n_batches"]) == (1000, 24), report
+print("all published")
+"""
+
+
+def test_publishing_survives_failing_tasks(tmp_path):
+    env = {**os.environ, "PYTHONPATH": ROOT}
+    done = subprocess.run(
+        [sys.executable, "-c", SCRIPT, str(tmp_path)], env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "all published" in done.stdout, done.stderr[-3000:]

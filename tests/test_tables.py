@@ -233,6 +233,8 @@ def test_delete_then_write_rewrites_only_partitions_concerned(spark, new_table,
         (0, "a"), (0, "c"), (1, "c"), (10, "a"), (11, "d"), (2, "c"),
     ]
     assert set(spark.table(table).where("dt = 'c'").inputFiles()) == before
+    with pytest.raises(ValueError, match="partition columns"):
+        delete_then_write(spark.range(1), table, "id = 0")
     assert "dt=b" not in [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
 
 
