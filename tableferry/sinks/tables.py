@@ -117,13 +117,15 @@ def ensure_table(
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
 
 
-def _laid_out(df: DataFrame, layout: int | str | None) -> DataFrame:
-    """``None`` keeps the tasks as they are; ``"rebalance"`` lets adaptive execution
-    form files of even size, splitting large partitions; a number repartitions."""
+def _laid_out(df: DataFrame, layout: int | str | None, keys: Sequence[str] = ()) -> DataFrame:
+    """``None`` keeps the tasks as they are. ``"rebalance"`` brings the rows of a
+    partition together and lets adaptive execution form files of even size, in
+    several tasks where a partition is large. A number repartitions the rows
+    evenly, whatever their partition."""
     if layout is None:
         return df
     if layout == "rebalance":
-        return df.hint("rebalance")
+        return df.hint("rebalance", *[F.col(quoted(k)) for k in keys])
     return df.repartition(int(layout))
 
 
@@ -235,8 +237,6 @@ def union_shards(shards: Mapping[str, DataFrame], shard_column: str = "shard") -
 
     Types are made canonical first, so shards may differ in integer width.
     """
-    if not shards:
-        raise ValueError("there are no shards to merge")
     frames = {name: normalize_types(df) for name, df in shards.items()}
     types: dict[str, T.DataType] = {}
     for name, df in frames.items():
@@ -274,6 +274,8 @@ def merge_shards(
     old partition emptied. A plain list of names may name columns some shards
     lack. Returns ``table_name, partition, n_rows`` per shard.
     """
+    if not shards:
+        raise ValueError("there are no shards to merge")
     spark, spec = next(iter(shards.values())).sparkSession, partition_spec(partition)
     if columns:
         known = {c for df in shards.values() for c in df.columns}
@@ -282,7 +284,7 @@ def merge_shards(
     merged = union_shards(shards)
     keys = [*spec, "shard"]
     ensure_table(spark, table, merged.drop("shard").schema, keys, location)
-    _, parts = _publish(_tagged(_laid_out(merged, layout), spec), table, keys)
+    _, parts = _publish(_tagged(_laid_out(merged, layout, ["shard"]), spec), table, keys)
     written = {part[-1] for part in parts}
     for name in shards:
         if name not in written:

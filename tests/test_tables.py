@@ -182,8 +182,8 @@ def test_merging_is_one_write_without_a_shuffle(spark):
     assert union_shards(many).count() == 33
     with pytest.raises(ValueError, match="column a"):
         union_shards({"x": spark.sql("select 1 a"), "y": spark.sql("select 'b' a")})
-    with pytest.raises(ValueError):
-        union_shards({})
+    with pytest.raises(ValueError, match="no shards"):
+        merge_shards({}, "t")
 
 
 def test_save_modes(spark, tmp_path):
@@ -309,3 +309,32 @@ def test_replaced_content_is_deleted_unless_kept(spark, new_table):
 def test_a_shard_column_in_the_data_is_refused(spark):
     with pytest.raises(ValueError, match="shard"):
         union_shards({"a": spark.sql("select 1 id, 'x' shard")})
+
+
+def test_rebalancing_divides_a_large_shard_and_keeps_small_ones_whole(spark, new_table):
+    table = new_table()
+    hot = spark.range(0, 400_000, 1, 8).selectExpr("id", "uuid() as u")
+    shards = {"hot": hot, **{f"s{i}": hot.where(f"id % 8 = {i} and id < 800") for i in range(3)}}
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m"):
+        report = merge_shards(shards, table, layout="rebalance")
+    assert {r["partition"]: r["n_rows"] for r in report.collect()} == {
+        "shard=hot": 400_000, "shard=s0": 100, "shard=s1": 100, "shard=s2": 100,
+    }
+    files = [f.split("shard=")[1].split("/")[0] for f in spark.table(table).inputFiles()]
+    assert files.count("hot") > 3 and all(files.count(f"s{i}") == 1 for i in range(3))
+
+
+@pytest.mark.parametrize("empty", ["select 1L id where 1 = 0", "select a.id from range(5) a join range(0) b using (id)"])
+def test_loads_known_to_be_empty(spark, new_table, empty):
+    table = new_table()
+    for partition in (None, {"dt": "a"}):
+        table = new_table()
+        overwrite_partition(spark.range(3), table, partition)
+        assert one(overwrite_partition(spark.sql(empty), table, partition))[2] == 0
+        assert spark.table(table).count() == 0
+    plain = new_table()
+    assert delete_then_write(spark.sql(empty), plain, "id = 0").first()["n_rows"] == 0
+    overwrite_partition(spark.range(3), plain)
+    assert delete_then_write(spark.sql(empty), plain, "id = 0").first()["n_rows"] == 2
+    merged = new_table()
+    assert [r["n_rows"] for r in merge_shards({"x": spark.sql(empty)}, merged).collect()] == [0]
