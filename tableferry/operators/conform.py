@@ -19,7 +19,7 @@ def target_schema(description: DataFrame) -> dict[str, str]:
 
 
 def _now(now: dt.datetime | None) -> Column:
-    return F.lit(now or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+    return F.lit(now or dt.datetime.now(dt.timezone.utc).replace(microsecond=0)).cast("timestamp")
 
 
 def _verdict(field: str, target: Mapping[str, str], df: DataFrame) -> tuple[str, TargetType | None]:
@@ -75,7 +75,7 @@ def conform(
     """Rows with exactly ``fields`` (default: the input's columns), typed for the target.
 
     Missing columns and nulls get the default of their type, or NULL where the
-    target takes it. Dates default to one ``now`` for the whole job. A value
+    target takes it. Dates default to one ``now``, in whole seconds, for the whole job. A value
     that does not fit is an error, or takes the default with ``strict=False``.
     """
     fields = list(fields or df.columns)

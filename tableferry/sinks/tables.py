@@ -8,6 +8,7 @@ is asked for: each write task writes the rows it read.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -175,8 +176,8 @@ def _publish(df: DataFrame, table: str, keys: Sequence[str]) -> tuple[int, set[t
 
 def table_location(spark: SparkSession, table: str) -> str:
     """Where the files of a table are."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return described.where("col_name = 'Location'").first()["data_type"]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").collect()
+    return json.loads(described[0]["json_metadata"])["location"]
 
 
 def _clear(spark: SparkSession, table: str, spec: Mapping[str, str]) -> bool:

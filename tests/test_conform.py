@@ -109,6 +109,7 @@ def test_one_now_for_all_rows(spark):
     found = {(r["t"], r["d"]) for r in out.collect()} | {(r["t"], r["d"]) for r in out.collect()}
     ((moment, day),) = found
     assert abs(moment - dt.datetime.now()) < dt.timedelta(minutes=5) and day == moment.date()
+    assert moment.microsecond == 0
 
 
 def test_report(spark, rows):

@@ -1,11 +1,16 @@
 """Every registered query against its SQL oracle, on the smallest tables."""
 
+import json
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import rows_of
-from conftest import SF_DIR
+from conftest import ROOT, SF_DIR
 from tableferry.plans.queries import TABLES
 
 
@@ -38,3 +43,14 @@ def test_entry(spark):
 def test_queries_leave_no_tables_behind(spark):
     queries()["overwrite_partition"](spark, SF_DIR)
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tableferry_")]
+
+
+def test_bench_prints_one_json_line():
+    env = {**os.environ, "BENCH_SF_DIR": SF_DIR, "BENCH_CPUS": "2", "BENCH_RUNS": "1"}
+    done = subprocess.run(
+        [sys.executable, os.path.join(ROOT, "bench.py"), "key_bounds", "kv_set"],
+        env=env, capture_output=True, text=True, timeout=300,
+    )
+    line = json.loads(done.stdout.strip())
+    assert set(line) == {"metric", "value", "unit", "queries", "sf"}
+    assert set(line["queries"]) == {"key_bounds", "kv_set"} and line["sf"] == 0.001

@@ -92,6 +92,15 @@ def test_emptied_partition_of_a_table_at_a_location_has_no_files(spark, new_tabl
     assert spark.read.schema("id bigint, dt string").parquet(str(tmp_path / "t")).count() == 0
 
 
+def test_columns_named_like_table_properties(spark, new_table, rows, tmp_path):
+    table, odd = new_table(), str(tmp_path / "a dir with spaces")
+    df = spark.sql("select 'here' Location, 1 Type, 2 `# Partition Information`")
+    overwrite_partition(df, table, {"dt": "a"}, location=odd)
+    overwrite_partition(df, table, {"dt": "a"})
+    assert rows(spark.table(table)) == [("here", 1, 2, "a")]
+    assert os.listdir(odd + "/dt=a")
+
+
 def test_columns_are_matched_by_name(spark, new_table, rows):
     table = new_table()
     df = spark.createDataFrame([(1, 0.5, "t")], "a int, b double, c string")
