@@ -185,6 +185,13 @@ ORACLES = {
                cast(p_retailprice as decimal(12,2)) as p_retailprice, p_brand
         from part
     """,
+    "conform_arrays": """
+        select vec_id, cast(label as smallint) as label, cast(len(embedding) as bigint) as n_values,
+               cast(embedding[1] as double) as first_value,
+               cast(embedding[len(embedding)] as double) as last_value,
+               cast(list_max(embedding) as double) as largest
+        from embeddings
+    """,
     "batch_plan": """
         with r as (
           select ((l_orderkey % 8) + 8) % 8 as split_id,

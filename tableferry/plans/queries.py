@@ -409,6 +409,20 @@ def q_conform_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(table(spark, sf_dir, "part"), target, list(target))
 
 
+def q_conform_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors stored as arrays of doubles; each is shown by its size, ends and largest value."""
+    target = {"vec_id": "Int64", "embedding": "Array(Float64)", "label": "UInt8"}
+    fitted = conform(table(spark, sf_dir, "embeddings"), target, list(target))
+    return fitted.select(
+        "vec_id",
+        "label",
+        F.size("embedding").cast("bigint").alias("n_values"),
+        F.element_at("embedding", 1).alias("first_value"),
+        F.element_at("embedding", -1).alias("last_value"),
+        F.array_max("embedding").alias("largest"),
+    )
+
+
 def q_batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = with_mod_split(table(spark, sf_dir, "lineitem"), "l_orderkey", SPLITS)
     return batch_plan(split, "split_id", 1000)

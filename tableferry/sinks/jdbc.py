@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.sinks.tables import SAVE_MODES
 from tableferry.sources.jdbc import JdbcLink
@@ -34,13 +34,19 @@ def save_jdbc(
     rows.write.mode(mode).jdbc(link.url, table, properties=properties)
 
 
-def _connect(df: DataFrame, link: JdbcLink):
-    jvm = df.sparkSession._jvm
+def _connect(spark: SparkSession, link: JdbcLink):
+    jvm = spark._jvm
     if link.driver:
         jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(link.driver)
     return jvm.java.sql.DriverManager.getConnection(link.url, link.user, link.password)
 
 
+def _quoted_names(spark: SparkSession, link: JdbcLink, names: list[str]) -> str:
+    """A column list quoted as Spark itself quotes names for this database."""
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(link.url)
+    return ", ".join(dialect.quoteIdentifier(name) for name in names)
+
+
 def delete_then_write_jdbc(
     df: DataFrame,
     link: JdbcLink,
@@ -48,7 +54,7 @@ def delete_then_write_jdbc(
     delete_sql: str | None = None,
     partitions: int | None = None,
     batch_rows: int = 200,
-    connect: Callable | None = None,
+    connect: Callable[[SparkSession, JdbcLink], object] = _connect,
 ) -> None:
     """Run ``delete_sql`` and append ``df`` so that the database shows both or neither.
 
@@ -63,8 +69,8 @@ def delete_then_write_jdbc(
     # Appending no rows creates the table where it is absent.
     save_jdbc(df.limit(0), link, table, "append")
     save_jdbc(df, link, incoming, "overwrite", partitions, batch_rows)
-    columns = ", ".join(df.columns)
-    connection = connect() if connect else _connect(df, link)
+    columns = _quoted_names(df.sparkSession, link, df.columns)
+    connection = connect(df.sparkSession, link)
     try:
         connection.setAutoCommit(False)
         statement = connection.createStatement()

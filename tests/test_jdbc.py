@@ -155,10 +155,10 @@ def test_many_shards_are_probed_in_several_queries(reader, monkeypatch):
 class Writes:
     """A DataFrame stand-in that notes how it is written."""
 
-    columns = ["id", "v"]
+    columns = ["id", "desc"]
 
-    def __init__(self, log):
-        self.log, self.note = log, {}
+    def __init__(self, log, spark=None):
+        self.log, self.note, self.sparkSession = log, {}, spark
 
     def repartition(self, n):
         self.note["partitions"] = n
@@ -219,17 +219,18 @@ def test_saving():
         save_jdbc(Writes(log), LINK, "t", "merge")
 
 
-def test_delete_and_append_share_a_transaction():
+def test_delete_and_append_share_a_transaction(spark):
     log = []
+    link = JdbcLink("jdbc:mysql://host/db", "writer", "hush")
     delete_then_write_jdbc(
-        Writes(log), LINK, "t", "DELETE FROM t WHERE id > 5", partitions=3, connect=lambda: Connection(log)
+        Writes(log, spark), link, "t", "DELETE FROM t WHERE id > 5", partitions=3, connect=lambda *_: Connection(log)
     )
     assert [e[:2] for e in log[:2]] == [("write", "t"), ("write", "t_incoming")]
     assert log[0][2] == {"limit": 0, "mode": "append"} and log[1][2] == {"partitions": 3, "mode": "overwrite"}
     assert log[2:] == [
         ("autocommit", False),
         ("sql", "DELETE FROM t WHERE id > 5"),
-        ("sql", "INSERT INTO t (id, v) SELECT id, v FROM t_incoming"),
+        ("sql", "INSERT INTO t (`id`, `desc`) SELECT `id`, `desc` FROM t_incoming"),
         ("commit",),
         ("sql", "DROP TABLE t_incoming"),
         ("commit",),
@@ -237,14 +238,16 @@ def test_delete_and_append_share_a_transaction():
     ]
 
 
-def test_a_failed_takeover_is_rolled_back():
+def test_a_failed_takeover_is_rolled_back(spark):
     log = []
-    with pytest.raises(RuntimeError):
-        delete_then_write_jdbc(Writes(log), LINK, "t", "DELETE FROM t", connect=lambda: Connection(log, "INSERT"))
+    with pytest.raises(RuntimeError, match='"desc"'):
+        delete_then_write_jdbc(
+            Writes(log, spark), LINK, "t", "DELETE FROM t", connect=lambda *_: Connection(log, "INSERT")
+        )
     assert log[-2:] == [("rollback",), ("close",)] and ("commit",) not in log
 
 
 def test_a_blank_delete_is_an_append():
     log = []
-    delete_then_write_jdbc(Writes(log), LINK, "t", "  ", connect=lambda: pytest.fail("no connection needed"))
+    delete_then_write_jdbc(Writes(log), LINK, "t", "  ", connect=lambda *_: pytest.fail("no connection needed"))
     assert [(e[1], e[2]["mode"]) for e in log] == [("t", "append")]
