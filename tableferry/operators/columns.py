@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -17,35 +16,40 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def plain_names(columns: str | Sequence[str]) -> list[str]:
-    """A comma list of names, as a list."""
-    items = columns.split(",") if isinstance(columns, str) else columns
-    return [item.strip().strip("`") for item in items if item.strip()]
+def list_items(columns: str | Sequence[str]) -> list[str]:
+    """The items of a comma list; commas inside calls and quotes do not count."""
+    if not isinstance(columns, str):
+        return [item.strip() for item in columns if item.strip()]
+    items, depth, quote, escaped = [""], 0, "", False
+    for char in columns:
+        if quote:
+            quote = "" if char == quote and not escaped else quote
+            escaped = char == "\\" and not escaped
+        elif char in "'\"`":
+            quote = char
+        elif char in "()[]":
+            depth += 1 if char in "([" else -1
+        if char == "," and not quote and depth == 0:
+            items.append("")
+        else:
+            items[-1] += char
+    return [item.strip() for item in items if item.strip()]
 
 
 def prune_columns(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     """Keep the named columns in table order; names are case-sensitive, unknown ones ignored."""
-    keep = set(plain_names(columns))
+    keep = {item.strip("`") for item in list_items(columns)}
     return df.select([F.col(quoted(c)) for c in df.columns if c in keep])
 
 
 def select_list(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
-    """Project a list such as ``a, b as c, concat(a, ',', b) as d``.
+    """Project a list such as ``a, my-col, b as c, concat(a, ',', b) as d``.
 
-    Spark's own parser reads the text, so commas inside calls are safe. A list
-    of bare column names needs no quoting, even for names like ``my-col``.
+    Bare column names need no quoting; every other item is a Spark expression.
     """
-    names = plain_names(columns)
-    if all(name in df.columns for name in names):
-        return df.select([F.col(quoted(name)) for name in names])
-    if not isinstance(columns, str):
-        columns = ", ".join(quoted(c) if c in df.columns else c for c in columns)
-    view = f"select_list_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
-    try:
-        return df.sparkSession.sql(f"SELECT {columns} FROM {view}")
-    finally:
-        df.sparkSession.catalog.dropTempView(view)
+    return df.select(
+        [F.col(quoted(item)) if item in df.columns else F.expr(item) for item in list_items(columns)]
+    )
 
 
 def normalize_types(df: DataFrame, on_overflow: str = "error") -> DataFrame:

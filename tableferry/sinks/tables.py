@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.types import canonical_type
-from tableferry.operators.columns import normalize_types, plain_names, prune_columns, quoted, select_list
+from tableferry.operators.columns import list_items, normalize_types, prune_columns, quoted, select_list
 from tableferry.session import filesystem, setting
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error")
@@ -280,7 +280,7 @@ def merge_shards(
     spark, spec = next(iter(shards.values())).sparkSession, partition_spec(partition)
     if columns:
         known = {c for df in shards.values() for c in df.columns}
-        pick = prune_columns if known.issuperset(plain_names(columns)) else select_list
+        pick = prune_columns if known.issuperset(list_items(columns)) else select_list
         shards = {name: pick(df, columns) for name, df in shards.items()}
     merged = union_shards(shards)
     keys = [*spec, "shard"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tableferry.operators.columns import prune_columns, select_list
 from tableferry.operators.conform import target_schema
-from tableferry.operators.splits import KeyBounds, mod_predicates, range_predicates, read_bounds
+from tableferry.operators.splits import KeyBounds, mod_predicates, range_predicates, read_bounds, refine_predicates
 from tableferry.sources.catalog import with_comments
 
 PROBES_PER_QUERY = 200
@@ -90,13 +90,18 @@ def read_jdbc_ranges(
     columns: str | None = None,
     where: str | None = None,
     comments_from: str | None = None,
+    refine: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Rows satisfying ``where``, in n + 1 key ranges, one task each.
 
     ``comments_from`` names the database whose column comments are attached.
+    ``refine=("other_key", m)`` reads each range in m residues of another key,
+    for tables where one value of the first key has very many rows.
     """
     bounds = jdbc_bounds(spark, link, table, key, where)
     predicates = range_predicates(key, bounds, n, where)
+    if refine:
+        predicates = refine_predicates(predicates, *refine)
     rows = spark.read.jdbc(link.url, table, predicates=predicates, properties=link.properties())
     if comments_from:
         rows = with_comments(rows, jdbc_comments(spark, link, comments_from, table))
@@ -111,9 +116,13 @@ def read_jdbc_residues(
     n: int,
     columns: str | None = None,
     where: str | None = None,
+    refine: tuple[str, int] | None = None,
 ) -> DataFrame:
-    """Rows satisfying ``where``, in n residue classes of the key, one task each."""
+    """Rows satisfying ``where``, in n residue classes of the key, one task each;
+    ``refine`` as for ranges."""
     predicates = mod_predicates(key, n, where)
+    if refine:
+        predicates = refine_predicates(predicates, *refine)
     rows = spark.read.jdbc(link.url, table, predicates=predicates, properties=link.properties())
     return select_list(rows, columns) if columns else rows
 

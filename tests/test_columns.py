@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tableferry.functions.text import register_functions, slice_text
-from tableferry.operators.columns import normalize_types, prune_columns, select_list, substring_column
+from tableferry.operators.columns import list_items, normalize_types, prune_columns, select_list, substring_column
 from tableferry.operators.sqlstep import sql_step
 from tableferry.plans.job import Job, preview, show
 
@@ -56,7 +56,11 @@ def test_select_lists(spark):
     assert out.columns == ["user_id", "desc", "c"] and tuple(out.first()) == (1, "d", "1,n")
     assert tuple(select_list(df, "my-col, desc, id").first()) == (2, "d", 1)
     assert tuple(select_list(df, ["my-col", "id AS x", "concat(Name, '{a}, b') AS y"]).first()) == (2, 1, "n{a}, b")
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("select_list_")]
+    mixed = select_list(df, "my-col, desc AS d,`my-col` as m , concat(Name, ',', nvl(desc, ',')) as c,array(1,2)[0] as e")
+    assert mixed.columns == ["my-col", "d", "m", "c", "e"] and tuple(mixed.first()) == (2, "d", 2, "n,d", 1)
+    assert select_list(df, "*, id + 1 as next").columns == [*df.columns, "next"]
+    assert list_items(r"'it\'s, x' as a, 'b\\', c") == [r"'it\'s, x' as a", r"'b\\'", "c"]
+    assert list_items("a, 'x, (y' as b, f(g(1, 2), 3)") == ["a", "'x, (y' as b", "f(g(1, 2), 3)"]
 
 
 def test_substrings(spark):

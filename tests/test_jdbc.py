@@ -126,6 +126,14 @@ def test_residue_read(reader):
     assert len(reader.calls) == 1 and len(reader.calls[0]["predicates"]) == 4
 
 
+def test_slices_can_be_divided_by_a_second_key(reader):
+    ranges = read_jdbc_ranges(reader, LINK, "people", "id", 2, where="id > 0 or id is null", refine=("age", 3))
+    assert len(reader.calls[-1]["predicates"]) == 9
+    assert sorted(r["name"] for r in ranges.collect()) == ["c", "d", "n"]
+    residues = read_jdbc_residues(reader, LINK, "people", "id", 2, refine=("age", 2))
+    assert sorted(r["name"] for r in residues.collect()) == ["a", "b", "c", "d", "n"]
+
+
 def test_tables_of_a_database(reader, rows):
     assert rows(list_jdbc_tables(reader, LINK, "db", "^p_")) == [("P_1",), ("p_0",)]
 
