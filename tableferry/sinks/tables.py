@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions.types import canonical_type
+from tableferry.functions.types import canonical_type, to_canonical
 from tableferry.operators.columns import list_items, normalize_types, prune_columns, quoted, select_list
 from tableferry.session import filesystem, setting
 
@@ -238,25 +238,28 @@ def union_shards(shards: Mapping[str, DataFrame], shard_column: str = "shard") -
 
     Types are made canonical first, so shards may differ in integer width.
     """
-    frames = {name: normalize_types(df) for name, df in shards.items()}
+    found = {name: {f.name: f for f in df.schema.fields} for name, df in shards.items()}
     types: dict[str, T.DataType] = {}
-    for name, df in frames.items():
-        for f in df.schema.fields:
-            if types.setdefault(f.name, f.dataType) != f.dataType:
+    for name, fields in found.items():
+        for c, f in fields.items():
+            stored = canonical_type(f.dataType)
+            if types.setdefault(c, stored) != stored:
                 raise ValueError(
-                    f"column {f.name} is {types[f.name].simpleString()} but {f.dataType.simpleString()} in {name}"
+                    f"column {c} is {types[c].simpleString()} but {stored.simpleString()} in {name}"
                 )
     if shard_column in types:
         raise ValueError(f"the shards already have a column {shard_column}")
+
+    def column(fields: Mapping[str, T.StructField], c: str) -> Column:
+        if c not in fields:
+            return F.lit(None).cast(types[c]).alias(c)
+        f = fields[c]
+        return to_canonical(F.col(quoted(c)), f.dataType).alias(c, metadata=f.metadata)
+
+    # One projection per shard keeps the planning of thousands of them cheap.
     aligned = [
-        df.select(
-            *[
-                F.col(quoted(c)) if c in df.columns else F.lit(None).cast(dtype).alias(c)
-                for c, dtype in types.items()
-            ],
-            F.lit(name).alias(shard_column),
-        )
-        for name, df in frames.items()
+        df.select(*[column(found[name], c) for c in types], F.lit(name).alias(shard_column))
+        for name, df in shards.items()
     ]
     return _union_all(aligned)
 
