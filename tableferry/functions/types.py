@@ -21,6 +21,13 @@ def canonical_type(dtype: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def to_text(column: Column, dtype: T.DataType) -> Column:
+    """The text of a value; JSON for arrays, maps and structs."""
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.to_json(column)
+    return column if dtype == T.StringType() else column.cast("string")
+
+
 def _refuse(column: Column, message: str) -> Column:
     """An error naming the value, unless it is null; evaluated only where reached."""
     return F.when(column.isNotNull(), F.raise_error(F.concat(F.lit(message), column.cast("string"))))
@@ -37,8 +44,8 @@ def to_canonical(column: Column, dtype: T.DataType, on_overflow: str = "error")
     target = canonical_type(dtype)
     if dtype == target:
         return column
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return F.to_json(column)
+    if target == T.StringType():
+        return to_text(column, dtype)
     if isinstance(dtype, T.DecimalType) and dtype.scale == 0 and dtype.precision > 18:
         fitted = column.try_cast(target)
         if on_overflow == "null":

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableferry.functions.types import to_text
 from tableferry.operators.columns import quoted
 
 KINDS = ("string", "hash", "set")
@@ -29,8 +30,11 @@ _TEXT_KEEPS_APART = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.
 
 def _grouping(df: DataFrame, position: int) -> Column:
     field = df.schema.fields[position]
-    column = F.col(quoted(field.name))
-    return column if isinstance(field.dataType, _TEXT_KEEPS_APART) else column.cast("string")
+    return F.col(quoted(field.name)) if isinstance(field.dataType, _TEXT_KEEPS_APART) else _text(df, field.name)
+
+
+def _text(df: DataFrame, name: str) -> Column:
+    return to_text(F.col(quoted(name)), df.schema[name].dataType)
 
 
 def _key_text(column: str) -> Column:
@@ -72,7 +76,7 @@ def kv_string(
 ) -> DataFrame:
     """``key, value`` from the first two columns; rows without a value write nothing."""
     order_by = _order(order_by) if order_by else None
-    value = F.col(quoted(df.columns[1])).cast("string")
+    value = _text(df, df.columns[1])
     latest = (
         df.groupBy(_grouping(df, 0).alias("_key"))
         .agg(_latest(value, order_by).alias("value"))
@@ -101,7 +105,7 @@ def kv_hash(
     slots = [f"_field_{i}" for i in range(len(names))]
     wide = df.groupBy(_grouping(df, 0).alias("_key")).agg(
         *[
-            _latest(F.col(quoted(name)).cast("string"), order_by).alias(slot)
+            _latest(_text(df, name), order_by).alias(slot)
             for name, slot in zip(names, slots)
         ]
     )

@@ -39,7 +39,8 @@ report = overwrite_partition(failing_once(numbers), "t", {"dt": "a"}).first()
 assert report["n_rows"] == 1000, report
 assert spark.table("t").agg(F.count("id"), F.sum("id")).first()[:] == (1000, 499500)
 
-shards = {"x": failing_once(numbers), "y": failing_once(numbers.where("id < 10")), "z": failing_once(numbers.where("id < 0"))}
+parts = {"x": numbers, "y": numbers.where("id < 10"), "z": numbers.where("id < 0")}
+shards = {name: failing_once(part) for name, part in parts.items()}
 counts = {r["partition"]: r["n_rows"] for r in merge_shards(shards, "m").collect()}
 assert counts == {"shard=x": 1000, "shard=y": 10, "shard=z": 0}, counts
 

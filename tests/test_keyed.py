@@ -84,5 +84,14 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
 def test_keys_with_the_same_text_are_one_key(spark, rows):
     df = spark.sql("select map('a', 1) k, 'x' v, 1 at union all select map('a', 1), 'y', 2")
     assert rows(kv_set(df.selectExpr("to_json(k) k", "v"))) == [('{"a":1}', "x"), ('{"a":1}', "y")]
-    moments = spark.sql("select timestamp_ntz '2024-01-01 00:00:00' k, 'x' v, 1 at union all select timestamp_ntz '2024-01-01', 'y', 2")
+    moments = spark.sql(
+        "select timestamp_ntz '2024-01-01 00:00:00' k, 'x' v, 1 at union all select timestamp_ntz '2024-01-01', 'y', 2"
+    )
     assert rows(kv_string(moments, "at")) == [("2024-01-01 00:00:00", "y")]
+
+
+def test_nested_keys_and_values_become_json(spark, rows):
+    df = spark.sql("select array(1, 2) k, named_struct('x', 1) v, map('a', 2) w")
+    assert rows(kv_string(df)) == [("[1,2]", '{"x":1}')]
+    assert rows(kv_hash(df)) == [("[1,2]", "v", '{"x":1}'), ("[1,2]", "w", '{"a":2}')]
+    assert rows(kv_set(df)) == [("[1,2]", '{"x":1}')]

@@ -139,7 +139,8 @@ def test_growing_schema(spark, new_table, rows):
 def test_a_failing_write_leaves_the_old_partition(spark, new_table, rows):
     table = new_table()
     overwrite_partition(spark.range(3), table, {"dt": "a"})
-    failing = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")).alias("id"))
+    bad = F.when(F.col("id") == 2, F.raise_error(F.lit("bad row"))).otherwise(F.col("id"))
+    failing = spark.range(3).select(bad.alias("id"))
     with pytest.raises(PySparkException):
         overwrite_partition(failing, table, {"dt": "a"})
     assert rows(spark.table(table)) == [(0, "a"), (1, "a"), (2, "a")]
@@ -347,3 +348,21 @@ def test_loads_known_to_be_empty(spark, new_table, empty):
     assert delete_then_write(spark.sql(empty), plain, "id = 0").first()["n_rows"] == 2
     merged = new_table()
     assert [r["n_rows"] for r in merge_shards({"x": spark.sql(empty)}, merged).collect()] == [0]
+
+
+def test_tables_of_a_named_database(spark, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS other_db")
+    try:
+        overwrite_partition(spark.range(2), "other_db.loads", {"dt": "a"})
+        merge_shards({"x": spark.range(1), "y": spark.range(0)}, "other_db.merged")
+        delete_then_write(spark.sql("select 9L id, 'a' dt"), "other_db.loads", "id = 0")
+        overwrite_partition(spark.range(2), "other_db.plain")
+        delete_then_write(spark.range(7, 8), "other_db.plain", "id = 0")
+        assert rows(spark.table("other_db.loads")) == [(1, "a"), (9, "a")]
+        assert rows(spark.table("other_db.merged")) == [(0, "x")]
+        assert rows(spark.table("other_db.plain")) == [(1,), (7,)]
+        spark.sql("DROP TABLE other_db.plain")
+        overwrite_partition(spark.range(1), "other_db.plain")
+        assert spark.table("other_db.plain").count() == 1
+    finally:
+        spark.sql("DROP DATABASE other_db CASCADE")
