@@ -205,6 +205,10 @@ ORACLES = {
     "bulk_write": """
         select count(*) as n_rows, cast(0 as bigint) as n_retries, cast(0 as bigint) as n_dropped_rows from lineitem
     """,
+    "kv_publish": """
+        select count(*) as n_rows, cast(0 as bigint) as n_dropped_rows
+        from (select distinct l_partkey, l_returnflag from lineitem) t
+    """,
     "job_ingest": """
         with o as (select * from orders where o_orderstatus = 'F' or o_orderpriority = '1-URGENT'),
         b as (select min(o_orderkey) as lo, max(o_orderkey) as hi from o),

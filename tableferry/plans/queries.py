@@ -24,6 +24,7 @@ from tableferry.operators.sqlstep import sql_step
 from tableferry.plans.job import Job, preview
 from tableferry.session import scratch_dir
 from tableferry.sinks.bulk import batch_plan, write_bulk
+from tableferry.sinks.stores import publish_keyed
 from tableferry.sinks.tables import (
     SAVE_MODES,
     delete_then_write,
@@ -428,13 +429,13 @@ def q_batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_plan(split, "split_id", 1000)
 
 
-def q_bulk_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row goes to a writer in batches; here the writer only accepts them."""
+def _accepting(n_columns: int):
+    """A writer for any store, here one that only accepts whole batches."""
 
     def open_writer():
         class Accepting:
             def write(self, batch):
-                if batch.num_columns != 4:
+                if batch.num_columns != n_columns:
                     raise ValueError("a batch lacks columns")
 
             def close(self):
@@ -442,8 +443,20 @@ def q_bulk_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return Accepting()
 
+    return open_writer
+
+
+def q_bulk_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line goes to a writer in batches."""
     rows = prune_columns(table(spark, sf_dir, "lineitem"), "l_orderkey,l_partkey,l_suppkey,l_linenumber")
-    return write_bulk(rows, open_writer, bulk_size=5000).select("n_rows", "n_retries", "n_dropped_rows")
+    return write_bulk(rows, _accepting(4), bulk_size=5000).select("n_rows", "n_retries", "n_dropped_rows")
+
+
+def q_kv_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set entries go to a writer, one pipeline per batch."""
+    members = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag")
+    report = publish_keyed(members, _accepting(5), "set", expire_ms=60_000)
+    return report.select("n_rows", "n_dropped_rows")
 
 
 # --- a whole job -----------------------------------------------------------
