@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import mixing, neardup, reputation, warc
+from tableferry.llm import mixing, neardup, reputation, suffixdedup, warc
 from tableferry.plans.queries import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def _outcomes(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("doc_id").alias("page_id"), good.alias("good"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.report(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return reputation.judge_urls(pages, _outcomes(table(spark, sf_dir, "labels")))
