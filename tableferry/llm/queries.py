@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import mixing, neardup, reputation, suffixdedup, warc
+from tableferry.llm import decontam, digest, langid, licenses, mixing, neardup, reputation, suffixdedup, toxicity, warc
 from tableferry.plans.queries import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,18 @@ def _outcomes(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("doc_id").alias("page_id"), good.alias("good"))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.report(spark, table(spark, sf_dir, "documents"))
 
@@ -37,10 +49,18 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark, table(spark, sf_dir, "pages"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(spark, table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}
 

@@ -137,3 +137,27 @@ def row_sets(hashed: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def lists(values: np.ndarray, rows: np.ndarray) -> pa.Array:
     """An Arrow list column with each row's part of ``values``."""
     return pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.array(values))
+
+
+#: ASCII punctuation, dropped at both ends of a word.
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+
+
+def trimmed_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like :func:`word_hashes`, without punctuation at the ends of words; words of nothing else are left out."""
+    begin, end, _ = word_spans(data, starts)
+    if len(begin):
+        open_ = np.flatnonzero(_PUNCTUATION[data[begin]])
+        while len(open_):
+            begin[open_] += 1
+            open_ = open_[begin[open_] < end[open_]]
+            open_ = open_[_PUNCTUATION[data[begin[open_]]]]
+        open_ = np.flatnonzero((end > begin) & _PUNCTUATION[data[end - 1]])
+        while len(open_):
+            end[open_] -= 1
+            open_ = open_[begin[open_] < end[open_]]
+            open_ = open_[_PUNCTUATION[data[end[open_] - 1]]]
+        full = end > begin
+        begin, end = begin[full], end[full]
+    return RangeHash(data, lower=True).of(begin, end), np.searchsorted(begin, starts)
