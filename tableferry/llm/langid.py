@@ -29,6 +29,8 @@ STEPS, BATCH, RATE = 220, 192, 0.02
 #: Windows that run through the network side by side.
 SIDE_BY_SIDE = 4096
 UNKNOWN = "und"
+#: Documents with a lower mean probability are in no language that is known.
+LEAST_SCORE = 0.3
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
 
@@ -202,6 +204,19 @@ def _pooled(network: Network, data: np.ndarray, starts: np.ndarray) -> tuple[np.
     return mass, votes, letters
 
 
+def _judged(network: Network | None, block: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Predicted language, score and share of each row of a block."""
+    column = block.column("text")
+    # Bytes of 128 and more need not be letters.
+    known = np.array([t is not None and any(map(str.isalpha, t)) for t in column.to_pylist()], bool)
+    if not network:
+        return [UNKNOWN] * len(known), np.zeros(len(known)), np.zeros(len(known))
+    mass, votes, letters = _pooled(network, *texts.flat(column))
+    best, rows, many = mass.argmax(axis=1), np.arange(len(known)), np.maximum(letters, 1)
+    names = [network.labels[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known.tolist())]
+    return names, np.minimum(mass[rows, best] / many, 1) * known, votes[rows, best] / many * known
+
+
 def identify(spark: SparkSession, documents: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score, share)`` per row of documents.
 
@@ -216,27 +231,33 @@ def identify(spark: SparkSession, documents: DataFrame, folds: int = 3, held_out
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in texts.blocks(batch):
-                column = block.column("text")
-                data, starts = texts.flat(column)
-                if network:
-                    mass, votes, letters = _pooled(network, data, starts)
-                    best = mass.argmax(axis=1)
-                    rows = np.arange(len(best))
-                    names, many = network.labels, np.maximum(letters, 1)
-                    score, share = np.minimum(mass[rows, best] / many, 1), votes[rows, best] / many
-                # Bytes of 128 and more need not be letters.
-                known = [bool(network) and t is not None and any(map(str.isalpha, t)) for t in column.to_pylist()]
+                names, score, share = _judged(network, block)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        block.column("doc_id"),
-                        block.column("held_out"),
-                        pa.array([names[best[i]] if ok else UNKNOWN for i, ok in enumerate(known)], pa.string()),
-                        pa.array([float(score[i]) if ok else 0.0 for i, ok in enumerate(known)], pa.float64()),
-                        pa.array([float(share[i]) if ok else 0.0 for i, ok in enumerate(known)], pa.float64()),
-                    ],
+                    [block.column("doc_id"), block.column("held_out"), *map(pa.array, (names, score, share))],
                     ["doc_id", "held_out", "lang_pred", "score", "share"],
                 )
 
     return documents.select("doc_id", "text", (fold("doc_id", folds) == held_out).alias("held_out")).mapInArrow(
         run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, share double"
     )
+
+
+def recognised(spark: SparkSession, documents: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """Documents in a language that the network knows, with all their columns.
+
+    Null texts, texts without a letter, and those whose mean probability is under
+    ``least_score`` go. If nothing is labelled, every text with a letter stays.
+    """
+    network = learn(spark, documents)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in texts.blocks(batch):
+                if network:
+                    names, score, _ = _judged(network, block)
+                    keep = [n != UNKNOWN and s >= least_score for n, s in zip(names, score.tolist())]
+                else:
+                    keep = [t is not None and any(map(str.isalpha, t)) for t in block.column("text").to_pylist()]
+                yield block.filter(pa.array(keep, pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tableferry.llm import texts
@@ -80,9 +81,9 @@ def _nodes(values: np.ndarray, rows: np.ndarray) -> list[int | None]:
     return out
 
 
-def signed(documents: DataFrame, k: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, n_shingles, node, bands)`` per row; node and bands are null without words."""
-    kind = dict(documents.dtypes)["doc_id"]
+def signed(documents: DataFrame, k: int, bands: int, rows: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, n_shingles, node, bands)`` and carried columns per row; without words node is null and bands are empty."""
+    given = documents.select("doc_id", *carried, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,13 +95,15 @@ def signed(documents: DataFrame, k: int = SHINGLE_WORDS, bands: int = BANDS, row
                 places = np.concatenate([[0], np.cumsum(full)]) * bands
                 listed = texts.lists(keys.ravel(), places)
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("doc_id"), pa.array(np.diff(at)), pa.array(_nodes(values, at), pa.int64()), listed],
-                    ["doc_id", "n_shingles", "node", "bands"],
+                    [
+                        *(block.column(c) for c in ("doc_id", *carried)),
+                        *(pa.array(np.diff(at)), pa.array(_nodes(values, at), pa.int64()), listed),
+                    ],
+                    ["doc_id", *carried, "n_shingles", "node", "bands"],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles bigint, node bigint, bands array<bigint>"
-    )
+    kept = ", ".join(f"`{name}` {kind}" for name, kind in given.drop("text").dtypes)
+    return given.mapInArrow(run, f"{kept}, n_shingles bigint, node bigint, bands array<bigint>")
 
 
 def _shingle_sets(documents: DataFrame, k: int) -> DataFrame:
@@ -129,7 +132,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def near_duplicates(
+def grouped(
     spark: SparkSession,
     documents: DataFrame,
     k: int = SHINGLE_WORDS,
@@ -137,19 +140,10 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     rounds: int = ROUNDS,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` per row of documents.
-
-    Documents whose sets of ``k``-word shingles share ``percent`` of their union
-    are linked; a component's id is its least doc_id, and that document is kept.
-    At similarity 0.8 a pair misses all 32 bands with a chance of 5e-8.
-
-    Null or wordless texts have an empty set and their own id; they are kept.
-    Repeated rows and ids share a component and are kept alike. A null doc_id is
-    ignored in the minimum; a component of null ids only has a null id and is
-    kept. No rows give no rows; other columns are not read.
-    """
-    docs = stored(spark, signed(documents, k, bands, rows), "signed")
+    """``(doc_id, carried..., n_shingles, root, component_id)`` per row: root is the component, null without words."""
+    docs = stored(spark, signed(documents, k, bands, rows, carried), "signed")
     entries = docs.where("node is not null").select("node", "n_shingles", F.explode("bands").alias("band"))
     shared = (
         entries.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("band")
@@ -211,7 +205,49 @@ def near_duplicates(
     first = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     placed = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    final = stored(spark, placed.join(least, "root").select("node", "component_id"), "placed")
-    with_words = docs.where("node is not null").join(final, "node").select("doc_id", "n_shingles", "component_id")
-    without = docs.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return with_words.unionByName(without).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    final = stored(spark, placed.join(least, "root").select("node", "root", "component_id"), "placed")
+    columns = ["doc_id", *carried, "n_shingles"]
+    with_words = docs.where("node is not null").join(final, "node").select(*columns, "root", "component_id")
+    without = docs.where("node is null").select(
+        *columns, F.lit(None).cast("bigint").alias("root"), F.col("doc_id").alias("component_id")
+    )
+    return with_words.unionByName(without)
+
+
+def near_duplicates(
+    spark: SparkSession, documents: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, **more
+) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` per row of documents.
+
+    Documents whose sets of ``k``-word shingles share ``percent`` of their union
+    are linked; a component's id is its least doc_id, and that document is kept.
+    At similarity 0.8 a pair misses all 32 bands with a chance of 5e-8.
+
+    Null or wordless texts have an empty set and their own id; they are kept.
+    Repeated rows and ids share a component and are kept alike. A null doc_id is
+    ignored in the minimum; a component of null ids only has a null id and is
+    kept. No rows give no rows; other columns are not read.
+    """
+    return grouped(spark, documents, k, percent, **more).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+def without_duplicates(spark: SparkSession, documents: DataFrame, **more) -> DataFrame:
+    """One document of each component, the one with the least doc_id, with all its columns.
+
+    Wordless texts are linked with nothing and stay. Of rows that share the least id
+    (or have none), one stays.
+    """
+    keyed = documents.withColumn("_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    found = grouped(spark, keyed, carried=("_key",), **more)
+    first = (
+        found.where(F.col("root").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root")
+        .agg(F.min("_key").alias("_key"))
+    )
+    wordless = found.where("root is null").select("_key").distinct()
+    kept = first.select("_key", F.lit(True).alias("_one")).unionByName(wordless.select("_key", F.lit(False).alias("_one")))
+    joined = keyed.join(stored(spark, kept, "kept"), "_key")
+    place = F.row_number().over(W.partitionBy("_key").orderBy(*[c for c in documents.columns if c != "text"]))
+    return joined.withColumn("_place", place).where("not _one or _place = 1").select(*documents.columns)
