@@ -53,3 +53,13 @@ def components(spark: SparkSession, edges: DataFrame, rounds: int = 60) -> DataF
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def prefixed(df: DataFrame, prefix: str = "own_") -> DataFrame:
+    """``df`` with a prefix on all names, so that columns added meanwhile clash with none."""
+    return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
+
+
+def unprefixed(df: DataFrame, names: list[str], prefix: str = "own_") -> DataFrame:
+    """Back to the columns and names from before."""
+    return df.select(*[F.col(f"`{prefix}{c}`").alias(c) for c in names])

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm import texts
+from tableferry.llm.components import prefixed, unprefixed
 
 SEED_WORDS = 5
 COVERAGE = 0.5
@@ -184,7 +185,7 @@ def contaminated(
 
 def clean(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """Documents that no item contaminates, judged row by row: a repeated id does not drop its clean rows."""
-    keyed = documents.withColumn("_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    by_key = keyed.select(F.col("_key").alias("doc_id"), "text")
-    bad = contaminated(spark, by_key, benchmark, coverage).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(bad, "_key", "left_anti").select(*documents.columns)
+    keyed = prefixed(documents).withColumn("key", F.xxhash64("own_doc_id", F.coalesce("own_text", F.lit(""))))
+    by_key = keyed.select(F.col("key").alias("doc_id"), F.col("own_text").alias("text"))
+    bad = contaminated(spark, by_key, benchmark, coverage).select(F.col("doc_id").alias("key")).distinct()
+    return unprefixed(keyed.join(bad, "key", "left_anti"), documents.columns)

@@ -148,7 +148,7 @@ def drawn(spark: SparkSession, sources: DataFrame, most: int = MOST, shard_block
         .where(F.col("slot") < most * F.col("blocks"))
         .withColumn("pass", F.floor(F.col("slot") / F.col("blocks")))
     )
-    fits = F.expr(f"filter(array({', '.join(f'{p}L' for p in PRIMES)}), p -> p % blocks <> 0)")
+    fits = F.expr(f"filter(array({', '.join(f'{p}L' for p in PRIMES)}), p -> blocks = 1 or p % blocks <> 0)")
     step = F.element_at(fits, (_hashed(F.col("src"), F.col("pass"), F.lit("a")) % F.size(fits) + 1).cast("int"))
     shift = _hashed(F.col("src"), F.col("pass"), F.lit("b")) % F.col("blocks")
     product = (step % F.col("blocks")).cast("decimal(18,0)") * (F.col("slot") % F.col("blocks")).cast("decimal(18,0)")
@@ -249,7 +249,7 @@ based as (
 slots as (select src, blocks, unnest(range(base, base + n)) as slot from based where n > 0),
 passed as (
     select *, slot // blocks as pass,
-        list_filter([2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497], lambda p: p % blocks <> 0) as fits
+        list_filter([2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497], lambda p: blocks = 1 or p % blocks <> 0) as fits
     from slots where slot < 3 * blocks),
 mapped as (
     select src, ((fits[('0x' || substr(md5(src || ':' || pass || ':a'), 1, 13))::bigint % len(fits) + 1] % blocks)::hugeint * (slot % blocks)

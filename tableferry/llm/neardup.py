@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tableferry.llm import texts
-from tableferry.llm.components import components, stored
+from tableferry.llm.components import components, prefixed, stored, unprefixed
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -239,15 +239,18 @@ def without_duplicates(spark: SparkSession, documents: DataFrame, **more) -> Dat
     Wordless texts are linked with nothing and stay. Of rows that share the least id
     (or have none), one stays.
     """
-    keyed = documents.withColumn("_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    found = grouped(spark, keyed, carried=("_key",), **more)
+    keyed = prefixed(documents).withColumn("key", F.xxhash64("own_doc_id", F.coalesce("own_text", F.lit(""))))
+    found = grouped(
+        spark, keyed.select(F.col("own_doc_id").alias("doc_id"), F.col("own_text").alias("text"), "key"), carried=("key",), **more
+    )
     first = (
         found.where(F.col("root").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
-        .agg(F.min("_key").alias("_key"))
+        .agg(F.min("key").alias("key"))
     )
-    wordless = found.where("root is null").select("_key").distinct()
-    kept = first.select("_key", F.lit(True).alias("_one")).unionByName(wordless.select("_key", F.lit(False).alias("_one")))
-    joined = keyed.join(stored(spark, kept, "kept"), "_key")
-    place = F.row_number().over(W.partitionBy("_key").orderBy(*[c for c in documents.columns if c != "text"]))
-    return joined.withColumn("_place", place).where("not _one or _place = 1").select(*documents.columns)
+    wordless = found.where("root is null").select("key").distinct()
+    kept = first.select("key", F.lit(True).alias("one")).unionByName(wordless.select("key", F.lit(False).alias("one")))
+    joined = keyed.join(stored(spark, kept, "kept"), "key")
+    own = [F.col(f"`own_{c}`") for c, kind in documents.dtypes if c != "text" and not kind.startswith("map")]
+    placed = joined.withColumn("place", F.row_number().over(W.partitionBy("key").orderBy(*own)))
+    return unprefixed(placed.where("not one or place = 1"), documents.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm import texts
-from tableferry.llm.components import stored
+from tableferry.llm.components import prefixed, stored, unprefixed
 from tableferry.llm.induced import CHUNK, Spool, Workspace, sorted_suffixes
 
 LENGTH = 400
@@ -350,33 +350,33 @@ def without_repeats(spark: SparkSession, documents: DataFrame, length: int = LEN
 
     All rows and columns are kept; ``n_chars``, if there, is counted anew for changed texts.
     """
-    docs = keyed(documents)
-    spans = stored(spark, repeated_spans(spark, docs, length), "spans")
+    plain = keyed(documents.select("doc_id", "text"))
+    spans = stored(spark, repeated_spans(spark, plain, length), "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.schema.get_field_index("text")
-            column, out = batch.column(place), []
+            place, count = (batch.schema.get_field_index(f"own_{c}") for c in ("text", "n_chars"))
+            texts_out = batch.column(place).to_pylist()
+            counts = batch.column(count).to_pylist() if count >= 0 else None
             for i in range(batch.num_rows):
-                cut = _merged(batch.column("_spans"), i)
-                text = column[i].as_py()
+                cut = _merged(batch.column("spans"), i)
                 if cut:
-                    data, whole = text.encode(), []
+                    data, whole = texts_out[i].encode(), []
                     for a, b in cut:
                         while a < b and data[a] & 0xC0 == 0x80:
                             a += 1
                         while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
                             b -= 1
                         whole.append((a, b))
-                    text = _left(data, whole).decode()
-                out.append(text)
-            yield batch.set_column(place, "text", pa.array(out, column.type))
-
-    joined = docs.join(spans.withColumnRenamed("spans", "_spans"), list(_KEYS), "left").drop(*_KEYS)
-    schema = joined.schema
-    kept = joined.mapInArrow(run, schema)
-    if "n_chars" in documents.columns:
-        kept = kept.withColumn(
-            "n_chars", F.when(F.size("_spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(dict(documents.dtypes)["n_chars"])
-        )
-    return kept.select(*documents.columns)
+                    texts_out[i] = _left(data, whole).decode()
+                    if counts:
+                        counts[i] = len(texts_out[i])
+            batch = batch.set_column(place, batch.schema.field(place), pa.array(texts_out, batch.column(place).type))
+            if counts:
+                batch = batch.set_column(count, batch.schema.field(count), pa.array(counts, batch.column(count).type))
+            yield batch.drop_columns(["spans"])
+
+    text = F.coalesce("own_text", F.lit(""))
+    docs = prefixed(documents).withColumn("_key", F.xxhash64("own_doc_id", text)).withColumn("_key2", F.hash(text))
+    joined = docs.join(spans, list(_KEYS), "left").drop(*_KEYS)
+    return unprefixed(joined.mapInArrow(run, joined.drop("spans").schema), documents.columns)

@@ -1,0 +1,220 @@
+"""Language, toxicity, fingerprints, licenses and decontamination."""
+
+import hashlib
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tableferry.llm import decontam, digest, langid, licenses, toxicity
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+LETTERS = {"aa": "abcdeé", "bb": "efghiñ", "cc": "klmnoü"}
+
+
+def held_out(i, folds, fold):
+    return zlib.crc32(str(i).encode()) % folds == fold
+
+
+@pytest.fixture
+def labelled(documents):
+    rng, rows = random.Random(3), []
+    for i in range(300):
+        lang = rng.choice(sorted(LETTERS))
+        words = ["".join(rng.choice(LETTERS[lang]) for _ in range(rng.randint(2, 7))) for _ in range(rng.randint(3, 60))]
+        rows.append((i, " ".join(words), lang if i % 9 else None, "s"))
+    odd = [(1000, None, "aa", "s"), (1001, "", "aa", "s"), (1002, "12 ×÷ 3 %", "aa", "s"), (1003, "ab" * 50_000, "aa", "s")]
+    return documents(rows + odd + [rows[1], (None, "abcabd ebac", "aa", "s")])
+
+
+def test_languages_of_unseen_documents(spark, labelled):
+    want = {r.doc_id: r for r in labelled.collect()}
+    got = langid.identify(spark, labelled).collect()
+    assert len(got) == labelled.count()
+    right = [r.lang_pred == want[r.doc_id].lang for r in got if r.held_out and r.doc_id < 300 and want[r.doc_id].lang]
+    assert len(right) > 50 and np.mean(right) > 0.95
+    assert all(r.held_out == held_out(r.doc_id, 3, 1) for r in got if r.doc_id is not None)
+    by_id = {r.doc_id: r for r in got}
+    assert [(by_id[i].lang_pred, by_id[i].score) for i in (1000, 1001, 1002)] == [("und", 0)] * 3
+    assert by_id[1003].lang_pred == "aa" and all(0 <= r.score <= 1 for r in got)
+    kept = langid.recognised(spark, labelled)
+    assert kept.columns == labelled.columns and kept.count() == labelled.count() - 3
+
+
+def test_languages_without_labels(spark, documents):
+    docs = documents([(1, "abc"), (2, None)])
+    assert {r.lang_pred for r in langid.identify(spark, docs).collect()} == {"und"}
+    assert [r.doc_id for r in langid.recognised(spark, docs).collect()] == [1]
+    assert not langid.identify(spark, documents([])).take(1)
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.Generator(np.random.PCG64(4))
+    way = langid.Direction(rng)
+    way.table, way.back = way.table.astype(np.float64), way.back.astype(np.float64)
+    symbols = rng.integers(0, 5, (6, 3))
+    aim = rng.normal(size=(6, 3, langid.UNITS))
+
+    def loss():
+        state, total = np.zeros((3, langid.UNITS)), 0.0
+        for t, row in enumerate(symbols):
+            past = state @ way.back
+            gate = 1 / (1 + np.exp(-(way.table[row, : langid.UNITS] + past[:, : langid.UNITS])))
+            new = np.tanh(way.table[row, langid.UNITS :] + gate * past[:, langid.UNITS :])
+            state = state + gate * (new - state)
+            total += (state * aim[t]).sum()
+            states[t] = state
+        return total
+
+    states = np.zeros((6, 3, langid.UNITS))
+    loss()
+    assert np.allclose(way.states(symbols), states, atol=1e-5)
+    table, back = way.backward(symbols, states.copy(), aim)
+    for weights, gradient in ((way.table, table), (way.back, back)):
+        for at in [(0, 1), (2, langid.UNITS + 3), (4, 7)]:
+            kept = weights[at]
+            weights[at] = kept + 1e-5
+            high = loss()
+            weights[at] = kept - 1e-5
+            low = loss()
+            weights[at] = kept
+            assert (high - low) / 2e-5 == pytest.approx(gradient[at], abs=1e-5)
+
+
+@pytest.fixture
+def judged(spark, documents, prose):
+    rng, rows, labels = random.Random(5), [], []
+    for i in range(400):
+        words, toxic = prose(i, 40).split(), rng.random() < 0.25
+        if toxic:
+            words[rng.randrange(40)] = rng.choice(["blockhead", "nincompoop", "scoundrel", "wretched"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    odd = [(1000, None), (1001, ""), (1002, "... !!"), (1003, "b.l.o.c.k.h.e.a.d"), (1004, "a ninncompoop x"), (1005, "n" * 90_000), rows[0]]
+    labels += [(0, 1, None), (None, 1, 1), (9999, 0, 1), (3, 0, labels[3][2])]
+    return documents(rows + odd), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), rows
+
+
+def test_toxicity_of_unseen_documents(spark, judged):
+    docs, labels, rows = judged
+    want = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    got = toxicity.toxicity(spark, docs, labels).collect()
+    assert len(got) == docs.count()
+    unseen = [r for r in got if r.held_out and r.doc_id < 400]
+    assert len(unseen) > 60 and all(r.predicted == want[r.doc_id] for r in unseen)
+    assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in got)
+    by_id = {r.doc_id: r for r in got}
+    lowest = min(r.score for r in got)
+    assert [by_id[i].score for i in (1000, 1001, 1002)] == [lowest] * 3
+    assert by_id[1003].predicted == 1 and by_id[1004].score > 2 * lowest
+    assert {r.predicted for r in toxicity.toxicity(spark, docs, labels.limit(0)).collect()} == {0}
+    assert not toxicity.toxicity(spark, docs.limit(0), labels).take(1)
+
+
+def test_gapped_subsequences():
+    def word(text):
+        return toxicity.words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+
+    symbols, at, _ = word("cat caxt dog")
+    found = [dict(zip(key.tolist(), mass)) for key, mass in toxicity.features(symbols, at)]
+    like = [[sum(a[k] * b.get(k, 0) for k in a) for b in found] for a in found]
+    assert np.allclose(np.diag(like), 1) and 0 < like[0][1] < 1 and like[0][2] == 0
+    assert len(word("i d i o t")[1]) == 2 and len(word("id1ot a b")[1]) == 3
+    assert len(word("x" * 100)[1]) - 1 == 6
+
+
+def test_fingerprints_of_neighbours(spark, documents, prose):
+    rows = [(5, prose(1, 300)), (1, None), (9, "ab"), (7, "é" * 41), (7, "same id"), (None, prose(2, 50)), (12, prose(1, 300)), (3, "")]
+    rows += [(100 + i, prose(20 + i, 200)) for i in range(30)]
+    ordered = sorted(((-1 if i is None else i, t or "", i) for i, t in rows))
+    got = {(r.doc_id, r.n_chars): r for r in digest.fingerprints(spark, documents(rows)).collect()}
+    assert len(got) == len(rows)
+    for place, (_, text, i) in enumerate(ordered):
+        after = ordered[(place + 1) % len(ordered)][1]
+        n = len(text) // 4
+        changed = text[: len(text) - n] + after[:n]
+        r = got[(i, len(text))]
+        assert r.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        code = digest.codes([text.encode(), changed.encode(), after.encode()])
+        mine, edit, following = [(code[0][[k]], code[1][[k]]) for k in range(3)]
+        assert (r.fingerprint, r.edited_fingerprint) == (digest.written(*mine)[0], digest.written(*edit)[0])
+        assert r.near_edited == digest.likeness(*mine, *edit)[0] and r.near_next == digest.likeness(*mine, *following)[0]
+        assert 0 <= r.near_next <= 1
+    assert got[(5, len(rows[0][1]))].fingerprint == got[(12, len(rows[0][1]))].fingerprint
+    one = digest.fingerprints(spark, documents([(1, "abcd")])).collect()
+    assert [(r.near_next, r.edited_sha256) for r in one] == [(1, hashlib.sha256(b"abca").hexdigest())]
+    assert not digest.fingerprints(spark, documents([])).take(1)
+
+
+def test_buckets_count_triplets_of_each_text_alone(prose):
+    values = [prose(i, n).encode() for i, n in enumerate([0, 1, 2, 30, 400])]
+    code, length = digest.codes(values)
+    for k, value in enumerate(values):
+        alone, size = digest.codes([value])
+        assert (alone[0] == code[k]).all() and size[0] == length[k]
+
+
+def test_license_scan_finds_changed_notices(spark, documents, prose):
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    rows = [(1, prose(1, 500) + " (licensed UNDER the Apache License, Version 2.0) " + prose(2, 300)), (2, gpl + " " + gpl), (3, None), (4, ""),
+            (5, gpl.replace("3", "4")), (6, "licensed under the"), (None, "Released under the MIT License."), (1, "nothing")]
+    got = sorted(((r.doc_id, r.license, r.first_word, r.last_word, r.containment) for r in licenses.license_scan(documents(rows)).collect()), key=repr)
+    assert got == sorted(
+        [(1, "Apache-2.0", 500, 506, 1), (2, "GPL-3.0", 0, 23, 1), (5, "GPL-3.0", 0, 10, 7 / 8), (None, "MIT", 0, 4, 1)], key=repr
+    )
+    assert licenses.bands_for(0.8, 8, 1e-6) > licenses.bands_for(1.0, 8, 1e-6)
+
+
+def brute_tiles(text, item, seed):
+    """Greedy string tiling by looking at all pairs of places."""
+    text_free, item_free, out = [True] * len(text), [True] * len(item), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(text)):
+            for j in range(len(item)):
+                n = 0
+                while i + n < len(text) and j + n < len(item) and text[i + n] == item[j + n] and text_free[i + n] and item_free[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        if best[0] < seed:
+            return out
+        n, i, j = best
+        text_free[i : i + n], item_free[j : j + n] = [False] * n, [False] * n
+        out += n
+
+
+def test_tiles_cover_what_greedy_tiling_covers(spark, documents):
+    rng = random.Random(11)
+    items = [(k, " ".join(rng.choice("abcd") + rng.choice("xy") for _ in range(rng.randint(1, 30)))) for k in range(8)]
+    rows = []
+    for i in range(30):
+        words = rng.choice(items)[1].split()
+        cut = rng.randrange(len(words) + 1)
+        noise = [rng.choice("abcd") + rng.choice("xy") for _ in range(rng.randint(0, 20))]
+        rows.append((i, " ".join(words[cut:] + noise + words[:cut])))
+    bench = spark.createDataFrame([*items, (50, None), (51, "..")], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontam.contaminated(spark, documents([*rows, (99, None), (98, "")]), bench, slice_words=20).collect()}
+    want = {}
+    for i, text in rows:
+        for k, item in items:
+            size = len(item.split())
+            covered = brute_tiles(text.split(), item.split(), min(5, size)) / size
+            if covered >= decontam.COVERAGE:
+                want[(i, k)] = covered
+    assert got == pytest.approx(want)
+
+
+def test_reordered_passages_and_clean_rows(spark, documents, prose):
+    item = prose(1, 40)
+    words = item.split()
+    turned = " ".join([prose(2, 30), *words[20:], prose(3, 9), *words[:20]])
+    docs = documents([(1, turned), (2, prose(4, 200)), (3, None), (4, item.upper() + "!"), (4, prose(5, 60)), (None, " ".join(words[:15]))])
+    bench = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id, r.tiles) for r in decontam.contaminated(spark, docs, bench).collect()}
+    assert got == {(1, 7, 2), (4, 7, 1)}
+    kept = decontam.clean(spark, docs, bench)
+    assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=repr) == [2, 3, 4, None]
+    assert decontam.clean(spark, docs, bench.limit(0)).count() == 6 and not decontam.contaminated(spark, docs.limit(0), bench).take(1)
