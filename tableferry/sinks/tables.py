@@ -1,4 +1,4 @@
-"""Publishing DataFrames as parquet tables of the session catalog.
+"""Publishing DataFrames as file tables of the session catalog, parquet where they are new.
 
 A partition is written to a staging folder and moved into place when the job
 commits, so a failed run leaves the old partition. Overwriting a table without
@@ -9,21 +9,26 @@ is asked for: each write task writes the rows it read.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.types import canonical_type, to_canonical
 from tableferry.operators.columns import list_items, normalize_types, prune_columns, quoted, select_list
-from tableferry.session import filesystem, setting
+from tableferry.session import filesystem, scratch_dir, setting
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error")
 OPEN_FILES = 16
 PARTITIONS_PER_STATEMENT = 100
+#: Formats whose files can be replaced partition by partition.
+FILE_FORMATS = ("parquet", "orc", "csv", "json")
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 REPORT = "table_name string, partition string, n_rows bigint"
 
 
@@ -63,7 +68,7 @@ def partition_spec(
 
 
 def _spec_sql(spec: Mapping[str, str]) -> str:
-    return ", ".join(f"{quoted(k)}={'null' if v is None else _text(v)}" for k, v in spec.items())
+    return ", ".join(f"{quoted(k)}={'null' if v is None else _text(str(v))}" for k, v in spec.items())
 
 
 def _partition_keys(spark: SparkSession, table: str) -> list[str]:
@@ -79,8 +84,9 @@ def ensure_table(
 ) -> None:
     """Create the table if it is absent, else add the columns it lacks.
 
-    Columns are stored as bigint, double or string with their comments;
-    partition keys are strings. A changed column type or partitioning is refused.
+    Columns of a new table are stored as bigint, double or string with their
+    comments; its partition keys are strings. Of an existing table a changed column
+    type or partitioning is refused, and a format whose partitions cannot be replaced.
     """
     wanted = {f.name: f for f in schema.fields}
     clash = set(partition_keys) & set(wanted)
@@ -102,9 +108,10 @@ def ensure_table(
         spark.sql(ddl)
         return
 
+    _described(spark, table)
     stored = spark.table(table).schema
     keys = _partition_keys(spark, table)
-    if keys != list(partition_keys):
+    if sorted(keys) != sorted(partition_keys):
         raise ValueError(f"{table} is partitioned by {keys}, not {list(partition_keys)}")
     present = {f.name: f.dataType for f in stored.fields}
     for name, f in wanted.items():
@@ -131,67 +138,160 @@ def _laid_out(df: DataFrame, layout: int | str | None, keys: Sequence[str] = ())
 
 
 def _by_name(df: DataFrame, table: str) -> DataFrame:
-    """The columns of ``df`` in the table's order; those it lacks are null."""
-    stored = df.sparkSession.table(table).schema
+    """The columns of ``df`` in the table's order; those it lacks are null. Partition keys get the table's types."""
+    spark = df.sparkSession
+    stored, keys = spark.table(table).schema, _partition_keys(spark, table)
     extra = set(df.columns) - set(stored.fieldNames())
     if extra:
         raise ValueError(f"{table} has no columns {sorted(extra)}")
-    return df.select(
-        [
-            F.col(quoted(f.name)) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in stored.fields
-        ]
-    )
+
+    def column(f: T.StructField) -> Column:
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        found = F.col(quoted(f.name))
+        return found.cast(f.dataType).alias(f.name) if f.name in keys and df.schema[f.name].dataType != f.dataType else found
+
+    return df.select([column(f) for f in stored.fields])
 
 
-def _publish(df: DataFrame, table: str, keys: Sequence[str]) -> tuple[int, set[tuple]]:
-    """Replace exactly the partitions ``df`` has rows for; returns rows written and those partitions.
+def _described(spark: SparkSession, table: str) -> dict:
+    """Location, format and type of a table; a format that is not files of rows is refused."""
+    described = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").collect()[0]["json_metadata"])
+    if str(described.get("provider", "")).lower() not in FILE_FORMATS:
+        raise ValueError(f"{table} is stored as {described.get('provider')}, not as one of {', '.join(FILE_FORMATS)}")
+    return described
 
-    The set holds one entry per touched partition, as the catalog itself does.
-    Tasks keep a few files open instead of sorting their rows by partition:
-    most write to one partition only, and Spark sorts by itself beyond that.
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where the files of a table are."""
+    return _described(spark, table)["location"]
+
+
+def _format_options(described: Mapping) -> dict[str, str]:
+    """Options a table was created with, such as a separator."""
+    return {str(k): str(v) for k, v in (described.get("storage_properties") or {}).items() if k != "serialization.format"}
+
+
+def _typed(spark: SparkSession, table: str, spec: Mapping[str, str]) -> dict[str, str]:
+    """Partition values as the key's type writes them, in the table's order: ``05`` is ``5`` for a whole number."""
+    fields = [f for f in spark.table(table).schema.fields if f.name in spec]
+    if not fields:
+        return {}
+    cast = [F.lit(spec[f.name]).try_cast(f.dataType).cast("string").alias(f.name) for f in fields]
+    values = spark.range(1).select(cast).first()
+    for f in fields:
+        if values[f.name] is None:
+            raise ValueError(f"{f.name}={spec[f.name]} is no {f.dataType.simpleString()}")
+    return {f.name: values[f.name] for f in fields}
+
+
+def _files(spark: SparkSession, location: str) -> dict[str, set[str]]:
+    """Data files below a folder, by the folder that holds them; nothing is read."""
+    fs, path = filesystem(spark, location)
+    found: dict[str, set[str]] = {}
+    if not fs.exists(path):
+        return found
+    listing = fs.listFiles(path, True)
+    while listing.hasNext():
+        name = listing.next().getPath().toString()
+        folder, _, file = name.rpartition("/")
+        if not file.startswith(("_", ".")):
+            found.setdefault(folder, set()).add(file)
+    return found
+
+
+def _values_of(folder: str, keys: Sequence[str]) -> tuple:
+    """Partition values in a folder's name."""
+    parts = dict(part.split("=", 1) for part in folder.split("/")[-len(keys) :])
+    return tuple(None if parts[k] == NULL_PARTITION else unquote(parts[k]) for k in keys)
+
+
+def _publish(
+    df: DataFrame, table: str, keys: Sequence[str], spec: Mapping[str, str] | None = None
+) -> tuple[int, dict[tuple, int]]:
+    """Replace exactly the partitions ``df`` has rows for; returns rows written, in all and by partition.
+
+    ``spec`` holds what is known of the partitions beforehand: only folders below it
+    are listed, before and after the write. What was written is counted from the
+    footers of the new files, so that the write itself is a plain one. Tasks keep a
+    few files open instead of sorting their rows by partition: most write to one
+    partition only, and Spark sorts by itself beyond that.
     """
-    spark, seen = df.sparkSession, Observation()
-    part = F.struct(*[F.col(quoted(k)) for k in keys]) if keys else F.lit(None)
-    watched = _by_name(df, table).observe(
-        seen, F.count(F.lit(1)).alias("n_rows"), F.collect_set(part).alias("parts")
-    )
+    spark, described = df.sparkSession, _described(df.sparkSession, table)
+    location, kind, options = described["location"], described["provider"].lower(), _format_options(described)
+    rows = _by_name(df, table)
     if not keys:
-        watched.write.mode("overwrite").insertInto(table)
-        return seen.get["n_rows"], set()
+        before = _files(spark, location)
+        rows.write.mode("overwrite").insertInto(table)
+        return _count_new(spark, table, described, before, _files(spark, location), ()).get((), 0), {}
+    prefix = location + "".join(f"/{part}" for part in _leading(keys, spec or {}))
+    before = _files(spark, prefix)
     # The mode is an option of this write, so parallel loads in one session do
     # not disturb each other; the partitions are then made known to the catalog.
     with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
-        watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(
-            table_location(spark, table)
+        (
+            rows.write.mode("overwrite")
+            .format(kind)
+            .options(**options)
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*keys)
+            .save(location)
         )
-    parts = {tuple(p) for p in seen.get["parts"]}
+    counts = _count_new(spark, table, described, before, _files(spark, prefix), keys)
+    _list_partitions(spark, table, keys, counts)
+    return sum(counts.values()), counts
+
+
+def _leading(keys: Sequence[str], spec: Mapping[str, str]) -> list[str]:
+    """Folders of the first keys whose values are known and plain enough to be their own names."""
+    out = []
+    for k in keys:
+        if k not in spec or not re.fullmatch(r"[\w.-]+", spec[k]):
+            break
+        out.append(f"{k}={spec[k]}")
+    return out
+
+
+def _count_new(spark, table, described, before, after, keys) -> dict[tuple, int]:
+    """Rows of the files that were not there before, by partition; from footers where the format has them."""
+    fresh = {folder: files - before.get(folder, set()) for folder, files in after.items()}
+    paths = [f"{folder}/{file}" for folder, files in sorted(fresh.items()) for file in sorted(files)]
+    if not paths:
+        return {}
+    schema = T.StructType([f for f in spark.table(table).schema.fields if f.name not in keys])
+    reader = spark.read.format(described["provider"].lower()).options(**_format_options(described)).schema(schema)
+    counted = reader.load(paths).groupBy(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+    counts: dict[tuple, int] = {}
+    for r in counted.agg(F.count(F.lit(1)).alias("n")).collect():
+        part = _values_of(unquote(r["folder"]) if keys else r["folder"], keys) if keys else ()
+        counts[part] = counts.get(part, 0) + r["n"]
+    return counts
+
+
+def _list_partitions(spark: SparkSession, table: str, keys: Sequence[str], parts) -> None:
+    """Make partitions known to the catalog, many with one statement."""
     listed = [f"PARTITION ({_spec_sql(dict(zip(keys, part)))})" for part in sorted(parts, key=repr)]
     for start in range(0, len(listed), PARTITIONS_PER_STATEMENT):
         some = " ".join(listed[start : start + PARTITIONS_PER_STATEMENT])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
     spark.catalog.refreshTable(table)
-    return seen.get["n_rows"], parts
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    """Where the files of a table are."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").collect()
-    return json.loads(described[0]["json_metadata"])["location"]
-
-
-def _clear(spark: SparkSession, table: str, spec: Mapping[str, str]) -> bool:
-    """Empty one partition, if the table has it, and forget it."""
-    if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_spec_sql(spec)})").isEmpty():
-        return False
-    blank = ", ".join(
-        f"CAST(NULL AS {f.dataType.simpleString()})"
-        for f in spark.table(table).schema.fields
-        if f.name not in spec
-    )
-    spark.sql(f"INSERT OVERWRITE {table} PARTITION ({_spec_sql(spec)}) SELECT {blank} FROM range(0)")
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec_sql(spec)})")
-    return True
+def _clear(spark: SparkSession, table: str, specs: Sequence[Mapping[str, str | None]]) -> None:
+    """Forget partitions, many with one statement, and delete their files."""
+    if not specs:
+        return
+    location, keys = table_location(spark, table), _partition_keys(spark, table)
+    for start in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        some = ", ".join(f"PARTITION ({_spec_sql(s)})" for s in specs[start : start + PARTITIONS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {some}")
+    # Dropping a partition of a table at a location of its own leaves its files.
+    path = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for spec in specs:
+        folder = "/".join(path.getPartitionPathString(k, spec[k]) for k in keys)
+        fs, where = filesystem(spark, f"{location}/{folder}")
+        fs.delete(where, True)
+    spark.catalog.refreshTable(table)
 
 
 def _tagged(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
@@ -205,23 +305,27 @@ def _path(spec: Mapping[str, str]) -> str:
 def overwrite_partition(
     df: DataFrame,
     table: str,
-    partition: Mapping[str, str] | None = None,
+    partition: Mapping[str, str] | str | Sequence[str] | None = None,
     columns: str | Sequence[str] | None = None,
     location: str | None = None,
     layout: int | str | None = None,
     on_overflow: str = "error",
+    partition_values: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Replace one partition, or the whole table when none is named; other partitions stay.
 
-    Columns are matched by name and stored in canonical types; the table is
-    created or widened as needed. Returns ``table_name, partition, n_rows``.
+    The partition is a mapping, or a list of keys with ``partition_values``. Columns
+    are matched by name and stored in canonical types; the table is created or
+    widened as needed, and written in its own format. Returns ``table_name,
+    partition, n_rows``.
     """
-    spark, spec = df.sparkSession, partition_spec(partition)
+    spark, spec = df.sparkSession, partition_spec(partition, partition_values)
     rows = normalize_types(select_list(df, columns) if columns else df, on_overflow)
     ensure_table(spark, table, rows.schema, list(spec), location)
-    n_rows, _ = _publish(_tagged(_laid_out(rows, layout), spec), table, list(spec))
+    spec = _typed(spark, table, spec)
+    n_rows, _ = _publish(_tagged(_laid_out(rows, layout), spec), table, list(spec), spec)
     if spec and n_rows == 0:
-        _clear(spark, table, spec)
+        _clear(spark, table, [spec])
     return spark.createDataFrame([(table, _path(spec), n_rows)], REPORT)
 
 
@@ -268,47 +372,39 @@ def merge_shards(
     shards: Mapping[str, DataFrame],
     table: str,
     columns: str | Sequence[str] | None = None,
-    partition: Mapping[str, str] | None = None,
+    partition: Mapping[str, str] | str | Sequence[str] | None = None,
     location: str | None = None,
     layout: int | str | None = None,
+    partition_values: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Publish tables of one shape as partitions ``shard=<name>`` of one table, in one write.
 
     Only the partitions of the given shards change; a shard without rows has its
     old partition emptied. A plain list of names may name columns some shards
-    lack. Returns ``table_name, partition, n_rows`` per shard.
+    lack. Returns ``table_name, partition, n_rows`` per shard: what this merge wrote.
     """
     if not shards:
         raise ValueError("there are no shards to merge")
-    spark, spec = next(iter(shards.values())).sparkSession, partition_spec(partition)
+    spark, spec = next(iter(shards.values())).sparkSession, partition_spec(partition, partition_values)
     if columns:
         known = {c for df in shards.values() for c in df.columns}
         pick = prune_columns if known.issuperset(list_items(columns)) else select_list
         shards = {name: pick(df, columns) for name, df in shards.items()}
     merged = union_shards(shards)
-    keys = [*spec, "shard"]
-    ensure_table(spark, table, merged.drop("shard").schema, keys, location)
-    _, parts = _publish(_tagged(_laid_out(merged, layout, ["shard"]), spec), table, keys)
-    written = {part[-1] for part in parts}
-    for name in shards:
-        if name not in written:
-            _clear(spark, table, {**spec, "shard": name})
-    return _shard_report(spark, table, spec, list(shards))
-
-
-def _shard_report(spark: SparkSession, table: str, spec: Mapping[str, str], names: list[str]) -> DataFrame:
-    """Rows now stored per shard; reads partition folders and file footers only."""
-    stored = spark.table(table).where(F.col("shard").isin(names))
-    for key, value in spec.items():
-        stored = stored.where(F.col(quoted(key)) == value)
-    counts = stored.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"))
-    prefix = f"{_path(spec)}/shard=" if spec else "shard="
-    listed = spark.createDataFrame([(name,) for name in names], "shard string")
-    return listed.join(counts, "shard", "left").select(
-        F.lit(table).alias("table_name"),
-        F.concat(F.lit(prefix), "shard").alias("partition"),
-        F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
-    )
+    ensure_table(spark, table, merged.drop("shard").schema, [*spec, "shard"], location)
+    spec, keys = _typed(spark, table, spec), _partition_keys(spark, table)
+    stored = {name: _typed(spark, table, {"shard": name})["shard"] for name in shards} if not _is_text(spark, table) else {n: n for n in shards}
+    _, counts = _publish(_tagged(_laid_out(merged, layout, ["shard"]), spec), table, keys, spec)
+    place = keys.index("shard")
+    written = {part[place]: n for part, n in counts.items()}
+    _clear(spark, table, [{**spec, "shard": value} for value in stored.values() if value not in written])
+    prefix = f"{_path(spec)}/" if spec else ""
+    report = [(table, f"{prefix}shard={name}", written.get(value, 0)) for name, value in stored.items()]
+    return spark.createDataFrame(report, REPORT)
+
+
+def _is_text(spark: SparkSession, table: str) -> bool:
+    return spark.table(table).schema["shard"].dataType == T.StringType()
 
 
 def save_files(df: DataFrame, path: str, mode: str = "append", layout: int | str | None = None) -> None:
@@ -330,19 +426,27 @@ def _any_partition(keys: Sequence[str], parts: list[tuple]) -> Column:
     return _any_partition(keys, parts[:half]) | _any_partition(keys, parts[half:])
 
 
+def _next_version(location: str) -> str:
+    """A sibling of a table's folder; the mark of an earlier version is replaced."""
+    return f"{re.sub(r'__v_[0-9a-f]{32}$', '', location.rstrip('/'))}__v_{uuid.uuid4().hex}"
+
+
 def delete_then_write(
     df: DataFrame,
     table: str,
     delete_where: str | Column | None = None,
-    keep_replaced: bool = False,
+    keep_replaced: bool | None = None,
 ) -> DataFrame:
-    """Remove the rows matching ``delete_where``, then append ``df``, as one change.
-
-    Rows for which the condition is null stay. A partitioned table has only
-    the partitions concerned rewritten; otherwise the new content is written
-    beside the old and the table pointed at it, so a failure changes nothing.
-    The old content is then deleted, unless it is to be kept. Returns
-    ``table_name, partition, n_rows`` and the ``replaced_location``.
+    """Remove the rows matching ``delete_where``, then append ``df``.
+
+    Rows for which the condition is null stay. Incoming rows are computed once and
+    staged in the shared folder. Of a partitioned table, partitions that lose rows
+    are rewritten first, together with their new rows; then the others are appended
+    to. Without partitions, the new content is written beside the old and the table
+    pointed at it, so a failure changes nothing; if no row matches, rows are only
+    appended. The old content is then deleted, unless it is to be kept
+    (``keep_replaced``; by default that of tables at a location of their own).
+    Returns ``table_name, partition, n_rows`` and the ``replaced_location``.
     """
     spark = df.sparkSession
     rows = normalize_types(df)
@@ -352,35 +456,63 @@ def delete_then_write(
     if absent:
         raise ValueError(f"rows for {table} need the partition columns {sorted(absent)}")
     ensure_table(spark, table, rows.drop(*keys).schema, keys)
-    rows, stored = _by_name(rows, table), spark.table(table)
     if isinstance(delete_where, str):
         delete_where = F.expr(delete_where) if delete_where.strip() else None
+    rows = _by_name(rows, table)
     if is_new or delete_where is None:
-        seen = Observation()
-        rows.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.insertInto(table)
-        return _delete_report(spark, table, seen.get["n_rows"], None)
+        return _delete_report(spark, table, _append(rows, table, keys), None)
 
+    path = scratch_dir(spark, "incoming")
+    rows.write.parquet(path)
+    staged, stored = spark.read.schema(rows.schema).parquet(path), spark.table(table)
+    lost = stored.where(delete_where)
     kept = stored.where(~F.coalesce(delete_where, F.lit(False)))
     if keys:
         names = [quoted(k) for k in keys]
-        touched = {tuple(r) for r in stored.where(delete_where).select(names).distinct().collect()}
-        entered = {tuple(r) for r in rows.select(names).distinct().collect()}
+        touched = [tuple(r) for r in lost.select(names).distinct().collect()]
         # Literal values prune the scan to the partitions that will be written again.
-        concerned = _any_partition(keys, sorted(touched | entered, key=repr))
-        n_rows, written = _publish(kept.where(concerned).unionByName(rows), table, keys)
-        for part in touched - written:
-            _clear(spark, table, dict(zip(keys, part)))
+        concerned = _any_partition(keys, sorted(touched, key=repr))
+        n_rows = 0
+        if touched:
+            n_rows, written = _publish(kept.where(concerned).unionByName(staged.where(concerned)), table, keys)
+            emptied = {_as_text(spark, table, keys, part) for part in touched} - set(written)
+            _clear(spark, table, [dict(zip(keys, part)) for part in sorted(emptied, key=repr)])
+        n_rows += _append(staged.where(~concerned), table, keys)
         return _delete_report(spark, table, n_rows, None)
 
-    old = table_location(spark, table)
-    new = f"{old.split('__v_')[0]}__v_{uuid.uuid4().hex}"
-    seen = Observation()
-    kept.unionByName(rows).observe(seen, F.count(F.lit(1)).alias("n_rows")).write.parquet(new)
+    if lost.isEmpty():
+        return _delete_report(spark, table, _append(staged, table, keys), None)
+    described = _described(spark, table)
+    old, kind, options = described["location"], described["provider"].lower(), _format_options(described)
+    new = _next_version(old)
+    kept.unionByName(staged).write.format(kind).options(**options).save(new)
+    n_rows = _count_new(spark, table, described, {}, _files(spark, new), ()).get((), 0)
     spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(new)}")
+    if keep_replaced is None:
+        keep_replaced = str(described.get("type", "")).upper() == "EXTERNAL" and "__v_" not in old.rpartition("/")[2]
     if not keep_replaced:
-        fs, path = filesystem(spark, old)
-        fs.delete(path, True)
-    return _delete_report(spark, table, seen.get["n_rows"], old)
+        fs, folder = filesystem(spark, old)
+        fs.delete(folder, True)
+    return _delete_report(spark, table, n_rows, old)
+
+
+def _as_text(spark: SparkSession, table: str, keys: Sequence[str], part: tuple) -> tuple:
+    """Partition values as their folders name them."""
+    types = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    if all(types[k] == T.StringType() for k in keys):
+        return part
+    cast = [F.lit(v).cast(types[k]).cast("string").alias(k) for k, v in zip(keys, part)]
+    return tuple(spark.range(1).select(cast).first())
+
+
+def _append(rows: DataFrame, table: str, keys: Sequence[str]) -> int:
+    """Append rows and return their number; new partitions are made known by the insert."""
+    spark = rows.sparkSession
+    described = _described(spark, table)
+    before = _files(spark, described["location"])
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+        rows.write.insertInto(table)
+    return sum(_count_new(spark, table, described, before, _files(spark, described["location"]), keys).values())
 
 
 def _delete_report(spark: SparkSession, table: str, n_rows: int, old: str | None) -> DataFrame:
