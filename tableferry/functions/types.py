@@ -97,25 +97,44 @@ class TargetType:
             return now.cast(self.spark)
         return F.lit(self.fill).cast(self.spark)
 
-    def _fitted(self, column: Column) -> Column:
+    @property
+    def whole(self) -> bool:
+        """Whether the type only holds whole numbers."""
+        return self.upper is not None or self.spark in ("tinyint", "smallint", "int", "bigint")
+
+    def _fitted(self, column: Column, source: T.DataType | None = None) -> Column:
+        """The value as the type holds it; null if it cannot. A whole number does not cut a fraction off."""
         fitted = column.try_cast(self.spark)
+        if self.whole and isinstance(source, (T.FractionalType, T.TimestampType, T.TimestampNTZType)):
+            exact = isinstance(source, T.DecimalType)
+            same = fitted.cast(source) == column if exact else column.try_cast("double") == F.floor(column.try_cast("double"))
+            fitted = F.when(same, fitted)
         if self.upper is None:
             return fitted
         return F.when(fitted.between(F.lit(0), F.lit(str(self.upper)).cast(self.spark)), fitted)
 
-    def unfit(self, column: Column) -> Column:
+    def unfit(self, column: Column, source: T.DataType | None = None) -> Column:
         """True where there is a value and the type cannot hold it."""
         if self.element is not None:
-            return F.coalesce(F.exists(column, self.element.unfit), F.lit(False))
-        return column.isNotNull() & self._fitted(column).isNull()
-
-    def encode(self, column: Column, now: Column, strict: bool = True) -> Column:
+            inner = source.elementType if isinstance(source, T.ArrayType) else None
+            return F.coalesce(F.exists(column, lambda item: self.element.unfit(item, inner)), F.lit(False))
+        return column.isNotNull() & self._fitted(column, source).isNull()
+
+    def rounded(self, column: Column, source: T.DataType | None = None) -> Column:
+        """True where a decimal type holds a value only after rounding it."""
+        if not self.spark.startswith("decimal") or self.whole or not isinstance(source, T.FractionalType):
+            return F.lit(False)
+        back = column.try_cast(self.spark).try_cast(source)
+        return F.coalesce(back != column, F.lit(False))
+
+    def encode(self, column: Column, now: Column, strict: bool = True, source: T.DataType | None = None) -> Column:
         """Cast present values and fill nulls. An unfit value is an error, or
         with ``strict=False`` filled like a null, whether or not ANSI mode is on."""
         if self.element is not None:
-            present = F.transform(column, lambda item: self.element.encode(item, now, strict))
+            inner = source.elementType if isinstance(source, T.ArrayType) else None
+            present = F.transform(column, lambda item: self.element.encode(item, now, strict, inner))
         else:
-            present = self._fitted(column)
+            present = self._fitted(column, source)
             if strict:
                 present = F.coalesce(present, _refuse(column, f"value does not fit {self.text}: "))
         return present if self.nullable else F.coalesce(present, self.fill_column(now))

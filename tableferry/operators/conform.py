@@ -36,21 +36,23 @@ def conform_report(df: DataFrame, target: Mapping[str, str], fields: Sequence[st
     """One row per requested field: can it be written, and what happens to its values.
 
     ``n_filled`` counts rows that take the default (or NULL), ``n_unfit`` rows
-    whose value does not fit the target type. All counts come from one pass.
+    whose value does not fit the target type, ``n_rounded`` rows that a decimal
+    type rounds. All counts come from one pass.
     """
     rows = []
     for field in fields or df.columns:
         verdict, kind = _verdict(field, target, df)
-        filled, unfit = F.lit(0), F.lit(0)
+        filled = unfit = rounded = F.lit(0)
         if verdict == "ok":
-            value = F.col(quoted(field))
+            value, source = F.col(quoted(field)), df.schema[field].dataType
             filled = F.count_if(value.isNull())
-            unfit = F.count_if(kind.unfit(value))
+            unfit = F.count_if(kind.unfit(value, source))
+            rounded = F.count_if(kind.rounded(value, source))
         elif kind is not None:
             filled = F.count(F.lit(1))
-        rows.append((field, target.get(field), verdict, filled, unfit))
+        rows.append((field, target.get(field), verdict, filled, unfit, rounded))
     counts = df.agg(
-        *[c.cast("bigint").alias(f"_{name}_{i}") for i, row in enumerate(rows) for name, c in zip("fu", row[3:])]
+        *[c.cast("bigint").alias(f"_{name}_{i}") for i, row in enumerate(rows) for name, c in zip("fur", row[3:])]
     )
     report = [
         F.struct(
@@ -59,8 +61,9 @@ def conform_report(df: DataFrame, target: Mapping[str, str], fields: Sequence[st
             F.lit(verdict).alias("verdict"),
             F.col(f"_f_{i}").alias("n_filled"),
             F.col(f"_u_{i}").alias("n_unfit"),
+            F.col(f"_r_{i}").alias("n_rounded"),
         )
-        for i, (field, kind, verdict, _, _) in enumerate(rows)
+        for i, (field, kind, verdict, *_) in enumerate(rows)
     ]
     return counts.select(F.inline(F.array(*report)))
 
@@ -76,7 +79,8 @@ def conform(
 
     Missing columns and nulls get the default of their type, or NULL where the
     target takes it. Dates default to one ``now``, in whole seconds, for the whole job. A value
-    that does not fit is an error, or takes the default with ``strict=False``.
+    that does not fit is an error, or takes the default with ``strict=False``; so
+    does a fraction for a whole-number type. Decimal types round.
     """
     fields = list(fields or df.columns)
     verdicts = {field: _verdict(field, target, df) for field in fields}
@@ -88,9 +92,10 @@ def conform(
     for field in fields:
         verdict, kind = verdicts[field]
         if verdict == "ok":
-            same = df.schema[field].dataType.simpleString() == kind.spark
+            source = df.schema[field].dataType
+            same = source.simpleString() == kind.spark
             as_is = same and kind.upper is None and kind.element is None
-            value = kind.encode(F.col(quoted(field)), moment, strict and not as_is)
+            value = kind.encode(F.col(quoted(field)), moment, strict and not as_is, source)
         else:
             value = kind.fill_column(moment)
         columns.append(value.alias(field))

@@ -2,7 +2,8 @@
 
 Writing entries one by one means "the last write wins". Here the winner is
 named by ``order_by``, and found with partial aggregation: a key that holds a
-large share of the rows leaves each task as a single row before any shuffle.
+large share of the rows leaves each task as a single row before any shuffle. As
+winners are texts and structs, Spark sorts each task's rows for it (it spills).
 """
 
 from __future__ import annotations

@@ -53,7 +53,7 @@ def _check_count(n: int) -> None:
         raise ValueError(f"the number of splits must be at least 1, got {n}")
 
 
-def _check_key_type(name: str, dtype: T.DataType) -> None:
+def check_key_type(name: str, dtype: T.DataType) -> None:
     if not isinstance(dtype, (T.IntegralType, T.DecimalType)):
         raise TypeError(f"split key {name} must be an integer or decimal, got {dtype.simpleString()}")
 
@@ -73,7 +73,7 @@ def key_bounds(df: DataFrame, key: str, where: str | Column | None = None) -> Da
 def read_bounds(probe: DataFrame) -> KeyBounds:
     """Run a bounds probe once and round its two values outwards to whole numbers."""
     for field in probe.schema.fields:
-        _check_key_type(field.name, field.dataType)
+        check_key_type(field.name, field.dataType)
     row = probe.first()
     return KeyBounds.of(row["min_key"], row["max_key"])
 
@@ -133,7 +133,7 @@ def with_range_split(
     """
     _check_count(n)
     dtype = df.schema[key].dataType
-    _check_key_type(key, dtype)
+    check_key_type(key, dtype)
     rows = filtered(df, where)
     if bounds is None:
         bounds = read_bounds(key_bounds(rows, key))
@@ -170,7 +170,7 @@ def with_mod_split(
     """Add the residue split 0..n-1 of each row; null keys go to split 0."""
     _check_count(n)
     dtype = df.schema[key].dataType
-    _check_key_type(key, dtype)
+    check_key_type(key, dtype)
     whole = F.floor(F.col(key)) if isinstance(dtype, T.DecimalType) else F.col(key)
     split = F.pmod(whole, F.lit(n).cast(dtype) if isinstance(dtype, T.LongType) else F.lit(n))
     return filtered(df, where).withColumn(column, F.coalesce(split.cast("bigint"), F.lit(0).cast("bigint")))

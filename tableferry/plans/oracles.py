@@ -60,6 +60,12 @@ ORACLES = {
     """,
     "doc_scan_declared": "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events",
     "doc_scan_inferred": "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events",
+    "doc_read_declared": "select cast(json_extract(props, '$.k') as bigint) as k from events where props is not null",
+    "doc_read_inferred": "select cast(json_extract(props, '$.k') as bigint) as k from events where props is not null",
+    "doc_unreadable": """
+        select count(props) as n_documents, count(case when "value" > 50 and props is not null then 1 end) as n_unreadable
+        from events
+    """,
     "prune_columns": "select c_custkey, c_nationkey from customer",
     "select_list_alias": """
         select c_custkey, upper(c_mktsegment) as segment, concat(c_name, '/', c_mktsegment) as label
@@ -97,8 +103,7 @@ ORACLES = {
     """,
     "preview_limit": "select * from orders order by o_orderkey limit 100",
     "merge_shards": """
-        select o_orderkey, o_totalprice, 'orders_' || lower(o_orderstatus) as shard
-        from orders where o_orderstatus in ('F', 'O', 'P')
+        select o_orderkey, o_totalprice, 'orders_' || coalesce(lower(o_orderstatus), 'none') as shard from orders
     """,
     "merge_drifting_shards": """
         select c_custkey as party_key, c_name as name, cast(c_nationkey as bigint) as nation_key,
@@ -123,6 +128,11 @@ ORACLES = {
         select s_suppkey, s_name, cast(s_nationkey as bigint), s_acctbal, '2024-01-02'
         from supplier where s_acctbal >= 0
     """,
+    "overwrite_typed_partition": """
+        select s_suppkey, s_acctbal, 6 as h from supplier
+        union all
+        select s_suppkey, s_acctbal, 5 from supplier where s_acctbal < 0
+    """,
     "save_modes": """
         with a as (select count(*) as n, sum(c_custkey) as s from customer),
         p as (select count(*) as n, sum(c_custkey) as s from customer where c_acctbal > 0)
@@ -136,8 +146,8 @@ ORACLES = {
         where o_orderdate < timestamp '1997-01-01' or o_orderstatus = 'F'
     """,
     "delete_then_write_partitions": """
-        select o_orderkey, o_totalprice, o_orderstatus as shard from orders
-        where o_orderstatus = 'P' or (o_orderstatus = 'O' and o_totalprice <= 100000)
+        select o_orderkey, o_totalprice, coalesce(o_orderstatus, 'none') as shard from orders
+        where not coalesce(o_orderstatus = 'F' or (o_orderstatus = 'O' and o_totalprice > 100000), false)
         union all
         select -o_orderkey, o_totalprice, 'P' from orders where o_orderstatus = 'P'
     """,
@@ -168,14 +178,14 @@ ORACLES = {
     "conform_report": f"""
         with d as ({_LABELLED})
         select 'doc_id' as field, 'UInt64' as target_type, 'ok' as verdict,
-               count(*) - count(doc_id) as n_filled, cast(0 as bigint) as n_unfit from d
+               count(*) - count(doc_id) as n_filled, cast(0 as bigint) as n_unfit, cast(0 as bigint) as n_rounded from d
         union all select 'n_chars', 'UInt8', 'ok', count(*) - count(n_chars),
-               count(case when n_chars > 255 then 1 end) from d
-        union all select 'quality', 'Int8', 'ok', count(*) - count(quality), 0 from d
-        union all select 'toxic', 'Nullable(Int8)', 'ok', count(*) - count(toxic), 0 from d
-        union all select 'note', 'LowCardinality(String)', 'filled with default', count(*), 0 from d
-        union all select 'span', 'IntervalDay', 'type not supported', 0, 0
-        union all select 'ghost', null, 'not in target', 0, 0
+               count(case when n_chars > 255 then 1 end), 0 from d
+        union all select 'quality', 'Int8', 'ok', count(*) - count(quality), 0, 0 from d
+        union all select 'toxic', 'Nullable(Int8)', 'ok', count(*) - count(toxic), 0, 0 from d
+        union all select 'note', 'LowCardinality(String)', 'filled with default', count(*), 0, 0 from d
+        union all select 'span', 'IntervalDay', 'type not supported', 0, 0, 0
+        union all select 'ghost', null, 'not in target', 0, 0, 0
     """,
     "conform_fill": f"""
         select doc_id, cast(coalesce(quality, 0) as tinyint) as quality, toxic, '' as note from ({_LABELLED}) d
@@ -185,12 +195,15 @@ ORACLES = {
                cast(p_retailprice as decimal(12,2)) as p_retailprice, p_brand
         from part
     """,
+    "conform_fractions": """
+        select c_custkey, cast(case when c_acctbal = floor(c_acctbal) then c_acctbal else 0 end as integer) as c_acctbal,
+               cast(c_acctbal as decimal(12,1)) as balance
+        from customer
+    """,
     "conform_arrays": """
-        select vec_id, cast(label as smallint) as label, cast(len(embedding) as bigint) as n_values,
-               cast(embedding[1] as double) as first_value,
-               cast(embedding[len(embedding)] as double) as last_value,
-               cast(list_max(embedding) as double) as largest
-        from embeddings
+        select vec_id, cast(label as smallint) as label, cast(place as bigint) as place,
+               cast(embedding[place + 1] as double) as "value"
+        from (select *, unnest(range(len(embedding))) as place from embeddings) e
     """,
     "batch_plan": """
         with r as (
@@ -202,12 +215,14 @@ ORACLES = {
                arg_max(n, batch) as last_rows
         from b group by 1
     """,
-    "bulk_write": """
-        select count(*) as n_rows, cast(0 as bigint) as n_retries, cast(0 as bigint) as n_dropped_rows from lineitem
-    """,
+    "bulk_write": "select l_orderkey, l_partkey, l_suppkey, l_linenumber from lineitem",
     "kv_publish": """
-        select count(*) as n_rows, cast(0 as bigint) as n_dropped_rows
-        from (select distinct l_partkey, l_returnflag from lineitem) t
+        select distinct cast(l_partkey as varchar) as "key", 'set' as kind, l_returnflag as "value",
+               cast(60000 as bigint) as expire_ms
+        from lineitem
+    """,
+    "conform_publish": f"""
+        select doc_id, cast(coalesce(quality, 0) as tinyint) as quality, toxic, '' as note from ({_LABELLED}) d
     """,
     "job_ingest": """
         with o as (select * from orders where o_orderstatus = 'F' or o_orderpriority = '1-URGENT'),

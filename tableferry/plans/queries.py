@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.text import register_functions
 from tableferry.operators.columns import normalize_types, prune_columns, select_list, substring_column
-from tableferry.operators.conform import conform, conform_report
+from tableferry.operators.conform import conform, conform_report, target_schema
 from tableferry.operators.keyed import keyed_entries, kv_hash, kv_set, kv_string
 from tableferry.operators.splits import (
     KeyBounds,
@@ -24,7 +24,7 @@ from tableferry.operators.sqlstep import sql_step
 from tableferry.plans.job import Job, preview
 from tableferry.session import scratch_dir
 from tableferry.sinks.bulk import batch_plan, write_bulk
-from tableferry.sinks.stores import publish_keyed
+from tableferry.sinks.stores import publish_conformed, publish_keyed
 from tableferry.sinks.tables import (
     SAVE_MODES,
     delete_then_write,
@@ -34,7 +34,7 @@ from tableferry.sinks.tables import (
     table_location,
 )
 from tableferry.sources.catalog import column_report, list_tables, with_comments
-from tableferry.sources.documents import parse_documents
+from tableferry.sources.documents import parse_documents, read_documents, unreadable_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,11 +66,11 @@ class _Target:
         self.location = scratch_dir(spark, name)
         self.name = f"tableferry_{name}_{uuid.uuid4().hex}"
 
-    def stored(self) -> DataFrame:
+    def stored(self, kind: str = "parquet") -> DataFrame:
         schema = self.spark.table(self.name).schema
         location = table_location(self.spark, self.name)
         self.spark.sql(f"DROP TABLE {self.name}")
-        return self.spark.read.schema(schema).parquet(location)
+        return self.spark.read.schema(schema).format(kind).load(location)
 
 
 # --- reading ---------------------------------------------------------------
@@ -136,6 +136,28 @@ def q_doc_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_documents(events, "props").select("event_id", F.col("props.k").alias("k"))
 
 
+def _property_files(spark: SparkSession, sf_dir: str) -> str:
+    """The properties of all events as a folder of JSON lines."""
+    path = scratch_dir(spark, "documents")
+    table(spark, sf_dir, "events").select("props").where("props is not null").write.text(path)
+    return path
+
+
+def q_doc_read_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_documents(spark, _property_files(spark, sf_dir), '{"k": "bigint"}')
+
+
+def q_doc_read_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_documents(spark, _property_files(spark, sf_dir))
+
+
+def q_doc_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are no document, counted and read as null."""
+    events = table(spark, sf_dir, "events")
+    cut = events.select(F.when(F.col("value") > 50, F.substring("props", 1, 5)).otherwise(F.col("props")).alias("props"))
+    return unreadable_texts(cut, "props", "k bigint")
+
+
 # --- columns ---------------------------------------------------------------
 
 
@@ -249,11 +271,17 @@ def q_preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- table sinks -----------------------------------------------------------
 
 
+def _statuses(orders: DataFrame) -> dict[str | None, DataFrame]:
+    """Orders by status, whichever there are; the driver gets the distinct statuses."""
+    found = sorted((r[0] for r in orders.select("o_orderstatus").distinct().collect()), key=lambda s: (s is None, s))
+    return {s: orders.where(F.col("o_orderstatus").eqNullSafe(F.lit(s))) for s in found}
+
+
 def q_merge_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    for status in "FOP":
-        orders.where(F.col("o_orderstatus") == status).createOrReplaceTempView(f"orders_{status.lower()}")
-    names = [r.table_name for r in list_tables(spark, "^orders_[fop]$").collect()]
+    for status, rows in _statuses(orders).items():
+        rows.createOrReplaceTempView(f"orders_{'none' if status is None else status.lower()}")
+    names = [r.table_name for r in list_tables(spark, "^orders_").collect()]
     target = _Target(spark, "merge_shards")
     merge_shards(
         {name: spark.table(name) for name in names},
@@ -305,6 +333,20 @@ def q_overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.stored()
 
 
+def q_overwrite_typed_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Into a table that another made, in ORC and with a whole-number key: ``05`` replaces 5, and 6 stays."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    target = _Target(spark, "typed_partition")
+    spark.sql(
+        f"CREATE TABLE {target.name} (s_suppkey bigint, s_acctbal double, h int) USING orc "
+        f"PARTITIONED BY (h) LOCATION '{target.location}'"
+    )
+    overwrite_partition(supplier, target.name, {"h": "5"})
+    overwrite_partition(supplier, target.name, "h", partition_values="6")
+    overwrite_partition(supplier.where("s_acctbal < 0"), target.name, {"h": "05"})
+    return target.stored("orc")
+
+
 def q_save_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One write, then a second one under each mode; ``error`` refuses the second."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
@@ -338,9 +380,9 @@ def q_delete_then_write_partitions(spark: SparkSession, sf_dir: str) -> DataFram
     """Orders by status: one partition loses rows, one loses all, one gains rows."""
     orders = select_list(table(spark, sf_dir, "orders"), "o_orderkey, o_totalprice, o_orderstatus")
     target = _Target(spark, "delete_partitions")
-    statuses = {s: orders.where(F.col("o_orderstatus") == s) for s in "FOP"}
-    merge_shards(statuses, target.name, columns="o_orderkey,o_totalprice", location=target.location)
-    incoming = statuses["P"].select(
+    statuses = _statuses(orders)
+    merge_shards({s or "none": rows for s, rows in statuses.items()}, target.name, columns="o_orderkey,o_totalprice", location=target.location)
+    incoming = orders.where("o_orderstatus = 'P'").select(
         (-F.col("o_orderkey")).alias("o_orderkey"), "o_totalprice", F.lit("P").alias("shard")
     )
     delete_then_write(incoming, target.name, "shard = 'F' or (shard = 'O' and o_totalprice > 100000)")
@@ -410,17 +452,19 @@ def q_conform_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(table(spark, sf_dir, "part"), target, list(target))
 
 
+def q_conform_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fractions for whole-number types take the default; decimals are rounded."""
+    target = {"c_custkey": "Int64", "c_acctbal": "Int32", "balance": "Decimal(12,1)"}
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.col("c_acctbal").alias("balance"))
+    return conform(customer, target, strict=False)
+
+
 def q_conform_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors stored as arrays of doubles; each is shown by its size, ends and largest value."""
+    """Vectors stored as arrays of doubles; every value is shown with its place."""
     target = {"vec_id": "Int64", "embedding": "Array(Float64)", "label": "UInt8"}
     fitted = conform(table(spark, sf_dir, "embeddings"), target, list(target))
-    return fitted.select(
-        "vec_id",
-        "label",
-        F.size("embedding").cast("bigint").alias("n_values"),
-        F.element_at("embedding", 1).alias("first_value"),
-        F.element_at("embedding", -1).alias("last_value"),
-        F.array_max("embedding").alias("largest"),
+    return fitted.select("vec_id", "label", F.posexplode("embedding").alias("place", "value")).withColumn(
+        "place", F.col("place").cast("bigint")
     )
 
 
@@ -429,34 +473,54 @@ def q_batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_plan(split, "split_id", 1000)
 
 
-def _accepting(n_columns: int):
-    """A writer for any store, here one that only accepts whole batches."""
+def _file_writer(folder: str):
+    """A writer that stores each batch as a file in the shared folder, as a store would keep it."""
 
     def open_writer():
-        class Accepting:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        class Files:
+            def __init__(self):
+                place = folder if "://" in folder or folder.startswith("/") else folder.replace("file:", "file://", 1)
+                self.fs, self.root = fs.FileSystem.from_uri(place)
+                self.fs.create_dir(self.root, recursive=True)
+
             def write(self, batch):
-                if batch.num_columns != n_columns:
-                    raise ValueError("a batch lacks columns")
+                pq.write_table(batch, f"{self.root}/{uuid.uuid4().hex}.parquet", filesystem=self.fs)
 
             def close(self):
                 pass
 
-        return Accepting()
+        return Files()
 
     return open_writer
 
 
 def q_bulk_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line goes to a writer in batches."""
+    """Every line goes to a writer in batches; what the writers stored is read back."""
     rows = prune_columns(table(spark, sf_dir, "lineitem"), "l_orderkey,l_partkey,l_suppkey,l_linenumber")
-    return write_bulk(rows, _accepting(4), bulk_size=5000).select("n_rows", "n_retries", "n_dropped_rows")
+    folder = scratch_dir(spark, "bulk_write")
+    write_bulk(rows, _file_writer(folder), bulk_size=5000)
+    return spark.read.schema(rows.schema).parquet(folder)
 
 
 def q_kv_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Set entries go to a writer, one pipeline per batch."""
+    """Set entries go to a writer, one pipeline per batch, and are read back."""
     members = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag")
-    report = publish_keyed(members, _accepting(5), "set", expire_ms=60_000)
-    return report.select("n_rows", "n_dropped_rows")
+    folder = scratch_dir(spark, "kv_publish")
+    publish_keyed(members, _file_writer(folder), "set", expire_ms=60_000)
+    return spark.read.parquet(folder).select("key", "kind", "value", "expire_ms")
+
+
+def q_conform_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column-store job: the target describes itself, rows are fitted to it, sent in batches, and read back."""
+    described = [("doc_id", "UInt64"), ("quality", "Int8"), ("toxic", "Nullable(Int32)"), ("note", "String"), ("other", "UUID")]
+    target = target_schema(spark.createDataFrame(described, "name string, type string"))
+    folder = scratch_dir(spark, "conform_publish")
+    fields = ["doc_id", "quality", "toxic", "note"]
+    publish_conformed(_labelled(spark, sf_dir), _file_writer(folder), target, fields, bulk_size=2000)
+    return spark.read.parquet(folder).select(F.col("doc_id").cast("bigint").alias("doc_id"), *fields[1:])
 
 
 # --- a whole job -----------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
+import warnings
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -29,12 +30,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
     A machine-local temporary folder is used only when the setting is absent and
-    the whole application runs on this machine.
+    the whole application runs on this machine. On a cluster a folder of the local
+    file system must be a mount that all machines share, which cannot be seen from
+    here, so it is warned about.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    on_cluster = not spark.sparkContext.master.startswith("local")
     if base:
+        if on_cluster and filesystem(spark, base)[0].getScheme() == "file":
+            warnings.warn(f"{base} must be mounted on all machines of the cluster", stacklevel=2)
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if on_cluster:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tableferry-"))
     return spark.sparkContext.getCheckpointDir()
@@ -47,8 +53,12 @@ def filesystem(spark: SparkSession, location: str):
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing path in the shared folder, removed when the driver exits."""
+    """A new, not yet existing path in the shared folder, removed when the driver exits.
+
+    :func:`clear_scratch` removes all of them earlier, once their readers are done.
+    """
     location = f"{shared_dir(spark)}/tableferry/{name}-{uuid.uuid4().hex}"
+    _scratch.append(location)
     fs, path = filesystem(spark, location)
     # deleteOnExit only accepts a path that exists.
     fs.mkdirs(path)
@@ -56,6 +66,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{location}/data"
 
 
+_scratch: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the scratch folders made so far; results that still read them are of no use afterwards."""
+    while _scratch:
+        fs, path = filesystem(spark, _scratch.pop())
+        fs.delete(path, True)
+
+
 _lock = threading.Lock()
 _held: dict[tuple, tuple[int, str | None]] = {}
 

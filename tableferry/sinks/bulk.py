@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 BULK_ROWS = 20_000
@@ -102,8 +102,11 @@ def write_bulk(
         yield pa.RecordBatch.from_pydict({name: [value] for name, value in count.items()})
 
     rows = df if partitions is None else df.repartition(partitions)
-    # One small row per task comes back as the task's result. Summing in a
-    # second stage could make a lost executor's tasks, and their writes, run again.
-    done = rows.mapInArrow(send, ", ".join(f"{name} bigint" for name in counters)).collect()
-    totals = tuple(sum(row[name] for row in done) for name in counters)
+    # One row of counters per task is summed where it is made: an observed sum of one stage, not a second
+    # stage, which could make a lost executor's tasks, and their writes, run again.
+    seen = Observation()
+    sums = [F.sum(name).alias(name) for name in counters]
+    sent = rows.mapInArrow(send, ", ".join(f"{name} bigint" for name in counters))
+    sent.observe(seen, *sums).write.format("noop").mode("overwrite").save()
+    totals = tuple(seen.get[name] or 0 for name in counters)
     return df.sparkSession.createDataFrame([totals], ", ".join(f"{name} bigint" for name in counters))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +37,19 @@ def save_jdbc(
 
 
 def _connect(spark: SparkSession, link: JdbcLink):
+    """A connection with all options of the link, by the driver that Spark itself takes for it."""
     jvm = spark._jvm
-    if link.driver:
-        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(link.driver)
-    return jvm.java.sql.DriverManager.getConnection(link.url, link.user, link.password)
+    named = link.driver or jvm.java.sql.DriverManager.getDriver(link.url).getClass().getCanonicalName()
+    jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(named)
+    properties = jvm.java.util.Properties()
+    for name, value in link.properties().items():
+        properties.setProperty(name, str(value))
+    return jvm.java.sql.DriverManager.getConnection(link.url, properties)
+
+
+def _beside(table: str, suffix: str) -> str:
+    """A table name next to ``table``; a suffix goes inside the quotes of the last part."""
+    return f"{table[:-1]}{suffix}{table[-1]}" if table[-1:] in ('"', "`", "]") else table + suffix
 
 
 def _quoted_names(spark: SparkSession, link: JdbcLink, names: list[str]) -> str:
@@ -58,20 +69,23 @@ def delete_then_write_jdbc(
 ) -> None:
     """Run ``delete_sql`` and append ``df`` so that the database shows both or neither.
 
-    The rows are first written to ``<table>_incoming`` by all tasks; one
-    transaction then deletes the old rows and takes over the new ones. A blank
-    ``delete_sql`` is a plain append.
+    The rows are first written by all tasks to a table of a name of its own beside
+    it; one transaction then deletes the old rows and takes over the new ones. The
+    table is dropped however the job ends; if dropping fails after the commit, the
+    rows are in and a warning says what is left. A blank ``delete_sql`` is a plain
+    append.
     """
     if not delete_sql or not delete_sql.strip():
         save_jdbc(df, link, table, "append", partitions, batch_rows)
         return
-    incoming = f"{table}_incoming"
+    incoming = _beside(table, f"_incoming_{uuid.uuid4().hex[:12]}")
     # Appending no rows creates the table where it is absent.
     save_jdbc(df.limit(0), link, table, "append")
-    save_jdbc(df, link, incoming, "overwrite", partitions, batch_rows)
     columns = _quoted_names(df.sparkSession, link, df.columns)
-    connection = connect(df.sparkSession, link)
+    connection = None
     try:
+        save_jdbc(df, link, incoming, "overwrite", partitions, batch_rows)
+        connection = connect(df.sparkSession, link)
         connection.setAutoCommit(False)
         statement = connection.createStatement()
         try:
@@ -81,7 +95,16 @@ def delete_then_write_jdbc(
         except Exception:
             connection.rollback()
             raise
-        statement.executeUpdate(f"DROP TABLE {incoming}")
-        connection.commit()
+    finally:
+        _drop(connection or connect(df.sparkSession, link), incoming)
+
+
+def _drop(connection, table: str) -> None:
+    """Drop a table and close the connection; what the job did is settled by now, so a failure only warns."""
+    try:
+        connection.setAutoCommit(True)
+        connection.createStatement().executeUpdate(f"DROP TABLE {table}")
+    except Exception as error:  # noqa: BLE001
+        warnings.warn(f"{table} could not be dropped: {error}", stacklevel=3)
     finally:
         connection.close()

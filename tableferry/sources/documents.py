@@ -6,7 +6,7 @@ import json
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,12 +39,56 @@ def document_schema(spec: SchemaSpec) -> T.StructType:
     return _nested(spec)
 
 
-def read_documents(spark: SparkSession, path: str, schema: SchemaSpec | None = None) -> DataFrame:
-    """A folder of JSON documents, one per line; with no schema all of them are inspected."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(document_schema(schema))
-    return reader.json(path)
+CORRUPT = "_unreadable"
+
+
+def _check_on_bad(on_bad: str) -> None:
+    if on_bad not in ("error", "null"):
+        raise ValueError(f"on_bad must be error or null, got {on_bad}")
+
+
+def read_documents(
+    spark: SparkSession, path: str, schema: SchemaSpec | None = None, on_bad: str = "error"
+) -> DataFrame:
+    """A folder of JSON documents, one per line; with no schema all of them are inspected.
+
+    A line that is no document, or holds a value of another type, is an error, or with
+    ``on_bad="null"`` a row of nulls; :func:`unreadable_documents` counts those.
+    """
+    _check_on_bad(on_bad)
+    reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT)
+    if on_bad == "error":
+        reader = reader.option("mode", "FAILFAST")
+        return (reader.schema(document_schema(schema)) if schema is not None else reader).json(path)
+    found = document_schema(schema) if schema is not None else reader.json(path).schema
+    kept = T.StructType([f for f in found.fields if f.name != CORRUPT])
+    rows = reader.schema(T.StructType([*kept.fields, T.StructField(CORRUPT, T.StringType())])).json(path)
+    whole = F.col(CORRUPT).isNull()
+    return rows.select([F.when(whole, F.col(quoted(f.name))).alias(f.name) for f in kept.fields])
+
+
+def unreadable_documents(spark: SparkSession, path: str, schema: SchemaSpec) -> DataFrame:
+    """``n_documents, n_unreadable`` of a folder of JSON lines under a schema."""
+    return _readability(spark.read.text(path), "value", document_schema(schema))
+
+
+def unreadable_texts(df: DataFrame, column: str, schema: SchemaSpec) -> DataFrame:
+    """``n_documents, n_unreadable`` of a JSON text column; null texts are no documents."""
+    return _readability(df, column, document_schema(schema))
+
+
+def _parsed(column: Column, struct: T.StructType) -> tuple[Column, Column]:
+    """The struct a text describes, and whether it does not fit; nested under one field to carry both."""
+    marked = T.StructType([*struct.fields, T.StructField(CORRUPT, T.StringType())])
+    value = F.from_json(column, marked, {"columnNameOfCorruptRecord": CORRUPT})
+    bad = column.isNotNull() & (value.isNull() | value[CORRUPT].isNotNull())
+    return value.dropFields(CORRUPT), bad
+
+
+def _readability(df: DataFrame, column: str, struct: T.StructType) -> DataFrame:
+    text = F.col(quoted(column))
+    _, bad = _parsed(text, struct)
+    return df.agg(F.count(text).alias("n_documents"), F.count_if(bad).alias("n_unreadable"))
 
 
 def read_collection(
@@ -86,7 +130,20 @@ def inferred_schema(df: DataFrame, column: str) -> T.StructType:
     return T.DataType.fromDDL("".join(parts))
 
 
-def parse_documents(df: DataFrame, column: str, schema: SchemaSpec | None = None) -> DataFrame:
-    """Replace a JSON text column by the struct it describes; unreadable text becomes null."""
+def parse_documents(
+    df: DataFrame, column: str, schema: SchemaSpec | None = None, on_bad: str = "error"
+) -> DataFrame:
+    """Replace a JSON text column by the struct it describes.
+
+    Text that does not fit the schema is an error, or null with ``on_bad="null"``;
+    :func:`unreadable_texts` counts it. Null texts stay null.
+    """
+    _check_on_bad(on_bad)
     struct = document_schema(schema) if schema is not None else inferred_schema(df, column)
-    return df.withColumn(column, F.from_json(F.col(quoted(column)), struct))
+    text = F.col(quoted(column))
+    value, bad = _parsed(text, struct)
+    if on_bad == "null":
+        value = F.when(~bad, value)
+    else:
+        value = F.when(bad, F.raise_error(F.concat(F.lit(f"unreadable document in {column}: "), text))).otherwise(value)
+    return df.withColumn(column, value)

@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 
 from tableferry.operators.columns import prune_columns, select_list
 from tableferry.operators.conform import target_schema
-from tableferry.operators.splits import KeyBounds, mod_predicates, range_predicates, read_bounds, refine_predicates
+from tableferry.operators.splits import (
+    KeyBounds,
+    check_key_type,
+    mod_predicates,
+    range_predicates,
+    read_bounds,
+    refine_predicates,
+)
 from tableferry.sources.catalog import with_comments
 
 PROBES_PER_QUERY = 200
@@ -160,26 +167,34 @@ def read_jdbc_shards(
     key: str,
     n: int,
     where: str | None = None,
+    columns: str | None = None,
+    refine: tuple[str, int] | None = None,
+    by: str = "ranges",
 ) -> dict[str, DataFrame]:
     """Every table of a sharded set as a split read, ready to be merged.
 
-    One query fetches the bounds of up to ``PROBES_PER_QUERY`` shards.
+    ``by="residues"`` splits by residue classes of the key and probes nothing; else
+    one query fetches the bounds of up to ``PROBES_PER_QUERY`` shards. ``columns``
+    and ``refine`` are those of the single-table reads.
     """
+    if by not in ("ranges", "residues"):
+        raise ValueError(f"by must be ranges or residues, got {by}")
     tables = list(tables)
     bounds: dict[int, KeyBounds] = {}
-    for start in range(0, len(tables), PROBES_PER_QUERY):
+    for start in range(0, len(tables) if by == "ranges" else 0, PROBES_PER_QUERY):
         probes = " UNION ALL ".join(
             f"SELECT {i} AS shard_no, max({key}) AS max_key, min({key}) AS min_key FROM {table}{_where(where)}"
             for i, table in enumerate(tables[start : start + PROBES_PER_QUERY], start)
         )
         probe = _bounds_columns(link.load(spark, query=probes))
+        for name in ("max_key", "min_key"):
+            check_key_type(key, probe.schema[name].dataType)
         bounds.update({r["shard_no"]: KeyBounds.of(r["min_key"], r["max_key"]) for r in probe.collect()})
-    return {
-        table: spark.read.jdbc(
-            link.url,
-            table,
-            predicates=range_predicates(key, bounds[i], n, where),
-            properties=link.properties(),
-        )
-        for i, table in enumerate(tables)
-    }
+    shards = {}
+    for i, table in enumerate(tables):
+        predicates = mod_predicates(key, n, where) if by == "residues" else range_predicates(key, bounds[i], n, where)
+        if refine:
+            predicates = refine_predicates(predicates, *refine)
+        rows = spark.read.jdbc(link.url, table, predicates=predicates, properties=link.properties())
+        shards[table] = select_list(rows, columns) if columns else rows
+    return shards

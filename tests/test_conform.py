@@ -117,11 +117,11 @@ def test_report(spark, rows):
     target = {"a": "Int32", "b": "Nullable(Int32)", "c": "String", "d": "UUID"}
     assert rows(conform_report(df, target, ["a", "b", "c", "d", "e"])) == sorted(
         [
-            ("a", "Int32", "ok", 1, 0),
-            ("b", "Nullable(Int32)", "ok", 0, 1),
-            ("c", "String", "filled with default", 2, 0),
-            ("d", "UUID", "type not supported", 0, 0),
-            ("e", None, "not in target", 0, 0),
+            ("a", "Int32", "ok", 1, 0, 0),
+            ("b", "Nullable(Int32)", "ok", 0, 1, 0),
+            ("c", "String", "filled with default", 2, 0, 0),
+            ("d", "UUID", "type not supported", 0, 0, 0),
+            ("e", None, "not in target", 0, 0, 0),
         ],
         key=repr,
     )
@@ -136,3 +136,21 @@ def test_target_described_by_rows(spark):
 def test_conforming_needs_no_python_and_no_shuffle(spark):
     plan = conform(spark.range(5), {"id": "UInt8", "x": "Array(String)"}, ["id", "x"])._jdf.queryExecution().executedPlan()
     assert "Python" not in plan.toString() and "Exchange" not in plan.toString()
+
+
+@pytest.mark.parametrize("kind", ["Int8", "UInt8", "Int64", "UInt64", "Nullable(Int32)"])
+@pytest.mark.parametrize("source", ["double", "decimal(20,2)", "float"])
+def test_whole_number_types_do_not_cut_fractions(spark, kind, source):
+    df = spark.sql(f"select cast(v as {source}) as v from values (1.5), (2.0), (null) as t(v)")
+    target = {"v": kind}
+    fill = None if kind.startswith("Nullable") else 0
+    assert [int(r.v) if r.v is not None else None for r in conform(df, target, strict=False).collect()] == [fill, 2, fill]
+    with pytest.raises(Exception, match="does not fit"):
+        conform(df, target).collect()
+    assert conform_report(df, target).first().n_unfit == 1
+
+
+def test_fractions_in_arrays_and_rounded_decimals(spark):
+    df = spark.sql("select array(1.0D, 2.5D) as a, 1.25D as d, cast(1.25 as decimal(5,2)) as e")
+    report = {r.field: r for r in conform_report(df, {"a": "Array(Int32)", "d": "Decimal(5,1)", "e": "Decimal(5,2)"}).collect()}
+    assert (report["a"].n_unfit, report["d"].n_rounded, report["e"].n_rounded, report["d"].n_unfit) == (1, 1, 0, 0)

@@ -1,0 +1,121 @@
+"""Tables that others made, sources that change, and statements sent to the catalog."""
+
+import re
+
+import pytest
+
+from tableferry.sinks.tables import _next_version, delete_then_write, merge_shards, overwrite_partition
+
+
+@pytest.fixture
+def changing(spark, tmp_path):
+    """A source that yields partition a when it first runs and partition b afterwards, and how often it ran."""
+    log = tmp_path / "runs"
+
+    def once(batches):
+        import pandas as pd
+
+        for _ in batches:
+            pass
+        with open(log, "a+") as f:
+            f.seek(0)
+            first = not f.read()
+            f.write("x")
+        yield pd.DataFrame({"v": [100], "p": ["a" if first else "b"]})
+
+    return spark.range(1, numPartitions=1).mapInPandas(once, "v bigint, p string"), lambda: len(log.read_text())
+
+
+def test_incoming_rows_are_computed_once(spark, new_table, rows, changing):
+    source, runs = changing
+    table = new_table()
+    old = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(20)], "v bigint, p string")
+    merge_shards({p: old.where(old.p == p).select("v") for p in "ab"}, table)
+    delete_then_write(source.withColumnRenamed("p", "shard"), table, "v = 0")
+    assert runs() == 1
+    assert rows(spark.table(table)) == sorted([(i, "ab"[i % 2]) for i in range(1, 20)] + [(100, "a")], key=repr)
+
+
+@pytest.mark.parametrize("kind", ["orc", "parquet", "json", "csv"])
+def test_tables_keep_their_format(spark, new_table, rows, kind):
+    table = new_table()
+    spark.sql(f"CREATE TABLE {table} (v bigint, w string, p string) USING {kind} PARTITIONED BY (p)")
+    rows_of = lambda *ids: spark.createDataFrame([(i, f"w{i}") for i in ids], "v bigint, w string")
+    overwrite_partition(rows_of(1, 2), table, {"p": "a"})
+    overwrite_partition(rows_of(3), table, {"p": "b"})
+    overwrite_partition(rows_of(4), table, "p", partition_values="a")
+    report = delete_then_write(rows_of(5).selectExpr("*", "'b' as p"), table, "v = 3").first()
+    assert report.n_rows == 1
+    assert rows(spark.table(table)) == [(4, "w4", "a"), (5, "w5", "b")]
+    delete_then_write(rows_of(6).selectExpr("*", "'c' as p"), table, "p = 'b'")
+    assert rows(spark.table(table)) == [(4, "w4", "a"), (6, "w6", "c")]
+    assert rows(spark.sql(f"SHOW PARTITIONS {table}")) == [("p=a",), ("p=c",)]
+
+
+def test_a_table_without_partitions_keeps_its_format(spark, new_table, rows):
+    table = new_table()
+    spark.sql(f"CREATE TABLE {table} (v bigint) USING orc")
+    spark.range(4).selectExpr("id as v").write.insertInto(table)
+    delete_then_write(spark.range(9, 10).selectExpr("id as v"), table, "v < 2")
+    assert rows(spark.table(table)) == [(2,), (3,), (9,)]
+    report = delete_then_write(spark.range(7, 8).selectExpr("id as v"), table, "v > 50").first()
+    assert rows(spark.table(table)) == [(2,), (3,), (7,), (9,)] and (report.n_rows, report.replaced_location) == (1, None)
+
+
+@pytest.mark.parametrize(
+    ("kind", "texts", "values"),
+    [("int", ("05", "6"), (5, 6)), ("date", ("2024-01-05", "2024-1-6"), ("2024-01-05", "2024-01-06")), ("string", ("05", "6"), ("05", "6"))],
+)
+def test_partition_keys_of_other_types(spark, new_table, kind, texts, values):
+    table = new_table()
+    spark.sql(f"CREATE TABLE {table} (v bigint, h {kind}) USING parquet PARTITIONED BY (h)")
+    load = lambda *ids: spark.createDataFrame([(i,) for i in ids], "v bigint")
+    stored = lambda: sorted((r.v, str(r.h)) for r in spark.table(table).collect())
+    one, two = map(str, values)
+    overwrite_partition(load(1, 2), table, {"h": one})
+    overwrite_partition(load(3), table, {"h": texts[1]})
+    assert overwrite_partition(load(4), table, {"h": texts[0]}).first().n_rows == 1
+    assert stored() == [(3, two), (4, one)]
+    new = load(8).selectExpr("v", f"cast('{one}' as {kind}) as h")
+    delete_then_write(new, table, f"h = cast('{two}' as {kind})")
+    assert stored() == [(4, one), (8, one)]
+    delete_then_write(new.limit(0), table, "v = 4")
+    delete_then_write(new.limit(0), table, "v = 8")
+    assert stored() == [] and spark.sql(f"SHOW PARTITIONS {table}").isEmpty()
+    if kind != "string":
+        with pytest.raises(ValueError, match="is no"):
+            overwrite_partition(load(1), table, {"h": "soon"})
+
+
+def test_shards_of_a_typed_key(spark, new_table, rows):
+    table = new_table()
+    spark.sql(f"CREATE TABLE {table} (v bigint, shard int) USING orc PARTITIONED BY (shard)")
+    load = lambda *ids: spark.createDataFrame([(i,) for i in ids], "v bigint")
+    merge_shards({"01": load(1), "2": load(2, 3)}, table)
+    report = merge_shards({"1": load(), "02": load(4)}, table)
+    assert rows(spark.table(table)) == [(4, 2)]
+    assert sorted((r.partition, r.n_rows) for r in report.collect()) == [("shard=02", 1), ("shard=1", 0)]
+
+
+def test_only_a_version_mark_is_cut_from_a_location():
+    assert re.fullmatch(r"/x/my__v_2/tbl__v_[0-9a-f]{32}", _next_version("/x/my__v_2/tbl"))
+    assert re.fullmatch(r"/x/tbl__v_[0-9a-f]{32}", _next_version("/x/tbl__v_" + "0" * 32))
+
+
+def test_the_folder_of_an_external_table_stays(spark, new_table, tmp_path):
+    table, folder = new_table(), tmp_path / "my__v_2" / "tbl"
+    overwrite_partition(spark.range(3), table, location=str(folder))
+    delete_then_write(spark.range(5, 6), table, "id = 1")
+    assert list(folder.glob("*.parquet")) and len(list(folder.parent.glob("tbl__v_*"))) == 1
+
+
+def test_empty_shards_are_cleared_in_few_statements(spark, new_table, monkeypatch):
+    table, names = new_table(), [f"s{i}" for i in range(500)]
+    empty = spark.createDataFrame([], "v bigint")
+    full = spark.createDataFrame([(1,)], "v bigint")
+    merge_shards({"s0": full, "s1": full, "kept": full}, table)
+    said = []
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, f=type(spark).sql, **k: (said.append(text), f(self, text, *a, **k))[1])
+    report = merge_shards({n: empty for n in names}, table)
+    assert len([t for t in said if t.startswith(("ALTER", "INSERT", "SHOW"))]) <= 10
+    assert report.count() == 500 and {r.shard for r in spark.table(table).collect()} == {"kept"}

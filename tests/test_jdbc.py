@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import DataFrame
 
 from tableferry.operators.conform import conform
-from tableferry.sinks.jdbc import delete_then_write_jdbc, save_jdbc
+from tableferry.sinks.jdbc import _beside, delete_then_write_jdbc, save_jdbc
 from tableferry.sinks.tables import merge_shards
 from tableferry.sources.catalog import column_report
 from tableferry.sources import jdbc
@@ -153,6 +153,17 @@ def test_shards_are_probed_in_one_query_and_merged(reader, spark, rows, new_tabl
     assert read_jdbc_shards(reader, LINK, [], "id", 3) == {}
 
 
+def test_shards_by_residues_with_columns_and_a_second_key(reader, rows):
+    plain = read_jdbc_shards(reader, LINK, ["p_0", "p_1"], "id", 3)
+    fine = read_jdbc_shards(reader, LINK, ["p_0", "p_1"], "id", 3, columns="id", refine=("id", 2), by="residues")
+    for name in plain:
+        assert fine[name].columns == ["id"] and rows(fine[name]) == rows(plain[name].select("id"))
+    with pytest.raises(TypeError, match="split key"):
+        read_jdbc_shards(reader, LINK, ["p_0"], "v", 3)
+    with pytest.raises(ValueError):
+        read_jdbc_shards(reader, LINK, ["p_0"], "id", 3, by="luck")
+
+
 def test_many_shards_are_probed_in_several_queries(reader, monkeypatch):
     monkeypatch.setattr(jdbc, "PROBES_PER_QUERY", 2)
     shards = read_jdbc_shards(reader, LINK, ["p_0", "p_1", "p_2"], "id", 2)
@@ -233,15 +244,16 @@ def test_delete_and_append_share_a_transaction(spark):
     delete_then_write_jdbc(
         Writes(log, spark), link, "t", "DELETE FROM t WHERE id > 5", partitions=3, connect=lambda *_: Connection(log)
     )
-    assert [e[:2] for e in log[:2]] == [("write", "t"), ("write", "t_incoming")]
+    assert log[0][:2] == ("write", "t") and log[1][1].startswith("t_incoming_")
+    incoming = log[1][1]
     assert log[0][2] == {"limit": 0, "mode": "append"} and log[1][2] == {"partitions": 3, "mode": "overwrite"}
     assert log[2:] == [
         ("autocommit", False),
         ("sql", "DELETE FROM t WHERE id > 5"),
-        ("sql", "INSERT INTO t (`id`, `desc`) SELECT `id`, `desc` FROM t_incoming"),
-        ("commit",),
-        ("sql", "DROP TABLE t_incoming"),
+        ("sql", "INSERT INTO t (`id`, `desc`) SELECT `id`, `desc` FROM " + incoming),
         ("commit",),
+        ("autocommit", True),
+        ("sql", "DROP TABLE " + incoming),
         ("close",),
     ]
 
@@ -252,7 +264,34 @@ def test_a_failed_takeover_is_rolled_back(spark):
         delete_then_write_jdbc(
             Writes(log, spark), LINK, "t", "DELETE FROM t", connect=lambda *_: Connection(log, "INSERT")
         )
-    assert log[-2:] == [("rollback",), ("close",)] and ("commit",) not in log
+    assert ("commit",) not in log and log[-1] == ("close",)
+    assert log[-4] == ("rollback",) and log[-2][1].startswith("DROP TABLE t_incoming_")
+
+
+def test_a_failed_drop_does_not_fail_the_job(spark):
+    log = []
+    with pytest.warns(UserWarning, match="could not be dropped"):
+        delete_then_write_jdbc(Writes(log, spark), LINK, "t", "DELETE FROM t", connect=lambda *_: Connection(log, "DROP"))
+    assert ("commit",) in log and log[-1] == ("close",)
+
+
+def test_a_failed_staging_is_dropped_too(spark):
+    class Failing(Writes):
+        def jdbc(self, url, table, properties):
+            super().jdbc(url, table, properties)
+            raise RuntimeError("disk full")
+
+        def limit(self, n):
+            return Writes(self.log)
+
+    log = []
+    with pytest.raises(RuntimeError, match="disk full"):
+        delete_then_write_jdbc(Failing(log, spark), LINK, "t", "DELETE FROM t", connect=lambda *_: Connection(log))
+    assert log[-2][1].startswith("DROP TABLE t_incoming_") and not any(e == ("commit",) for e in log)
+
+
+def test_staging_names_are_unique_and_inside_the_quotes():
+    assert _beside("`my-t`", "_x") == "`my-t_x`" and _beside('s."a b"', "_x") == 's."a b_x"' and _beside("s.t", "_x") == "s.t_x"
 
 
 def test_a_blank_delete_is_an_append():

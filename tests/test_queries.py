@@ -8,10 +8,12 @@ import sys
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import entry
 from check import rows_of
 from conftest import ROOT, SF_DIR
-from tableferry.plans.queries import TABLES
+from tableferry.plans.oracles import ORACLES
+from tableferry.plans.queries import TABLES, registry
 
 
 @pytest.fixture(scope="module")
@@ -24,13 +26,14 @@ def db():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registry()) == set(ORACLES)
+    assert set(registry()) <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_query(spark, db, name):
-    result = queries()[name](spark, SF_DIR)
-    want = db.sql(oracle_sql()[name])
+    result = registry()[name](spark, SF_DIR)
+    want = db.sql(ORACLES[name])
     assert sorted(result.columns) == sorted(want.columns)
     assert rows_of(result.columns, result.collect()) == rows_of(want.columns, want.fetchall())
 
@@ -41,7 +44,7 @@ def test_entry(spark):
 
 
 def test_queries_leave_no_tables_behind(spark):
-    queries()["overwrite_partition"](spark, SF_DIR)
+    registry()["overwrite_partition"](spark, SF_DIR)
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tableferry_")]
 
 

@@ -8,7 +8,15 @@ from pyspark.sql import types as T
 
 from tableferry.session import scratch_dir, shared_dir
 from tableferry.sources.catalog import column_report, list_tables, with_comments
-from tableferry.sources.documents import document_schema, inferred_schema, parse_documents, read_collection, read_documents
+from tableferry.sources.documents import (
+    document_schema,
+    inferred_schema,
+    parse_documents,
+    read_collection,
+    read_documents,
+    unreadable_documents,
+    unreadable_texts,
+)
 
 PEOPLE = ['{"name": "Ann"}', '{"name": "Bo", "age": 30}', '{"name": "Cy", "age": 19}']
 
@@ -86,9 +94,31 @@ def test_schema_descriptions():
 
 def test_documents_in_a_column(spark, rows):
     df = spark.createDataFrame([(i, d) for i, d in enumerate([*PEOPLE, "not json", None])], "id int, doc string")
-    out = parse_documents(df, "doc", "name string, age int").select("id", "doc.name", "doc.age")
+    out = parse_documents(df, "doc", "name string, age int", on_bad="null").select("id", "doc.name", "doc.age")
     assert rows(out) == [(0, "Ann", None), (1, "Bo", 30), (2, "Cy", 19), (3, None, None), (4, None, None)]
-    assert rows(parse_documents(df, "doc").select("id", "doc.age"))[1] == (1, 30)
+    assert rows(parse_documents(df, "doc", on_bad="null").select("id", "doc.age"))[1] == (1, 30)
+
+
+BAD_LINES = ['{"k": 1}', '{"k":', '{"k": "x"}', "plain", '{"k": null}', '{"other": 2}']
+
+
+def test_unreadable_documents_are_errors_or_counted_nulls(spark, rows, tmp_path):
+    df = spark.createDataFrame([(t,) for t in [*BAD_LINES, None]], "doc string")
+    assert rows(parse_documents(df, "doc", "k bigint", on_bad="null").selectExpr("doc.k", "doc is null")) == sorted(
+        [(1, False), (None, True), (None, True), (None, True), (None, False), (None, False), (None, True)], key=repr
+    )
+    assert tuple(unreadable_texts(df, "doc", "k bigint").first()) == (6, 3)
+    for text in BAD_LINES[1:4]:
+        with pytest.raises(Exception, match="unreadable document"):
+            parse_documents(df.where(df.doc == text), "doc", "k bigint").collect()
+    (tmp_path / "a.json").write_text("\n".join(BAD_LINES))
+    path = str(tmp_path / "a.json")
+    assert rows(read_documents(spark, path, "k bigint", on_bad="null")) == sorted([(1,)] + [(None,)] * 5, key=repr)
+    assert tuple(unreadable_documents(spark, path, "k bigint").first()) == (6, 3)
+    with pytest.raises(Exception):
+        read_documents(spark, path, "k bigint").collect()
+    with pytest.raises(ValueError):
+        read_documents(spark, path, on_bad="skip")
 
 
 def test_inferred_document_schema(spark):
