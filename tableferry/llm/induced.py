@@ -94,7 +94,12 @@ class Sorter:
             self._close()
 
     def _ordered(self, records: np.ndarray) -> np.ndarray:
-        return records[np.lexsort([records[k] for k in reversed(self.keys)])]
+        columns = [np.ascontiguousarray(records[k]) for k in self.keys]
+        columns = [c for c in columns if len(c) and c.min() != c.max()]
+        if not columns:
+            return records
+        # Equal records stay as they came.
+        return records[np.argsort(columns[0], kind="stable") if len(columns) == 1 else np.lexsort(columns[::-1])]
 
     def _close(self) -> None:
         spool = Spool(self.work, self.dtype)
@@ -357,7 +362,7 @@ def _named(text: _Text, stars: Spool, work: Workspace) -> tuple[np.ndarray, int]
             word |= symbol << np.uint64(text.bits * (text.each - 1 - k))
         return word
 
-    open_ = Sorter(work, record, ("group", "word", "star"))
+    open_ = Sorter(work, record, ("group", "word"))
     for start in range(0, n1, CHUNK):
         pos = stars.read(start, min(start + CHUNK + 1, n1))
         ends = np.append(pos[1:], text.n) if start + CHUNK >= n1 else pos[1:]
@@ -385,7 +390,7 @@ def _named(text: _Text, stars: Spool, work: Workspace) -> tuple[np.ndarray, int]
             following, base, rank = _name_groups(previous, new, names, following, base, rank, text, words, work)
         open_ = following
     # Names were numbers of positions; make them consecutive.
-    order = Sorter(work, np.dtype([("name", "<i8"), ("star", "<i8")]), ("name", "star"))
+    order = Sorter(work, np.dtype([("name", "<i8"), ("star", "<i8")]), ("name",))
     for start in range(0, n1, CHUNK):
         part = np.empty(min(CHUNK, n1 - start), order.dtype)
         part["name"], part["star"] = names[start : start + CHUNK], start + np.arange(len(part))
@@ -424,7 +429,7 @@ def _name_groups(part, new, names, following, base, rank, text, words, work):
     # A group whose members all end here is one name; they end together, as the padding is part of the word.
     if goes_on.any():
         if following is None:
-            following = Sorter(work, record, ("group", "word", "star"))
+            following = Sorter(work, record, ("group", "word"))
         more = part[goes_on].copy()
         more["group"] = name[goes_on]
         more["pos"] += text.each
@@ -435,21 +440,36 @@ def _name_groups(part, new, names, following, base, rank, text, words, work):
 
 
 def _doubled(names: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order and common prefixes of the suffixes of a short string, by doubling of ranks."""
+    """Order and common prefixes of the suffixes of a short string, by doubling of ranks.
+
+    Ranks are numbers of smaller suffixes, so a suffix that stands alone keeps its
+    rank and takes no further part.
+    """
     n = len(names)
-    ranks = [np.append(np.asarray(names), 0).astype(np.int64)]
-    width = 1
-    while width < cap:
-        rank = ranks[-1]
-        after = np.zeros(n, np.int64)
-        after[: max(0, n - width)] = rank[width:n]
-        key = rank[:n] * (int(rank.max()) + 1) + after
-        values, inverse = np.unique(key, return_inverse=True)
-        ranks.append(np.append(inverse + 1, 0))
+    order = np.argsort(names, kind="stable")
+    value = np.asarray(names)[order]
+    rank = np.full(n + 1, -1, np.int32 if n < 1 << 31 else np.int64)
+    new = np.ones(n, bool)
+    new[1:] = value[1:] != value[:-1]
+    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    ranks, width = [rank], 1
+    open_ = order[~(new & np.append(new[1:], True))]
+    while width < cap and len(open_):
+        # Groups stand together in ``open_``; each is ordered by what follows.
+        key = rank[open_].astype(np.int64) * (n + 1) + rank[np.minimum(open_ + width, n)] + 1
+        by = np.argsort(key, kind="stable")
+        open_, key = open_[by], key[by]
+        new = np.ones(len(open_), bool)
+        new[1:] = key[1:] != key[:-1]
+        group = rank[open_]
+        start = np.flatnonzero(np.diff(group, prepend=-2))
+        inside = np.arange(len(open_)) - np.repeat(start, np.diff(np.append(start, len(open_))))
+        rank = rank.copy()
+        rank[open_] = group + inside[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        ranks.append(rank)
         width *= 2
-        if len(values) == n:
-            break
-    order = np.argsort(ranks[-1][:n], kind="stable")
+        open_ = open_[~(new & np.append(new[1:], True))]
+    order = np.argsort(rank[:n], kind="stable")
     lcp, a, b = np.zeros(n, np.int64), order[:-1], order[1:]
     same = np.zeros(max(0, n - 1), np.int64)
     for k in reversed(range(len(ranks))):

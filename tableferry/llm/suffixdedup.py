@@ -2,13 +2,14 @@
 
 A string of ``length`` bytes is repeated if it starts anywhere else. Every such
 string contains its anchor, the least-hashed gram inside it, so equal strings have
-equal anchors. Strings around one anchor form a segment; segments whose anchor
-occurs once are unique, and equal segments are counted before any of their bytes
-move. Distinct segments around shared anchors are dealt out to shards by anchor;
-each shard is suffix-sorted by external induced sorting, and common prefixes of
-``length`` bytes or more between neighbours show what is repeated. An anchor with
-too many distinct segments for one shard has its strings counted by hash instead,
-spread over all tasks.
+equal anchors, at equal depths. Strings around one anchor form a segment; segments
+whose anchor occurs once are unique, and equal segments are counted before any of
+their bytes move. Of the others, strings at a range of depths all hold the same core
+of bytes, and only those whose core occurs again go on. They are dealt out to shards
+by anchor; each shard is suffix-sorted by external induced sorting, and common
+prefixes of ``length`` bytes or more between neighbours show what is repeated. A core
+with too many distinct segments for one shard is narrowed to cores of fewer depths,
+at last of one, spread over all tasks.
 """
 
 from __future__ import annotations
@@ -33,9 +34,26 @@ SHARD_SEGMENTS = 250
 #: Records of each structure that a sort keeps in memory.
 MEMORY = 1 << 20
 SEPARATOR = 1
+#: Ranges of depths whose cores are compared before sorting, and the depths of a range when a crowd is narrowed.
+RANGES = 4
+NARROWER = (15, 3, 1)
 _KEYS = ("_key", "_key2")
 
 
+def _range_width(length: int, gram: int) -> int:
+    return -(-(length - gram + 1) // RANGES)
+
+
+def _cores(hashes: texts.RangeHash, anchor, deepest, starts, length: int, width: int, blocks: range) -> np.ndarray:
+    """For each block of ``width`` depths the hash of what all its strings hold; 0 where a segment has none of them."""
+    out = np.zeros((len(anchor), len(blocks)), np.uint64)
+    for j, block in enumerate(blocks):
+        some = np.flatnonzero((deepest >= block * width) & (deepest - starts + 1 < (block + 1) * width))
+        low = anchor[some] - block * width
+        out[some, j] = hashes.of(low, low - width + 1 + length) | np.uint64(1)
+    return out
+
+
 def keyed(documents: DataFrame) -> DataFrame:
     """Documents with a key per row; equal keys are equal ids and texts, which are repeated alike."""
     text = F.coalesce("text", F.lit(""))
@@ -54,8 +72,8 @@ def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _segments(data: np.ndarray, starts: np.ndarray, length: int, gram: int):
-    """Runs of string starts with one anchor: row, first start in the row, number of starts, anchor, digest, and
-    whether several places of the anchor have met in the run."""
+    """Runs of string starts with one anchor: row, first start in the row, number of starts, anchor, digest,
+    whether several places of the anchor have met in the run, depth of the first start, and cores."""
     counts = np.maximum(np.diff(starts) - length + 1, 0)
     row = np.repeat(np.arange(len(counts)), counts)
     if not len(row):
@@ -74,7 +92,11 @@ def _segments(data: np.ndarray, starts: np.ndarray, length: int, gram: int):
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(row)) - 1
     digest = hashes.of(pos[first], pos[last] + length)
-    return row[first], pos[first] - starts[:-1][row[first]], last - first + 1, found[first], digest, anchor[first] != anchor[last]
+    depth, count = anchor[first] - pos[first], last - first + 1
+    width = _range_width(length, gram)
+    cores = _cores(hashes, anchor[first], depth, count, length, width, range(RANGES))
+    met = anchor[first] != anchor[last]
+    return row[first], pos[first] - starts[:-1][row[first]], count, found[first], digest, met, depth, cores
 
 
 def segments(documents: DataFrame, length: int, gram: int) -> DataFrame:
@@ -86,7 +108,7 @@ def segments(documents: DataFrame, length: int, gram: int) -> DataFrame:
                 got = _segments(*texts.flat(block.column("text")), length, gram)
                 if got is None:
                     continue
-                row, first, count, anchor, digest, met = got
+                row, first, count, anchor, digest, met, depth, cores = got
                 yield pa.RecordBatch.from_arrays(
                     [
                         block.column("_key").take(pa.array(row)),
@@ -96,40 +118,81 @@ def segments(documents: DataFrame, length: int, gram: int) -> DataFrame:
                         pa.array(anchor.view(np.int64)),
                         pa.array(digest.view(np.int64)),
                         pa.array(met.astype(np.int32)),
+                        pa.array(depth.astype(np.int32)),
+                        texts.lists(cores.view(np.int64).ravel(), np.arange(len(row) + 1) * RANGES),
                     ],
-                    ["_key", "_key2", "first", "starts", "anchor", "digest", "met"],
+                    ["_key", "_key2", "first", "starts", "anchor", "digest", "met", "depth", "cores"],
                 )
 
     return documents.select("_key", "_key2", "text").mapInArrow(
-        run, "_key bigint, _key2 int, first int, starts int, anchor bigint, digest bigint, met int"
+        run, "_key bigint, _key2 int, first int, starts int, anchor bigint, digest bigint, met int, depth int, "
+        "cores array<bigint>"
     )
 
 
+def _with_shared_cores(distinct: DataFrame, length: int, gram: int) -> DataFrame:
+    """Distinct segments by range of depths, where the range's core occurs again: offset and number of its starts."""
+    width = _range_width(length, gram)
+    ranges = distinct.where("met = 0").select(
+        "anchor", "digest", "copies", *_KEYS, "first", "starts", "depth", F.posexplode("cores").alias("range", "core")
+    ).where("core <> 0")
+    shared = (
+        ranges.groupBy("anchor", "range", "core")
+        .agg(F.sum("copies").alias("n"), (F.count("*") > SHARD_SEGMENTS).alias("many"))
+        .where("n > 1")
+        .drop("n")
+    )
+    deepest = F.least(F.col("depth"), (F.col("range") + 1) * width - 1)
+    flattest = F.greatest(F.col("depth") - F.col("starts") + 1, F.col("range") * width)
+    columns = ["anchor", "digest", "copies", *_KEYS, "first"]
+    apart = ranges.join(shared, ["anchor", "range", "core"]).select(
+        *columns, (F.col("depth") - deepest).alias("offset"), (deepest - flattest + 1).alias("starts"), deepest.alias("depth"), "many"
+    )
+    # Where places of an anchor have met, depths mean nothing.
+    met = distinct.where("met = 1").select(*columns, F.lit(0).alias("offset"), "starts", "depth", F.lit(False).alias("many"))
+    return apart.unionByName(met)
+
+
+PIECE = ("anchor", "digest", "copies", "offset", "starts", "depth", "many")
+PIECE_DDL = "anchor bigint, digest bigint, copies bigint, offset int, starts int, depth int"
+
+
+def _joined_parts(parts: list[dict]) -> list[dict]:
+    """Ranges of one segment that follow each other as one, unless they are of a crowd."""
+    out: list[dict] = []
+    for part in sorted(parts, key=lambda p: (p["anchor"], p["digest"], p["many"], p["offset"])):
+        last = out[-1] if out else None
+        if last and not part["many"] and all(last[k] == part[k] for k in ("anchor", "digest", "many", "first")):
+            if last["offset"] + last["starts"] == part["offset"]:
+                last["starts"] += part["starts"]
+                continue
+        out.append(dict(part))
+    return out
+
+
 def _cut_out(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``(anchor, digest, copies, starts, many, bytes)`` of one occurrence of each wanted segment."""
-    each = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("anchor", "digest", "copies", "first", "starts", "many")).alias("parts"))
+    """The wanted parts of segments with their bytes, each cut from one occurrence."""
+    each = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("first", *PIECE)).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in texts.blocks(batch):
                 data, at = texts.flat(block.column("text"))
-                parts = block.column("parts")
-                values = parts.flatten()
-                row = np.repeat(np.arange(len(parts)), np.diff(np.asarray(parts.offsets)))
-                start = at[row] + np.asarray(values.field("first"))
-                end = start + np.asarray(values.field("starts")) + length - 1
-                cut = [data[a:b].tobytes() for a, b in zip(start.tolist(), end.tolist())]
-                names = ["anchor", "digest", "copies", "starts", "many"]
-                yield pa.RecordBatch.from_arrays(
-                    [*(values.field(n) for n in names), pa.array(cut, pa.binary())], [*names, "bytes"]
-                )
-
+                raw, rows = data.tobytes(), []
+                for start, parts in zip(at.tolist(), block.column("parts").to_pylist()):
+                    for part in _joined_parts(parts):
+                        low = start + part["first"] + part["offset"]
+                        rows.append((*(part[k] for k in PIECE), raw[low : low + part["starts"] + length - 1]))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows), types)), [*PIECE, "bytes"])
+
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
     return (
         documents.select(*_KEYS, "text")
         .dropDuplicates(list(_KEYS))
         .join(each, list(_KEYS))
         .select("text", "parts")
-        .mapInArrow(run, "anchor bigint, digest bigint, copies bigint, starts int, many boolean, bytes binary")
+        .mapInArrow(run, f"{PIECE_DDL}, many boolean, bytes binary")
     )
 
 
@@ -183,7 +246,7 @@ def _sorted_verdicts(pieces: DataFrame, shards: int, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = Workspace(MEMORY)
-        symbols, columns = Spool(work, np.uint16), {n: [] for n in ("anchor", "digest", "copies", "starts", "size")}
+        symbols, columns = Spool(work, np.uint16), {n: [] for n in ("anchor", "digest", "copies", "starts", "offset", "size")}
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -192,7 +255,7 @@ def _sorted_verdicts(pieces: DataFrame, shards: int, length: int) -> DataFrame:
             out = np.full(len(data) + batch.num_rows, SEPARATOR, np.uint16)
             out[np.arange(len(data)) + np.repeat(np.arange(batch.num_rows), np.diff(at))] = data.astype(np.uint16) + 2
             symbols.add(out)
-            for name in ("anchor", "digest", "copies", "starts"):
+            for name in ("anchor", "digest", "copies", "starts", "offset"):
                 columns[name].append(np.asarray(batch.column(name)))
             columns["size"].append(np.diff(at) + 1)
         if not len(symbols):
@@ -211,41 +274,72 @@ def _sorted_verdicts(pieces: DataFrame, shards: int, length: int) -> DataFrame:
         order, lcp = sorted_suffixes(text, 257, length, work)
         first, last = _runs(_repeated_starts(order, lcp, own_weight, length, len(text), work))
         row = np.searchsorted(begin, first, "right") - 1
-        yield _verdict(column["anchor"], column["digest"], row, first - begin[row], last - begin[row])
+        shift = column["offset"][row] - begin[row]
+        yield _verdict(column["anchor"], column["digest"], row, first + shift, last + shift)
 
     return pieces.repartition(shards, "anchor").mapInArrow(run, VERDICT)
 
 
-def _counted_verdicts(pieces: DataFrame, length: int) -> DataFrame:
-    """Repeated starts of the segments of anchors with very many: every string is counted by its hash."""
+def _narrowed(pieces: DataFrame, length: int, width: int) -> DataFrame:
+    """Pieces of crowds cut into parts of at most ``width`` depths, with core and content as hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in texts.blocks(batch, "bytes", texts.BLOCK_BYTES // 4):
                 data, at = texts.flat(block.column("bytes"))
-                starts = np.asarray(block.column("starts")).astype(np.int64)
-                row = np.repeat(np.arange(block.num_rows), starts)
-                offset = np.arange(len(row)) - np.repeat(np.cumsum(starts) - starts, starts)
-                hashed = texts.RangeHash(data).of(at[row] + offset, at[row] + offset + length)
+                hashes, raw = texts.RangeHash(data), data.tobytes()
+                depth, starts, offset = (np.asarray(block.column(n)).astype(np.int64) for n in ("depth", "starts", "offset"))
+                low, high = (depth - starts + 1) // width, depth // width
+                row = np.repeat(np.arange(block.num_rows), high - low + 1)
+                part = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
+                deepest = np.minimum(depth[row], (part + 1) * width - 1)
+                count = deepest - np.maximum(depth[row] - starts[row] + 1, part * width) + 1
+                begin = at[row] + depth[row] - deepest
+                anchor = at[row] + depth[row]
+                core = hashes.of(anchor - part * width, anchor - part * width - width + 1 + length)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(block.column(n).take(take) for n in ("anchor", "digest", "copies")),
-                        pa.array(offset.astype(np.int32)),
-                        pa.array(hashed.view(np.int64)),
+                        pa.array((offset[row] + depth[row] - deepest).astype(np.int32)),
+                        pa.array(count.astype(np.int32)),
+                        pa.array(deepest.astype(np.int32)),
+                        pa.array(core.view(np.int64)),
+                        pa.array(hashes.of(begin, begin + count + length - 1).view(np.int64)),
+                        pa.array([raw[a : a + n] for a, n in zip(begin.tolist(), (count + length - 1).tolist())], pa.binary()),
                     ],
-                    ["anchor", "digest", "copies", "offset", "string"],
+                    [*PIECE[:-1], f"core{width}", "content", "bytes"],
                 )
 
-    strings = pieces.mapInArrow(run, "anchor bigint, digest bigint, copies bigint, offset int, string bigint")
-    repeated = strings.groupBy("anchor", "string").agg(F.sum("copies").alias("n")).where("n >= 2").select("anchor", "string")
-    return (
-        strings.join(repeated, ["anchor", "string"])
-        .groupBy("anchor", "digest")
-        .agg(F.collect_list(F.struct(F.col("offset").alias("a"), F.col("offset").alias("b"))).alias("runs"))
+    return pieces.mapInArrow(run, f"{PIECE_DDL}, core{width} bigint, content bigint, bytes binary").withColumnRenamed(
+        f"core{width}", "core"
     )
 
 
+def _crowd_verdicts(spark: SparkSession, pieces: DataFrame, length: int) -> DataFrame:
+    """Repeated starts where a core has very many distinct segments.
+
+    A part whose core stands once is unique; parts of one core and equal content are
+    repeated as a whole; the others go on with fewer depths. At one depth core and
+    content are the string itself.
+    """
+    found = spark.createDataFrame([], VERDICT)
+    for width in NARROWER:
+        parts = stored(spark, _narrowed(pieces, length, width), "narrowed")
+        block = F.floor(F.col("depth") / width).alias("block")
+        shared = (
+            parts.groupBy("anchor", block, "core")
+            .agg(F.sum("copies").alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
+            .where("n > 1")
+            .select("anchor", "block", "core", F.expr("lo = hi").alias("whole"))
+        )
+        judged = stored(spark, parts.withColumn("block", block).join(shared, ["anchor", "block", "core"]), "judged")
+        run = F.struct(F.col("offset").alias("a"), (F.col("offset") + F.col("starts") - 1).alias("b"))
+        found = found.unionByName(judged.where("whole").select("anchor", "digest", F.array(run).alias("runs")))
+        pieces = judged.where("not whole").select(*PIECE[:-1], "bytes")
+    return found
+
+
 def repeated_spans(
     spark: SparkSession, documents: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
@@ -261,22 +355,22 @@ def repeated_spans(
         .select("anchor", F.expr("n > 1 and lo = hi").alias("whole"))
     )
     places = stored(spark, found.join(shared, "anchor"), "places")
-    distinct = (
+    one = F.min(F.struct(*_KEYS, "first", "starts", "met", "depth", "cores")).alias("one")
+    distinct = stored(
+        spark,
         places.where("not whole")
         .groupBy("anchor", "digest")
-        .agg(F.count("*").alias("copies"), F.min(F.struct(*_KEYS, "first", "starts")).alias("one"))
-        .select("anchor", "digest", "copies", "one.*")
+        .agg(F.count("*").alias("copies"), one)
+        .select("anchor", "digest", "copies", "one.*"),
+        "distinct",
     )
-    crowd = distinct.groupBy("anchor").agg((F.count("*") > SHARD_SEGMENTS).alias("many"))
-    pieces = stored(spark, _cut_out(documents, distinct.join(crowd, "anchor"), length), "pieces")
+    pieces = stored(spark, _cut_out(documents, _with_shared_cores(distinct, length, gram), length), "pieces")
     total = pieces.where("not many").agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    verdicts = stored(
-        spark,
-        _sorted_verdicts(pieces.where("not many"), max(1, -(-total // shard_bytes)), length).unionByName(
-            _counted_verdicts(pieces.where("many"), length)
-        ),
-        "verdicts",
-    )
+    verdicts = _sorted_verdicts(pieces.where("not many"), max(1, -(-total // shard_bytes)), length)
+    crowd = pieces.where("many")
+    if crowd.take(1):
+        verdicts = verdicts.unionByName(_crowd_verdicts(spark, crowd, length))
+    verdicts = stored(spark, verdicts, "verdicts")
     whole = places.where("whole").select(*_KEYS, F.col("first").alias("a"), (F.col("first") + F.col("starts") - 1).alias("b"))
     partly = (
         places.where("not whole")
