@@ -28,11 +28,11 @@ SYMBOLS = 32
 WORD, STRIDE = 32, 16
 #: Bounds of the training sample.
 LABELLED = 20_000
-POSITIVE, NEGATIVE, LANDMARKS = 400, 4000, 600
-LEAST_DOCUMENTS, PRECISION = 3, 0.9
+POSITIVE, NEGATIVE, LANDMARKS, VARIANTS = 400, 3000, 600, 3
+LEAST_NEIGHBOURHOODS, PRECISION = 3, 0.9
 FLOOR = -1.0
 #: Of the Gaussian; words whose string kernel with every toxic landmark is under NEAR have the floor.
-SHARPNESS, NEAR = 6.0, 0.6
+SHARPNESS, NEAR = 6.0, 0.7
 RIDGE = 0.05
 #: Share of the best F-measure that the cut between the classes must keep.
 CALIBRATION = 0.99
@@ -115,36 +115,88 @@ def _places(starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Landmarks:
     """Words that span the feature space, the first ``toxic`` of them toxic; only their subsequences have rows."""
 
-    def __init__(self, marks: list[tuple[np.ndarray, np.ndarray]], toxic: int):
+    def __init__(self, marks: list[tuple[np.ndarray, np.ndarray]], toxic: int, common: np.ndarray | None = None):
         keys = np.unique(np.concatenate([key for key, _ in marks]))
         self.place = np.zeros(SYMBOLS**3, np.int32)
         self.place[keys] = np.arange(1, len(keys) + 1)
         self.rows = np.zeros((len(keys) + 1, len(marks)), np.float32)
         for i, (key, mass) in enumerate(marks):
             self.rows[self.place[key], i] = mass
-        self.toxic = np.ascontiguousarray(self.rows[:, :toxic])
-        #: No toxic landmark has more of a subsequence than this.
-        self.most = self.toxic.max(axis=1)[self.place]
+        self._index(marks[:toxic], np.ones(SYMBOLS**3) if common is None else common + 1.0)
+
+    def _index(self, marks: list[tuple[np.ndarray, np.ndarray]], common: np.ndarray) -> None:
+        """For each subsequence the toxic landmarks that it may bring near.
+
+        Subsequences of a landmark, the heavy and uncommon first, are listed until the rest is
+        shorter than ``NEAR``: a word that shares none of them cannot have so large a kernel.
+        """
+        pairs = []
+        for i, (key, mass) in enumerate(marks):
+            order = np.argsort(common[key] / mass**2, kind="stable")
+            rest = 1 - np.cumsum(mass[order] ** 2)
+            pairs += [(k, i) for k in key[order[: int(np.argmax(rest < NEAR**2)) + 1]].tolist()]
+        listed = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        self.listed = listed[:, 1]
+        self.first = np.searchsorted(listed[:, 0], np.arange(SYMBOLS**3 + 1))
 
     def kernel(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Similarity of each word to each landmark: the string kernel under a Gaussian."""
         shared = np.stack([mass.astype(np.float32) @ self.rows[self.place[key]] for key, mass in found])
         return np.exp(-SHARPNESS * (1 - shared.astype(np.float64)))
 
-    def bound(self, symbols: np.ndarray, starts: np.ndarray, closely: bool) -> np.ndarray:
-        """A bound of each word's string kernel with any toxic landmark, taken together or, closely, one by one."""
-        parts = [(s, p, w) for s, p, w in _subsequences(symbols, starts)]
-        if closely:
-            total = np.zeros((len(symbols), self.toxic.shape[1]), np.float32)
-            for found, place, weight in parts:
-                total[place] += np.float32(weight) * self.toxic[self.place[found]]
-            sums = np.add.reduceat(total, starts[:-1], axis=0).max(axis=1)
-        else:
-            total = np.zeros(len(symbols), np.float32)
-            for found, place, weight in parts:
-                total[place] += np.float32(weight) * self.most[found]
-            sums = np.add.reduceat(total, starts[:-1])
-        return sums / np.sqrt(np.maximum(_LEAST[np.diff(starts)], 1e-9))
+    def near(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words whose string kernel with a toxic landmark may reach ``NEAR``, and a bound of it."""
+        n, marks = len(starts) - 1, self.rows.shape[1]
+        word = np.repeat(np.arange(n), np.diff(starts))
+        found, owner, weights = [], [], []
+        for key, place, weight in _subsequences(symbols, starts):
+            found.append(key)
+            owner.append(word[place])
+            weights.append(np.full(len(key), weight, np.float32))
+        found, owner, weights = (np.concatenate(x) for x in (found, owner, weights))
+        count = self.first[found + 1] - self.first[found]
+        hit = np.flatnonzero(count)
+        which = np.repeat(hit, count[hit])
+        step = np.arange(len(which)) - np.repeat(np.cumsum(count[hit]) - count[hit], count[hit])
+        pair = np.unique(owner[which] * marks + self.listed[self.first[found[which]] + step])
+        # Subsequences by word, to go through those of each pair's word.
+        order = np.argsort(owner, kind="stable")
+        places, weights = self.place[found[order]], weights[order]
+        at = np.searchsorted(owner[order], np.arange(n + 1))
+        bound = np.zeros(n)
+        least = np.sqrt(np.maximum(_LEAST[np.diff(starts)], 1e-9))
+        for begin in range(0, len(pair), 20_000):
+            own, mark = np.divmod(pair[begin : begin + 20_000], marks)
+            index, inner = _places(at, own)
+            mass = weights[index] * self.rows[places[index], np.repeat(mark, np.diff(inner))]
+            np.maximum.at(bound, own, np.add.reduceat(mass, inner[:-1]) / least[own])
+        near = np.flatnonzero(bound >= NEAR)
+        return near, bound[near]
+
+
+class Known:
+    """Margins of words that a task has met, by hash; forgotten when there are too many."""
+
+    MOST = 1 << 20
+
+    def __init__(self):
+        self.hashes, self.values = np.zeros(0, np.uint64), np.zeros(0)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool)
+        return self.hashes[np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)] == hashes
+
+    def add(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        """New hashes in ascending order; the caller looks up what it needs before the next."""
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.values = np.insert(self.hashes, place, hashes), np.insert(self.values, place, values)
+
+    def margins(self, hashes: np.ndarray) -> np.ndarray:
+        out = self.values[np.searchsorted(self.hashes, hashes)]
+        if len(self.hashes) > self.MOST:
+            self.__init__()
+        return out
 
 
 class Machine:
@@ -154,25 +206,12 @@ class Machine:
         self.landmarks, self.weights, self.bias = landmarks, weights, bias
         self.slope, self.middle = 4.0, 0.0
 
-    def near(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Words that a bound lets come near a toxic landmark, and that bound."""
-        bound = self.landmarks.bound(symbols, starts, closely=False)
-        chosen = np.flatnonzero(bound > NEAR)
-        kept, bounds = [chosen[:0]], [bound[:0]]
-        for at in range(0, len(chosen), 2048):
-            part = chosen[at : at + 2048]
-            index, inner = _places(starts, part)
-            close = self.landmarks.bound(symbols[index], inner, closely=True)
-            kept.append(part[close > NEAR])
-            bounds.append(close[close > NEAR])
-        return np.concatenate(kept), np.concatenate(bounds)
-
     def margins(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The margin of each word; the floor where no toxic landmark is near."""
         out = np.full(len(starts) - 1, FLOOR)
         if self.landmarks is None or not len(symbols):
             return out
-        near, _ = self.near(symbols, starts)
+        near, _ = self.landmarks.near(symbols, starts)
         for at in range(0, len(near), 2048):
             part = near[at : at + 2048]
             index, inner = _places(starts, part)
@@ -180,15 +219,18 @@ class Machine:
             out[part] = np.clip(self.landmarks.kernel(found) @ self.weights + self.bias, FLOOR, -FLOOR)
         return out
 
-    def worst(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def worst(self, data: np.ndarray, starts: np.ndarray, known: "Known | None" = None) -> np.ndarray:
         """The greatest margin of each row's words."""
         symbols, at, rows = words(data, starts)
         out = np.full(len(starts) - 1, FLOOR)
         if len(at) > 1:
             hashed = texts.RangeHash(symbols.astype(np.uint8)).of(at[:-1], at[1:])
-            _, first, where = np.unique(hashed, return_index=True, return_inverse=True)
-            index, inner = _places(at, first)
-            own = self.margins(symbols[index], inner)[where]
+            values, first, where = np.unique(hashed, return_index=True, return_inverse=True)
+            known = known or Known()
+            new = ~known.has(values)
+            index, inner = _places(at, first[new])
+            known.add(values[new], self.margins(symbols[index], inner))
+            own = known.margins(values)[where]
             some = np.flatnonzero(np.diff(rows) > 0)
             out[some] = np.maximum.reduceat(own, rows[:-1][some])
         return out
@@ -217,20 +259,30 @@ def _packed(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(positive: list[np.ndarray], negative: list[np.ndarray]) -> Machine:
     """Train on words of both classes; the landmarks are all toxic words and some of the clean ones nearest to them."""
-    own = positive + negative
+    rng = np.random.Generator(np.random.PCG64(5))
+    # Insults with a letter put in are examples too, but no landmarks.
+    changed = [
+        np.insert(word, rng.integers(1, len(word)), rng.integers(1, 27))
+        for word in positive for _ in range(VARIANTS)
+    ]
+    own = positive + negative + changed
     found = features(*_packed(own))
-    label = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
+    label = np.concatenate([np.ones(len(positive)), -np.ones(len(negative)), np.ones(len(changed))])
+    common = np.zeros(SYMBOLS**3)
+    for key, _ in found[len(positive) : len(positive) + len(negative) : 2]:
+        common[key] += 1
     marks = Landmarks(found[: len(positive)], len(positive))
-    closest = marks.kernel(found[len(positive) :]).max(axis=1)
-    extra = np.argsort(-closest, kind="stable")[: LANDMARKS - len(positive)]
+    closest = marks.kernel(found[len(positive) : len(positive) + len(negative)]).max(axis=1)
+    extra = np.argsort(-closest, kind="stable")[: max(0, min(300, LANDMARKS - len(positive)))]
     chosen = found[: len(positive)] + [found[len(positive) + i] for i in extra.tolist()]
-    marks = Landmarks(chosen, len(positive))
+    marks = Landmarks(chosen, len(positive), common)
     # Nyström: features whose products are the kernel, as far as the landmarks tell.
     values, vectors = np.linalg.eigh(marks.kernel(chosen))
     kept = values > 1e-3
     root = vectors[:, kept] / np.sqrt(values[kept])
     z = np.column_stack([marks.kernel(found) @ root, np.ones(len(found))])
     balance = np.where(label > 0, max(1.0, len(negative) / len(positive)) ** 0.5, 1.0)
+    balance[len(positive) + len(negative) :] = 0.5
     w = np.zeros(z.shape[1])
     for _ in range(30):
         # Newton steps of the squared hinge: a ridge regression of the words inside the margin.
@@ -244,7 +296,12 @@ def fit(positive: list[np.ndarray], negative: list[np.ndarray]) -> Machine:
 
 
 def _vocabulary(sample: DataFrame) -> DataFrame:
-    """``(word, clean, toxic)``: documents of each class with each word; words as their symbols."""
+    """``(word, clean, toxic)``: clean documents with each word, and neighbourhoods it has in toxic ones.
+
+    A neighbourhood is the words before and after; copies of a document repeat it,
+    so a word is not toxic for standing in a document that was copied. Words are
+    given as their symbols.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,22 +309,30 @@ def _vocabulary(sample: DataFrame) -> DataFrame:
                 symbols, at, rows = words(*texts.flat(block.column("text")))
                 hashed = texts.RangeHash(symbols.astype(np.uint8)).of(at[:-1], at[1:])
                 row = np.repeat(np.arange(block.num_rows), np.diff(rows))
-                order = np.lexsort((hashed, row))
+                toxic = np.asarray(block.column("toxic"))[row]
+                around = np.zeros(len(hashed), np.uint64)
+                around[1:] += hashed[:-1] * np.uint64(3)
+                around[:-1] += hashed[1:]
+                around[toxic == 0] = 0
+                order = np.lexsort((around, hashed, row))
                 new = np.ones(len(order), bool)
-                new[1:] = (np.diff(row[order]) != 0) | (hashed[order][1:] != hashed[order][:-1])
+                new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (row, hashed, around)], axis=0)
                 kept = order[new & (np.diff(at)[order] > 2)]
                 raw = symbols.astype(np.uint8).tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([raw[at[i] : at[i + 1]] for i in kept.tolist()], pa.binary()),
-                        block.column("toxic").take(pa.array(row[kept])),
+                        pa.array(toxic[kept].astype(np.int32)),
+                        pa.array(around[kept].view(np.int64)),
                     ],
-                    ["word", "toxic"],
+                    ["word", "toxic", "around"],
                 )
 
-    found = sample.select("text", "toxic").mapInArrow(run, "word binary, toxic int")
-    return found.groupBy("word").agg(
-        F.sum(F.lit(1) - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")
+    found = sample.select("text", "toxic").mapInArrow(run, "word binary, toxic int, around bigint")
+    counted = found.groupBy("word", "toxic", "around").agg(F.count("*").alias("n"))
+    return counted.groupBy("word").agg(
+        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"),
+        F.sum("toxic").alias("toxic"),
     )
 
 
@@ -277,7 +342,7 @@ def _symbols(word: bytes) -> np.ndarray:
 
 def _nearest(positive: list[np.ndarray], clean: DataFrame) -> DataFrame:
     """``(word, near)``: clean words and a bound of their string kernel with any toxic one, if it is large enough."""
-    marks = Machine(Landmarks(features(*_packed(positive)), len(positive)))
+    marks = Landmarks(features(*_packed(positive)), len(positive))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,9 +360,10 @@ def _worst_words(machine: Machine, documents: DataFrame, column: str, kind: str)
     """``column`` and the worst word's margin of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known()
         for batch in batches:
             for block in texts.blocks(batch):
-                margin = machine.worst(*texts.flat(block.column("text")))
+                margin = machine.worst(*texts.flat(block.column("text")), known)
                 yield pa.RecordBatch.from_arrays([block.column(column), pa.array(margin)], [column, "margin"])
 
     return documents.select(column, "text").mapInArrow(run, f"{column} {kind}, margin double")
@@ -322,8 +388,8 @@ def learn(spark: SparkSession, documents: DataFrame, labels: DataFrame, folds: i
     size = vocabulary.count()
     if not counts[1] or counts[1] == counts[0] or not size:
         return None
-    # Among so many words, fewer documents would all be toxic by chance.
-    least = max(LEAST_DOCUMENTS, math.log(size) / math.log(counts[0] / counts[1]))
+    # Among so many words, some would be in fewer documents that are all toxic by chance.
+    least = max(LEAST_NEIGHBOURHOODS, math.log(size) / math.log(counts[0] / counts[1]))
     positive = (
         vocabulary.where((F.col("toxic") >= least) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("clean"))))
         .orderBy(F.desc("toxic"), "word")
