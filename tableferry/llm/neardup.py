@@ -126,7 +126,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     sized = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("left", "right"))
+    shared = F.size(F.array_intersect("left", "right")).cast("bigint")
     return sized.where(
         shared * 100 >= percent * (F.size("left") + F.size("right") - shared)
     ).select("a", "b")

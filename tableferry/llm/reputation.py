@@ -44,13 +44,6 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
     return rule, verdict
 
 
-def _shrunk(groups: DataFrame, parent: Column, n: str, k: str) -> tuple[Column, Column, Column]:
-    """Sums from which a level's concentration follows: spread, expected spread, and slack."""
-    p = F.col(k) / F.col(n)
-    noise = parent * (1 - parent)
-    return (F.col(n) * (p - parent) * (p - parent), noise, (F.col(n) - 1) * noise)
-
-
 def _level(groups: DataFrame, parent: Column) -> DataFrame:
     """Posterior mean and weight of each group of one level.
 
@@ -58,11 +51,11 @@ def _level(groups: DataFrame, parent: Column) -> DataFrame:
     the binomial one, and gives the concentration ``1 / rho - 1`` of the prior.
     """
     groups = groups.withColumn("prior", parent)
-    seen = groups.where("n > 0")
-    spread, noise, slack = _shrunk(seen, F.col("prior"), "n", "k")
-    rho = (F.sum(spread) - F.sum(noise)) / F.sum(slack)
-    fit = seen.agg(
-        F.least(F.lit(0.999), F.greatest(F.lit(0.001), F.coalesce(F.nullif(rho, F.lit(float("nan"))), F.lit(0.5)))).alias("rho")
+    apart, noise = F.col("k") / F.col("n") - F.col("prior"), F.col("prior") * (1 - F.col("prior"))
+    # Without a group of two outcomes nothing is known of the correlation.
+    rho = F.try_divide(F.sum(F.col("n") * apart * apart) - F.sum(noise), F.sum((F.col("n") - 1) * noise))
+    fit = groups.where("n > 0").agg(
+        F.least(F.lit(0.999), F.greatest(F.lit(0.001), F.coalesce(rho, F.lit(0.5)))).alias("rho")
     )
     # One row, whatever the input: the only table that every group meets.
     groups = groups.join(F.broadcast(fit))

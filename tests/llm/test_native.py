@@ -46,6 +46,13 @@ def test_hosts_paths_and_rules(spark, rows):
     assert reputation.judge_urls(pages, labels.limit(0)).count() == len(urls)
 
 
+def test_one_outcome_for_each_host(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i}.net/") for i in range(4)], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "page_id bigint, good int")
+    got = reputation.judge_urls(pages, labels).collect()
+    assert len(got) == 4 and all(0 < r.bound + 1 < 2 for r in got)
+
+
 def test_reputation_shrinks_towards_the_domain(spark):
     pages = [(i, f"http://{'good' if i < 60 else 'bad'}.site.net/") for i in range(120)] + [(200, "http://new.site.net/")]
     pages = spark.createDataFrame(pages, "page_id bigint, url string")
