@@ -28,7 +28,7 @@ from tableferry.llm.induced import CHUNK, Spool, Workspace, sorted_suffixes
 
 LENGTH = 400
 GRAM = 100
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 1_000_000
 #: Distinct segments of one anchor that are still sorted together.
 SHARD_SEGMENTS = 250
 #: Records of each structure that a sort keeps in memory.
