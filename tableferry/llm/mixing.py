@@ -130,14 +130,15 @@ def drawn(spark: SparkSession, sources: DataFrame, most: int = MOST, shard_block
         )
         .withColumn("at", _hashed(F.lit("draw"), F.col("draw")) / float(1 << 52) * rest)
         .withColumn("cell", cell(F.col("at")))
-        .join(ranges, "cell")
+        .join(ranges.hint("merge"), "cell")
         .where("low <= at and at < high")
         .groupBy("src", "shard")
         .agg(F.count("*").alias("extra"))
     )
     counts = (
         open_.select("src", "blocks", "whole", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"))
-        .join(draws, ["src", "shard"], "left")
+        # Planning takes what comes of few sources for small; these rows grow with the words, so nothing is broadcast.
+        .join(draws.hint("merge"), ["src", "shard"], "left")
         .withColumn("count", F.col("whole") + F.coalesce("extra", F.lit(0)))
     )
     before = W.partitionBy("src").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
@@ -171,7 +172,7 @@ def mix_blocks(spark: SparkSession, documents: DataFrame, block_words: int = BLO
     sizes = stored(spark, sized(documents), "sizes")
     sources = stored(spark, source_targets(sizes, block_words=block_words), "sources")
     cut = pieces(placed(sizes, sources), block_words)
-    return drawn(spark, sources).join(cut, ["src", "block"]).select(
+    return drawn(spark, sources).hint("merge").join(cut, ["src", "block"]).select(
         "shard", "slot", "source", "doc_id", "first_word", "words"
     )
 
@@ -190,7 +191,7 @@ def mix_report(
     used = drawn(spark, sources, shard_blocks=shard_blocks).groupBy("src", "block").agg(F.count("*").alias("uses"))
     took = (
         pieces(placed(sizes, sources), block_words)
-        .join(used, ["src", "block"], "left")
+        .join(used.hint("merge"), ["src", "block"], "left")
         .groupBy("src", "start", "doc_id", "size")
         .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
         .select("doc_id", "src", "size", "taken")
