@@ -3,7 +3,8 @@ buckets, star-shaped candidate edges, and links confirmed on full shingle sets.
 
 Equal sets share one node, so copies never make pairs. A bucket of nodes gives
 one edge per member, to a centre; where a bucket still joins several components
-after its edges were judged, it gets another centre in the next round.
+after its edges were judged, it gets another centre in the next round. What is
+still open after the rounds is joined exactly, by the rarest shingles of each set.
 """
 
 from __future__ import annotations
@@ -132,6 +133,162 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
+def _star_rounds(
+    spark: SparkSession, members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, judged: DataFrame, percent: int, rounds: int
+) -> tuple[DataFrame, DataFrame]:
+    """Roots and judged pairs after rounds of stars in the buckets that join several components."""
+    for r in range(rounds):
+        flip = F.lit(int(_CENTRES[r]))
+        placed = _placed(members, roots)
+        mixed = placed.groupBy("band").agg(
+            F.min(F.col("node").bitwiseXOR(flip)).bitwiseXOR(flip).alias("centre"),
+            F.min("root").alias("lo"),
+            F.max("root").alias("hi"),
+        ).where("lo <> hi")
+        stars = placed.join(mixed.select("band", "centre"), "band").where("node <> centre")
+        other = nodes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("centre_shingles"))
+        at = roots.select(F.col("node").alias("centre"), F.col("root").alias("centre_root"))
+        pairs = (
+            stars.select("centre", "node", "n_shingles", "root")
+            .distinct()
+            .join(other, "centre")
+            # Sets of too different sizes cannot share so much of their union.
+            .where(
+                F.least("n_shingles", "centre_shingles") * 100 >= F.greatest("n_shingles", "centre_shingles") * percent
+            )
+            .join(at, "centre", "left")
+            .where(F.col("root") != F.coalesce("centre_root", "centre"))
+        )
+        pairs = pairs.select(F.greatest("centre", "node").alias("a"), F.least("centre", "node").alias("b")).distinct()
+        pairs = stored(spark, pairs.join(judged, ["a", "b"], "left_anti"), "pairs")
+        found = stored(spark, _linked(pairs, sets, percent), "links")
+        judged = judged.unionByName(pairs)
+        if found.take(1):
+            roots = _merged(spark, found, roots)
+    return roots, judged
+
+
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _merged(spark: SparkSession, found: DataFrame, roots: DataFrame) -> DataFrame:
+    return components(spark, found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _open(members: DataFrame, roots: DataFrame, rounds: int) -> DataFrame:
+    """``(node, n_shingles)`` in buckets of several components where two members or more were never a centre."""
+    centres = [F.min(F.col("node").bitwiseXOR(F.lit(int(c)))).bitwiseXOR(F.lit(int(c))) for c in _CENTRES[:rounds]]
+    tried = F.size(F.array_distinct(F.array(*centres))) if rounds else F.lit(0)
+    left = (
+        _placed(members, roots)
+        .groupBy("band")
+        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), (F.count("*") - tried).alias("n"))
+        .where("lo <> hi and n > 1")
+    )
+    return members.join(left.select("band"), "band", "left_semi").select("node", "n_shingles").distinct()
+
+
+def _prefixes(open_nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(band, node, n_shingles, rest)``: the rarest shingles of each set, and how many of its shingles do not come before.
+
+    With all sets in one order, two that overlap enough share a shingle among
+    their first; their overlap is at most the lesser rest at the first they share.
+    A shingle of one set only comes before all others and needs no row.
+    """
+    each = open_nodes.join(sets, "node").select("node", "n_shingles", F.explode("shingles").alias("band"))
+    shared = each.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    own = W.partitionBy("node")
+    place = F.row_number().over(own.orderBy(F.desc("n"), F.desc("band")))
+    return (
+        each.join(shared, "band")
+        .withColumn("rest", place.cast("bigint"))
+        .where(F.col("rest") * 100 >= F.col("n_shingles") * percent)
+        .select("band", "node", "n_shingles", "rest")
+    )
+
+
+#: Members of one component and one shingle that are compared in one tile, and of small components together.
+TILE = 256
+
+
+def _allowed(spark: SparkSession, prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that the filters of size and place allow, by tiles of bounded size."""
+    # Of a pair the smaller set must have this much left.
+    able = F.max((F.col("rest") * (100 + percent) >= 2 * percent * F.col("n_shingles")).cast("int"))
+    placed = _placed(prefixes, roots)
+    by_root = placed.groupBy("band", "root").agg(F.count("*").alias("of_root"), able.alias("able"))
+    # Sets whose sizes are more than one class apart cannot be linked.
+    size_class = F.floor(F.log("n_shingles") / (F.log(F.lit(100.0 / percent)) + 1e-9)) if percent < 100 else F.col("n_shingles")
+    live = (
+        by_root.groupBy("band")
+        .agg(F.count("*").alias("of_band"), F.sum("of_root").alias("n"), F.max("able").alias("able"))
+        .where("of_band > 1 and able = 1")
+        .select("band", F.ceil(F.col("n") / TILE).alias("parts"))
+    )
+    crowd = F.col("of_root") > TILE
+    tile = F.struct(
+        size_class.cast("bigint").alias("size"),
+        F.when(crowd, F.col("root")).alias("alone"),
+        F.when(crowd, F.pmod(F.xxhash64("node"), F.ceil(F.col("of_root") / TILE))).otherwise(
+            F.pmod(F.xxhash64("root"), F.col("parts"))
+        ).alias("part"),
+    )
+    entry = F.struct("node", "root", "n_shingles", "rest")
+    tiles = stored(
+        spark,
+        placed.join(by_root.drop("able"), ["band", "root"])
+        .join(live, "band")
+        .groupBy("band", tile.alias("tile"))
+        .agg(F.collect_list(entry).alias("entries")),
+        "tiles",
+    )
+    names = tiles.select("band", "tile", F.xxhash64("tile").alias("order"))
+    left, right = names.toDF("band", "tile", "order"), names.toDF("band", "tile2", "order2")
+    both = left.join(right, "band").where(
+        (F.col("order") <= F.col("order2"))
+        & (F.abs(F.col("tile.size") - F.col("tile2.size")) <= 1)
+        & ~F.coalesce(F.col("tile.alone") == F.col("tile2.alone"), F.lit(False))
+    )
+    full = (
+        both.select("band", "tile", "tile2")
+        .join(tiles.withColumnRenamed("entries", "left"), ["band", "tile"])
+        .join(tiles.toDF("band", "tile2", "right"), ["band", "tile2"])
+        .select("left", "right")
+    )
+
+    def columns(entries: pa.Array) -> list[np.ndarray]:
+        return [np.asarray(entries.field(i)).astype(np.int64) for i in range(4)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                node, root, size, rest = columns(batch.column("left")[row].values)
+                node2, root2, size2, rest2 = columns(batch.column("right")[row].values)
+                overlap = np.minimum(rest[:, None], rest2) * (100 + percent)
+                x, y = np.nonzero((overlap >= percent * (size[:, None] + size2)) & (root[:, None] != root2))
+                if len(x):
+                    pair = np.unique(np.stack([np.maximum(node[x], node2[y]), np.minimum(node[x], node2[y])], 1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+
+    return full.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _rest(
+    spark: SparkSession, members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, judged: DataFrame, percent: int, rounds: int
+) -> DataFrame:
+    """Roots after every pair that shares an open bucket was judged, or ruled out by a filter."""
+    left = stored(spark, _open(members, roots, rounds), "open")
+    if not left.take(1):
+        return roots
+    prefixes = stored(spark, _prefixes(left, sets, percent), "prefixes")
+    # One round of stars first: it spares most pairs of a group that is only reached now.
+    roots, judged = _star_rounds(spark, prefixes.drop("rest"), nodes, sets, roots, judged, percent, 1)
+    pairs = stored(spark, _allowed(spark, prefixes, roots, percent).join(judged, ["a", "b"], "left_anti"), "pairs")
+    found = stored(spark, _linked(pairs, sets, percent), "links")
+    return _merged(spark, found, roots) if found.take(1) else roots
+
+
 def grouped(
     spark: SparkSession,
     documents: DataFrame,
@@ -164,44 +321,10 @@ def grouped(
         _shingle_sets(texts_of, k).join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]),
         "sets",
     )
-    edges = spark.createDataFrame([], "a bigint, b bigint")
     roots = spark.createDataFrame([], "node bigint, root bigint")
-    judged = edges
-    for r in range(rounds):
-        flip = F.lit(int(_CENTRES[r]))
-        placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = placed.groupBy("band").agg(
-            F.min(F.col("node").bitwiseXOR(flip)).bitwiseXOR(flip).alias("centre"),
-            F.min("root").alias("lo"),
-            F.max("root").alias("hi"),
-        ).where("lo <> hi")
-        stars = placed.join(mixed.select("band", "centre"), "band").where("node <> centre")
-        other = nodes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("centre_shingles"))
-        pairs = (
-            stars.select("centre", "node", "n_shingles", "root")
-            .distinct()
-            .join(other, "centre")
-            # Sets of too different sizes cannot share so much of their union.
-            .where(
-                F.least("n_shingles", "centre_shingles") * 100 >= F.greatest("n_shingles", "centre_shingles") * percent
-            )
-        )
-        if r:
-            at = roots.select(F.col("node").alias("centre"), F.col("root").alias("centre_root"))
-            pairs = pairs.join(at, "centre", "left").where(
-                F.col("root") != F.coalesce("centre_root", "centre")
-            )
-        pairs = pairs.select(F.greatest("centre", "node").alias("a"), F.least("centre", "node").alias("b")).distinct()
-        pairs = stored(spark, pairs.join(judged, ["a", "b"], "left_anti") if r else pairs, "pairs")
-        found = stored(spark, _linked(pairs, sets, percent), "links")
-        if not found.take(1):
-            if not pairs.take(1):
-                break
-            judged = judged.unionByName(pairs)
-            continue
-        judged = judged.unionByName(pairs)
-        edges = edges.unionByName(found)
-        roots = components(spark, found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    judged = spark.createDataFrame([], "a bigint, b bigint")
+    roots, judged = _star_rounds(spark, members, nodes, sets, roots, judged, percent, rounds)
+    roots = _rest(spark, members, nodes, sets, roots, judged, percent, rounds)
     first = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     placed = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
