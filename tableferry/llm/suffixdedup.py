@@ -2,8 +2,9 @@
 
 A string of ``length`` bytes is repeated if it starts anywhere else. Every such
 string contains its anchor, the least-hashed gram inside it, so equal strings have
-equal anchors, at equal depths. Strings around one anchor form a segment; segments
-whose anchor occurs once are unique, and equal segments are counted before any of
+equal anchors, at equal depths. Strings around one place of an anchor form a segment;
+in periodic text equal segments that follow each other are kept as one and a number.
+Segments whose anchor occurs once are unique, and equal segments are counted before any of
 their bytes move. Of the others, strings at a range of depths all hold the same core
 of bytes, and only those whose core occurs again go on. They are dealt out to shards
 by anchor; each shard is suffix-sorted by external induced sorting, and common
@@ -72,8 +73,8 @@ def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _segments(data: np.ndarray, starts: np.ndarray, length: int, gram: int):
-    """Runs of string starts with one anchor: row, first start in the row, number of starts, anchor, digest,
-    whether several places of the anchor have met in the run, depth of the first start, and cores."""
+    """Runs of string starts with one place of an anchor: row, first start in the row, number of starts, anchor,
+    digest, how many times the run follows itself, depth of the first start, and cores."""
     counts = np.maximum(np.diff(starts) - length + 1, 0)
     row = np.repeat(np.arange(len(counts)), counts)
     if not len(row):
@@ -88,15 +89,21 @@ def _segments(data: np.ndarray, starts: np.ndarray, length: int, gram: int):
     anchor = (low - (_least_in_windows(ranked, length - gram + 1)[pos] & low)).astype(np.int64)
     found = grams[anchor]
     new = np.ones(len(row), bool)
-    new[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1])
+    # At another place of the anchor depths start anew.
+    new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(row)) - 1
     digest = hashes.of(pos[first], pos[last] + length)
     depth, count = anchor[first] - pos[first], last - first + 1
+    # In periodic text a run follows itself: the first stands for all of them.
+    fresh = np.ones(len(first), bool)
+    fresh[1:] = np.any([x[1:] != x[:-1] for x in (row[first], found[first], digest)], axis=0)
+    lead = np.flatnonzero(fresh)
+    times = np.diff(np.append(lead, len(first)))
+    first, digest, depth, count = first[lead], digest[lead], depth[lead], count[lead]
     width = _range_width(length, gram)
     cores = _cores(hashes, anchor[first], depth, count, length, width, range(RANGES))
-    met = anchor[first] != anchor[last]
-    return row[first], pos[first] - starts[:-1][row[first]], count, found[first], digest, met, depth, cores
+    return row[first], pos[first] - starts[:-1][row[first]], count, found[first], digest, times, depth, cores
 
 
 def segments(documents: DataFrame, length: int, gram: int) -> DataFrame:
@@ -108,7 +115,7 @@ def segments(documents: DataFrame, length: int, gram: int) -> DataFrame:
                 got = _segments(*texts.flat(block.column("text")), length, gram)
                 if got is None:
                     continue
-                row, first, count, anchor, digest, met, depth, cores = got
+                row, first, count, anchor, digest, times, depth, cores = got
                 yield pa.RecordBatch.from_arrays(
                     [
                         block.column("_key").take(pa.array(row)),
@@ -117,15 +124,15 @@ def segments(documents: DataFrame, length: int, gram: int) -> DataFrame:
                         pa.array(count.astype(np.int32)),
                         pa.array(anchor.view(np.int64)),
                         pa.array(digest.view(np.int64)),
-                        pa.array(met.astype(np.int32)),
+                        pa.array(times.astype(np.int32)),
                         pa.array(depth.astype(np.int32)),
                         texts.lists(cores.view(np.int64).ravel(), np.arange(len(row) + 1) * RANGES),
                     ],
-                    ["_key", "_key2", "first", "starts", "anchor", "digest", "met", "depth", "cores"],
+                    ["_key", "_key2", "first", "starts", "anchor", "digest", "times", "depth", "cores"],
                 )
 
     return documents.select("_key", "_key2", "text").mapInArrow(
-        run, "_key bigint, _key2 int, first int, starts int, anchor bigint, digest bigint, met int, depth int, "
+        run, "_key bigint, _key2 int, first int, starts int, anchor bigint, digest bigint, times int, depth int, "
         "cores array<bigint>"
     )
 
@@ -133,7 +140,7 @@ def segments(documents: DataFrame, length: int, gram: int) -> DataFrame:
 def _with_shared_cores(distinct: DataFrame, length: int, gram: int) -> DataFrame:
     """Distinct segments by range of depths, where the range's core occurs again: offset and number of its starts."""
     width = _range_width(length, gram)
-    ranges = distinct.where("met = 0").select(
+    ranges = distinct.select(
         "anchor", "digest", "copies", *_KEYS, "first", "starts", "depth", F.posexplode("cores").alias("range", "core")
     ).where("core <> 0")
     shared = (
@@ -145,12 +152,9 @@ def _with_shared_cores(distinct: DataFrame, length: int, gram: int) -> DataFrame
     deepest = F.least(F.col("depth"), (F.col("range") + 1) * width - 1)
     flattest = F.greatest(F.col("depth") - F.col("starts") + 1, F.col("range") * width)
     columns = ["anchor", "digest", "copies", *_KEYS, "first"]
-    apart = ranges.join(shared, ["anchor", "range", "core"]).select(
+    return ranges.join(shared, ["anchor", "range", "core"]).select(
         *columns, (F.col("depth") - deepest).alias("offset"), (deepest - flattest + 1).alias("starts"), deepest.alias("depth"), "many"
     )
-    # Where places of an anchor have met, depths mean nothing.
-    met = distinct.where("met = 1").select(*columns, F.lit(0).alias("offset"), "starts", "depth", F.lit(False).alias("many"))
-    return apart.unionByName(met)
 
 
 PIECE = ("anchor", "digest", "copies", "offset", "starts", "depth", "many")
@@ -347,20 +351,18 @@ def repeated_spans(
     found = stored(spark, segments(documents, length, gram), "segments")
     shared = (
         found.groupBy("anchor")
-        .agg(
-            F.count("*").alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("met").alias("any_met")
-        )
-        .where("n > 1 or any_met = 1")
-        # Copies of one segment are repeated as a whole; a lone one is here as it may repeat itself.
-        .select("anchor", F.expr("n > 1 and lo = hi").alias("whole"))
+        .agg(F.sum("times").alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+        .where("n > 1")
+        # Copies of one segment are repeated as a whole.
+        .select("anchor", F.expr("lo = hi").alias("whole"))
     )
     places = stored(spark, found.join(shared, "anchor"), "places")
-    one = F.min(F.struct(*_KEYS, "first", "starts", "met", "depth", "cores")).alias("one")
+    one = F.min(F.struct(*_KEYS, "first", "starts", "depth", "cores")).alias("one")
     distinct = stored(
         spark,
         places.where("not whole")
         .groupBy("anchor", "digest")
-        .agg(F.count("*").alias("copies"), one)
+        .agg(F.sum("times").alias("copies"), one)
         .select("anchor", "digest", "copies", "one.*"),
         "distinct",
     )
@@ -371,9 +373,11 @@ def repeated_spans(
     if crowd.take(1):
         verdicts = verdicts.unionByName(_crowd_verdicts(spark, crowd, length))
     verdicts = stored(spark, verdicts, "verdicts")
-    whole = places.where("whole").select(*_KEYS, F.col("first").alias("a"), (F.col("first") + F.col("starts") - 1).alias("b"))
+    # A run that follows itself is repeated whatever else there is.
+    last = F.col("first") + F.col("times") * F.col("starts") - 1
+    whole = places.where("whole or times > 1").select(*_KEYS, F.col("first").alias("a"), last.alias("b"))
     partly = (
-        places.where("not whole")
+        places.where("not whole and times = 1")
         .join(verdicts, ["anchor", "digest"])
         .select(*_KEYS, "first", F.explode("runs").alias("r"))
         .select(*_KEYS, (F.col("first") + F.col("r.a")).alias("a"), (F.col("first") + F.col("r.b")).alias("b"))

@@ -85,3 +85,14 @@ def test_rows_and_characters_stay_whole(spark, documents, repeated):
     assert got[24].text == "" and got[24].n_chars == 0
     assert got[22].text == "x" * 399 and got[20].text is None and got[0]._key == 1
     assert set(got[26].text) <= {"é"}
+
+
+@pytest.mark.parametrize("crowd", [250, 2])
+def test_periodic_text_beside_plain_text(spark, documents, monkeypatch, crowd):
+    monkeypatch.setattr(suffixdedup, "SHARD_SEGMENTS", crowd)
+    rng, rows = np.random.Generator(np.random.PCG64(2)), []
+    for i in range(60):
+        head, line = ("".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in (350, (1, 30, 150)[i % 3 if i % 2 else 2]))
+        rows += [(2 * i, head + line * (150 // len(line))), (2 * i + 1, head + line * (450 // len(line)))]
+    got = suffixdedup.report(spark, documents(rows))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 400)
