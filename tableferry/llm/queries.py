@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import decontam, digest, langid, licenses, mixing, neardup, reputation, suffixdedup, toxicity, warc
+from tableferry.llm import bpe, decontam, digest, langid, licenses, mixing, neardup, reputation, suffixdedup, toxicity, warc
 from tableferry.plans.queries import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def registry() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}
 
