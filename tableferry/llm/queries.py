@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import bpe, decontam, digest, langid, licenses, mixing, neardup, reputation, suffixdedup, toxicity, warc, whitening
+from tableferry.llm import bpe, chatrepair, decontam, digest, langid, licenses, mixing, neardup, reputation, suffixdedup, toxicity, warc, whitening
 from tableferry.plans.queries import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op11_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chatrepair.repair(spark, table(spark, sf_dir, "conversations"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
 
