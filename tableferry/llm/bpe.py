@@ -14,6 +14,7 @@ import json
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +25,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm import texts
+from tableferry.llm.components import stored
 from tableferry.llm.transducer import Transducer, compiled
 from tableferry.session import filesystem, shared_dir
 
 #: Words of the lexicon, and bytes of the longest of them; all others are merged anew.
 LEXICON = 50_000
 LONGEST = 48
-#: Distinct words that a task counts, or remembers as merged, before it starts afresh.
+#: Levels of frequency between a number and its double.
+LEVELS = 16
+#: Distinct words that a task counts before it says what it has and starts afresh.
 HELD = 200_000
 #: Characters of a text that are cut into words at once.
 PART = 1 << 20
-#: Up to here, and in this block, the ``regex`` module and the library agree on letters, numbers and spaces.
-_PLAIN = regex.compile(r"[\x00-ԯ -⁯]*")
+#: Bytes of words that are merged many at once; longer ones are merged one by one, with a queue.
+SHORT = 64
+#: Up to here, and in this block, Python, ``regex`` and the library agree on letters, numbers, spaces and small letters.
+_PLAIN = regex.compile(r"[\x00-\u052f\u2000-\u206f]*")
 _SPACE = regex.compile(r"[ \t\n\r]")
 #: The characters that stand for the bytes in byte-level vocabularies.
 _SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -78,6 +84,10 @@ class Words:
         self._pairs = {
             (vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(pairs)
         }
+        width = np.int64(max(vocabulary.values()) + 1)
+        made = sorted((a * int(width) + b, rank, new) for (a, b), (rank, new) in self._pairs.items())
+        self._width, (self._key, self._rank, self._new) = width, np.array(made, np.int64).reshape(-1, 3).T.copy()
+        self._symbols = np.array([[-1 if i is None else i for i in x] for x in (self._inner, self._last)], np.int64)
         named = {**{i: t for t, i in vocabulary.items()}, **{i: t for t, i in self.special.items()}}
         spelled = [named.get(i, "").encode() for i in range(max(named) + 1)]
         self.spelling = np.frombuffer(b"".join(b" " + s for s in spelled), np.uint8)
@@ -101,11 +111,11 @@ class Words:
                 space = _SPACE.search(text, at + PART)
                 end = space.start() if space else end
             part, at = text[at:end], end
-            plain = part.lower() if part.isascii() else self._normalized(part)
-            if _PLAIN.fullmatch(plain):
-                out += self._pattern.findall(plain)
+            if _PLAIN.fullmatch(part) and is_normalized("NFC", part):
+                # A letter alone: the library knows no final form of sigma.
+                out += self._pattern.findall(part.replace("Σ", "σ").lower())
             else:
-                out += [bytes(self._byte[c] for c in word).decode() for word, _ in self._cut(plain)]
+                out += [bytes(self._byte[c] for c in word).decode() for word, _ in self._cut(self._normalized(part))]
         return out
 
     def merged(self, word: bytes) -> list[int]:
@@ -131,6 +141,39 @@ class Words:
                 heapq.heappush(waiting, (*found, before[i]))
         return [i for i in ids if i >= 0]
 
+    def merged_all(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of many short words: in every round each word merges its pair of least rank, the leftmost."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        last = np.zeros(len(data), np.int64)
+        last[np.cumsum(size)[size > 0] - 1] = 1
+        ids, word = self._symbols[last, data], np.repeat(np.arange(len(words)), size)
+        ids, word = ids[ids >= 0], word[ids >= 0]
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        none = np.int64(len(self._key))
+        while len(ids):
+            key = ids[:-1] * self._width + ids[1:]
+            spot = np.minimum(np.searchsorted(self._key, key), max(none - 1, 0))
+            rank = np.full(len(ids), none)
+            there = (word[:-1] == word[1:]) & (self._key[spot] == key) if none else np.zeros(len(key), bool)
+            rank[:-1][there] = self._rank[spot[there]]
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            # The least rank of each word, then its leftmost place.
+            least = np.minimum.reduceat(rank * len(ids) + np.arange(len(ids)), first)
+            ends = np.append(first[1:], len(ids))
+            open_ = least // len(ids) < none
+            place = least[open_] % len(ids)
+            ids = ids.copy()
+            ids[place] = self._new[spot[place]]
+            kept = np.ones(len(ids), bool)
+            kept[place + 1] = False
+            going = np.repeat(open_, ends - first)
+            done.append((word[~going], ids[~going]))
+            ids, word = ids[going & kept], word[going & kept]
+        at, ids = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*done) if done else ((), ())))
+        ids = ids[np.argsort(at, kind="stable")]
+        return np.split(ids, np.cumsum(np.bincount(at, minlength=len(words)))[:-1]) if words else []
+
 
 _loaded: dict[str, Words] = {}
 
@@ -183,8 +226,19 @@ def _handed_out(spark: SparkSession, data: bytes, name: str) -> str:
 
 
 def lexicon(spark: SparkSession, documents: DataFrame, spec: Broadcast, size: int = LEXICON) -> str:
-    """The most frequent words of all texts (ties by code point) as a file that every executor can map."""
-    top = word_counts(documents, spec).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
+    """The most frequent words of all texts, ``size`` at most, as a file that every executor can map.
+
+    Words of about one frequency come in together or not at all.
+    """
+    counts = stored(spark, word_counts(documents, spec).where("n > 1"), "words")
+    level = F.floor(F.log2("n") * LEVELS)
+    least, room = None, size
+    for row in counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        room -= row["words"]
+        if room < 0:
+            break
+        least = row["level"]
+    top = [] if least is None else counts.where(level >= least).select("word").collect()
     merge = _words(spec.value).merged
     frequent = sorted(r["word"].encode() for r in top)
     return _handed_out(spark, compiled((w, merge(w)) for w in frequent), "lexicon")
@@ -195,15 +249,15 @@ class Encoder:
 
     def __init__(self, words: Words, lexicon: Transducer):
         self.words, self.lexicon = words, lexicon
-        self._merged: dict[bytes, np.ndarray] = {}
+        self._special = {t.encode(): np.array([i], np.int64) for t, i in words.special.items()}
 
-    def _ids(self, word: bytes) -> np.ndarray:
-        if word not in self._merged:
-            if len(self._merged) >= HELD:
-                self._merged.clear()
-            special = self.words.special.get(word.decode())
-            self._merged[word] = np.array(self.words.merged(word) if special is None else [special], np.int64)
-        return self._merged[word]
+    def _others(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of words that are not in the lexicon."""
+        out = [self._special.get(w) for w in words]
+        short = [i for i, w in enumerate(words) if out[i] is None and len(w) <= SHORT]
+        for i, ids in zip(short, self.words.merged_all([words[i] for i in short])):
+            out[i] = ids
+        return [np.array(self.words.merged(w), np.int64) if ids is None else ids for w, ids in zip(words, out)]
 
     def encode(self, values: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's ids start."""
@@ -217,7 +271,7 @@ class Encoder:
             ends.append(ends[-1] + len(found))
         distinct = [w.encode() for w in numbers]
         known, ids, starts = self.lexicon.find(distinct)
-        others = [self._ids(distinct[i]) for i in np.flatnonzero(~known)]
+        others = self._others([distinct[i] for i in np.flatnonzero(~known)])
         n = np.diff(starts)
         begin = starts[:-1].copy()
         n[~known] = [len(x) for x in others]

@@ -51,6 +51,8 @@ def test_words_and_merges_are_those_of_the_library(library, words, tmp_path):
 def test_any_text(library, words, text):
     found = [i for w in words.words(text) for i in ([words.special[w]] if w in words.special else words.merged(w.encode()))]
     assert found == library.encode(text, add_special_tokens=False).ids
+    short = [w.encode() for w in words.words(text) if w not in words.special] + [b""]
+    assert [x.tolist() for x in words.merged_all(short)] == [words.merged(w) for w in short]
 
 
 def test_every_letter_of_common_blocks_is_cut_like_the_library_does(library, words):
@@ -60,6 +62,13 @@ def test_every_letter_of_common_blocks_is_cut_like_the_library_does(library, wor
         assert got == library.encode(text, add_special_tokens=False).ids, hex(c)
 
 
+def test_many_words_are_merged_like_one(words):
+    rng = random.Random(3)
+    some = ["".join(rng.choice("aaeinrst") for _ in range(rng.randint(1, 64))).encode() for _ in range(500)] + [b"a" * 64]
+    assert [x.tolist() for x in words.merged_all(some)] == [words.merged(w) for w in some]
+    assert words.merged_all([]) == []
+
+
 def test_a_long_text_is_cut_at_spaces_only(library, words, monkeypatch, prose):
     monkeypatch.setattr(bpe, "PART", 50)
     text = prose(1, 300) + "b" * 200 + " don't́ " + prose(2, 100)
@@ -125,7 +134,7 @@ def test_empty_tables_and_a_very_long_text(spark, documents, library, prose):
     assert row["n_tokens"] == len(ids) and row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
 
 
-def test_counts_hold_all_texts(spark, documents, words, monkeypatch, prose):
+def test_counts_hold_all_texts(spark, documents, words, prose):
     from collections import Counter
 
     rows = [(i, prose(i % 7, 50)) for i in range(30)]
