@@ -233,4 +233,14 @@ ORACLES = {
                cast((o_orderkey - lo) // stride as bigint) as split_id, '2024-01-01' as dt
         from o cross join s
     """,
+    "job_graph": """
+        with sales as (
+            select c_nationkey, c_mktsegment, o_totalprice as price
+            from orders join customer on o_custkey = c_custkey where o_orderstatus <> 'F')
+        select cast(c_nationkey as varchar) as name, '2024-01-01' as dt, count(*) as n_orders,
+               min(price) as least, max(price) as most
+        from sales group by c_nationkey
+        union all
+        select c_mktsegment, 'all', count(*), min(price), max(price) from sales group by c_mktsegment
+    """,
 }

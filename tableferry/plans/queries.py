@@ -21,6 +21,7 @@ from tableferry.operators.splits import (
     with_range_split,
 )
 from tableferry.operators.sqlstep import sql_step
+from tableferry.plans.graph import JobGraph
 from tableferry.plans.job import Job, preview
 from tableferry.session import scratch_dir
 from tableferry.sinks.bulk import batch_plan, write_bulk
@@ -546,6 +547,38 @@ def q_job_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.stored()
 
 
+def q_job_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and customers joined once, published as a table by nation and as totals by segment."""
+    rows, totals = _Target(spark, "graph_rows"), _Target(spark, "graph_totals")
+    graph = (
+        JobGraph()
+        .source("orders", lambda s: table(s, sf_dir, "orders"))
+        .source("customers", lambda s: table(s, sf_dir, "customer"))
+        .step("open_orders", "orders", lambda df: filtered(df, "o_orderstatus <> 'F'"))
+        .step(
+            "sales",
+            ["open_orders", "customers"],
+            "select o_orderkey as order_key, c_nationkey as nation_key, c_mktsegment as segment, o_totalprice as price "
+            "from open_orders join customers on o_custkey = c_custkey",
+        )
+        .step(
+            "by_segment",
+            "sales",
+            "select segment, count(*) as n_orders, min(price) as least, max(price) as most from sales group by segment",
+        )
+        .sink("rows", "sales", lambda df: overwrite_partition(df, rows.name, {"dt": "2024-01-01"}, location=rows.location))
+        .sink("totals", "by_segment", lambda df: overwrite_partition(df, totals.name, location=totals.location), after="rows")
+    )
+    graph.run(spark)
+    by_nation = (
+        rows.stored()
+        .groupBy(F.col("nation_key").cast("string").alias("name"), "dt")
+        .agg(F.count("*").alias("n_orders"), F.min("price").alias("least"), F.max("price").alias("most"))
+    )
+    by_segment = totals.stored().select(F.col("segment").alias("name"), F.lit("all").alias("dt"), "n_orders", "least", "most")
+    return by_nation.unionByName(by_segment)
+
+
 def registry() -> dict[str, Query]:
     """Query name to function."""
     return {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
