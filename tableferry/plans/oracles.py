@@ -243,4 +243,16 @@ ORACLES = {
         union all
         select c_mktsegment, 'all', count(*), min(price), max(price) from sales group by c_mktsegment
     """,
+    "release_partitions": """
+        with o as (
+            select o_orderkey as order_key, o_totalprice as price, o_orderpriority as priority, o_orderstatus as status
+            from orders)
+        select * from o where status = 'P'
+        union all
+        select * from o where status = 'F' and not price > 100000
+        union all
+        select -order_key, price, priority, status from o where status = 'F' and priority = '1-URGENT'
+        union all
+        select * from o where status = 'O' and price < 50000
+    """,
 }

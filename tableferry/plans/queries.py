@@ -25,6 +25,7 @@ from tableferry.plans.graph import JobGraph
 from tableferry.plans.job import Job, preview
 from tableferry.session import scratch_dir
 from tableferry.sinks.bulk import batch_plan, write_bulk
+from tableferry.sinks.releases import publish, read_release
 from tableferry.sinks.stores import publish_conformed, publish_keyed
 from tableferry.sinks.tables import (
     SAVE_MODES,
@@ -524,6 +525,22 @@ def q_conform_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder).select(F.col("doc_id").cast("bigint").alias("doc_id"), *fields[1:])
 
 
+# --- releases --------------------------------------------------------------
+
+
+def q_release_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status: all of them, then some removed and copies added, then one status replaced; the last release."""
+    location = f"{scratch_dir(spark, 'released')}/orders"
+    orders = select_list(
+        table(spark, sf_dir, "orders"), "o_orderkey as order_key, o_totalprice as price, o_orderpriority as priority, o_orderstatus as status"
+    )
+    publish(orders, location, ["status"], load="all")
+    urgent = orders.where("priority = '1-URGENT' and status = 'F'").withColumn("order_key", -F.col("order_key"))
+    publish(urgent, location, ["status"], load="urgent", delete_where="status = 'F' and price > 100000")
+    publish(orders.where("status = 'O' and price < 50000"), location, ["status"], load="small")
+    return read_release(spark, location)
+
+
 # --- a whole job -----------------------------------------------------------
 
 
