@@ -255,4 +255,5 @@ ORACLES = {
         union all
         select * from o where status = 'O' and price < 50000
     """,
+    "bulk_once": "select l_orderkey, l_partkey, l_suppkey, l_linenumber from lineitem",
 }
