@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.session import scratch_dir
 
+#: Edges that one task may join with a union-find; more are joined by rounds of stars over all tasks.
+IN_TASK = 500_000
+
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again, which cuts its lineage."""
@@ -29,25 +36,58 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
-def components(spark: SparkSession, edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """``(node, root)`` for every node with an edge ``(a, b)``; root is the least node reachable.
+def _joined(edges: DataFrame) -> DataFrame:
+    """Each node's edge to its root, from a union-find over all edges in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = [(np.asarray(b.column("a")), np.asarray(b.column("b"))) for b in batches]
+        if not ends:
+            return
+        a, b = (np.concatenate(x) for x in zip(*ends))
+        # Nodes are numbered in their order, so that the least number is the least node.
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        root = list(range(len(nodes)))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for x, y in zip(at[: len(a)].tolist(), at[len(a) :].tolist()):
+            x, y = find(x), find(y)
+            root[max(x, y)] = min(x, y)
+        found = nodes[[find(x) for x in range(len(nodes))]]
+        far = found != nodes
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(found[far])], ["a", "b"])
 
-    Loops and repeated edges do no harm; no edges give no rows. Every round is
-    written to the shared folder; the driver only sees a count and a checksum.
+    return edges.coalesce(1).mapInArrow(run, "a bigint, b bigint")
+
+
+def components(spark: SparkSession, edges: DataFrame, rounds: int = 60, in_task: int = IN_TASK) -> DataFrame:
+    """``(node, root)`` for every node with an edge ``(a, b)`` of bigints; root is the least node reachable.
+
+    Loops and repeated edges do no harm; no edges give no rows. At most ``in_task``
+    edges are joined by one task; more by rounds of stars, each written to
+    the shared folder. The driver only sees a count and a checksum.
     """
 
-    def ordered(df: DataFrame) -> DataFrame:
-        return df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    def written(df: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        sums = F.count("*").alias("n"), F.expr("sum(cast(xxhash64(a, b) as decimal(38, 0)))").alias("sum")
+        out = stored(spark, df.observe(seen, *sums), "components")
+        return out, (seen.get["n"], seen.get["sum"])
 
-    state, now = None, stored(spark, ordered(edges), "components")
+    plain = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    now, state = written(plain)
+    if 0 < state[0] <= in_task:
+        now, state = stored(spark, _joined(now), "components"), (0, None)
     for _ in range(rounds):
-        row = now.agg(F.count("*"), F.expr("sum(cast(xxhash64(a, b) as decimal(38, 0)))")).first()
-        if tuple(row) == state:
-            break
-        state = tuple(row)
         if not state[0]:
             break
-        now = stored(spark, _star(_star(now, large=True), large=False), "components")
+        before = state
+        now, state = written(_star(_star(now, large=True), large=False))
+        if state == before:
+            break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(

@@ -2,9 +2,9 @@
 buckets, star-shaped candidate edges, and links confirmed on full shingle sets.
 
 Equal sets share one node, so copies never make pairs. A bucket of nodes gives
-one edge per member, to a centre; where a bucket still joins several components
-after its edges were judged, it gets another centre in the next round. What is
-still open after the rounds is joined exactly, by the rarest shingles of each set.
+an edge from each member to each of a few centres. Where a bucket still joins several
+components after these were judged, its nodes are joined exactly, by the rarest
+shingles of each set.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from tableferry.llm.components import components, prefixed, stored, unprefixed
 SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 32, 4
-ROUNDS = 3
+#: Members of a bucket that all others are compared with.
+CENTRES = 3
 #: The centre of a bucket is the node nearest to this value, by exclusive or.
 _CENTRES = np.random.Generator(np.random.PCG64(9)).integers(-(1 << 63), 1 << 63, 64, dtype=np.int64)
 
@@ -133,39 +134,24 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _star_rounds(
-    spark: SparkSession, members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, judged: DataFrame, percent: int, rounds: int
-) -> tuple[DataFrame, DataFrame]:
-    """Roots and judged pairs after rounds of stars in the buckets that join several components."""
-    for r in range(rounds):
-        flip = F.lit(int(_CENTRES[r]))
-        placed = _placed(members, roots)
-        mixed = placed.groupBy("band").agg(
-            F.min(F.col("node").bitwiseXOR(flip)).bitwiseXOR(flip).alias("centre"),
-            F.min("root").alias("lo"),
-            F.max("root").alias("hi"),
-        ).where("lo <> hi")
-        stars = placed.join(mixed.select("band", "centre"), "band").where("node <> centre")
-        other = nodes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("centre_shingles"))
-        at = roots.select(F.col("node").alias("centre"), F.col("root").alias("centre_root"))
-        pairs = (
-            stars.select("centre", "node", "n_shingles", "root")
-            .distinct()
-            .join(other, "centre")
-            # Sets of too different sizes cannot share so much of their union.
-            .where(
-                F.least("n_shingles", "centre_shingles") * 100 >= F.greatest("n_shingles", "centre_shingles") * percent
-            )
-            .join(at, "centre", "left")
-            .where(F.col("root") != F.coalesce("centre_root", "centre"))
+def _star_pairs(members: DataFrame, centres: int, percent: int) -> DataFrame:
+    """All pairs ``(a, b)`` of a bucket's member and one of its centres whose sizes allow a link."""
+    nearest = []
+    for flip in map(int, _CENTRES[:centres]):
+        least = F.min(F.struct(F.col("node").bitwiseXOR(F.lit(flip)).alias("flipped"), "n_shingles"))
+        nearest.append(
+            F.struct(least["flipped"].bitwiseXOR(F.lit(flip)).alias("centre"), least["n_shingles"].alias("centre_shingles"))
         )
-        pairs = pairs.select(F.greatest("centre", "node").alias("a"), F.least("centre", "node").alias("b")).distinct()
-        pairs = stored(spark, pairs.join(judged, ["a", "b"], "left_anti"), "pairs")
-        found = stored(spark, _linked(pairs, sets, percent), "links")
-        judged = judged.unionByName(pairs)
-        if found.take(1):
-            roots = _merged(spark, found, roots)
-    return roots, judged
+    chosen = members.groupBy("band").agg(F.array_distinct(F.array(*nearest)).alias("centres"))
+    return (
+        members.join(chosen, "band")
+        .select("node", "n_shingles", F.inline("centres"))
+        .where("node <> centre")
+        # Sets of too different sizes cannot share so much of their union.
+        .where(F.least("n_shingles", "centre_shingles") * 100 >= F.greatest("n_shingles", "centre_shingles") * percent)
+        .select(F.greatest("centre", "node").alias("a"), F.least("centre", "node").alias("b"))
+        .distinct()
+    )
 
 
 def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -176,10 +162,10 @@ def _merged(spark: SparkSession, found: DataFrame, roots: DataFrame) -> DataFram
     return components(spark, found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
-def _open(members: DataFrame, roots: DataFrame, rounds: int) -> DataFrame:
+def _open(members: DataFrame, roots: DataFrame, n_centres: int) -> DataFrame:
     """``(node, n_shingles)`` in buckets of several components where two members or more were never a centre."""
-    centres = [F.min(F.col("node").bitwiseXOR(F.lit(int(c)))).bitwiseXOR(F.lit(int(c))) for c in _CENTRES[:rounds]]
-    tried = F.size(F.array_distinct(F.array(*centres))) if rounds else F.lit(0)
+    centres = [F.min(F.col("node").bitwiseXOR(F.lit(int(c)))).bitwiseXOR(F.lit(int(c))) for c in _CENTRES[:n_centres]]
+    tried = F.size(F.array_distinct(F.array(*centres))) if n_centres else F.lit(0)
     left = (
         _placed(members, roots)
         .groupBy("band")
@@ -275,18 +261,28 @@ def _allowed(spark: SparkSession, prefixes: DataFrame, roots: DataFrame, percent
 
 
 def _rest(
-    spark: SparkSession, members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, judged: DataFrame, percent: int, rounds: int
+    spark: SparkSession, members: DataFrame, sets: DataFrame, roots: DataFrame, judged: DataFrame, percent: int, centres: int
 ) -> DataFrame:
     """Roots after every pair that shares an open bucket was judged, or ruled out by a filter."""
-    left = stored(spark, _open(members, roots, rounds), "open")
+    left = stored(spark, _open(members, roots, centres), "open")
     if not left.take(1):
         return roots
     prefixes = stored(spark, _prefixes(left, sets, percent), "prefixes")
-    # One round of stars first: it spares most pairs of a group that is only reached now.
-    roots, judged = _star_rounds(spark, prefixes.drop("rest"), nodes, sets, roots, judged, percent, 1)
+    # Stars first: they spare most pairs of a group that is only reached now.
+    stars = stored(spark, _star_pairs(prefixes, 1, percent).join(judged, ["a", "b"], "left_anti"), "pairs")
+    found = stored(spark, _linked(_between(stars, roots), sets, percent), "links")
+    roots = _merged(spark, found, roots)
+    judged = judged.unionByName(stars)
     pairs = stored(spark, _allowed(spark, prefixes, roots, percent).join(judged, ["a", "b"], "left_anti"), "pairs")
     found = stored(spark, _linked(pairs, sets, percent), "links")
-    return _merged(spark, found, roots) if found.take(1) else roots
+    return _merged(spark, found, roots)
+
+
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs that are not of one component yet."""
+    left, right = (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "ab")
+    joined = pairs.join(left, "a", "left").join(right, "b", "left")
+    return joined.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
 
 
 def grouped(
@@ -296,7 +292,7 @@ def grouped(
     percent: int = PERCENT,
     bands: int = BANDS,
     rows: int = ROWS,
-    rounds: int = ROUNDS,
+    centres: int = CENTRES,
     carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(doc_id, carried..., n_shingles, root, component_id)`` per row: root is the component, null without words."""
@@ -321,10 +317,9 @@ def grouped(
         _shingle_sets(texts_of, k).join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]),
         "sets",
     )
-    roots = spark.createDataFrame([], "node bigint, root bigint")
-    judged = spark.createDataFrame([], "a bigint, b bigint")
-    roots, judged = _star_rounds(spark, members, nodes, sets, roots, judged, percent, rounds)
-    roots = _rest(spark, members, nodes, sets, roots, judged, percent, rounds)
+    judged = stored(spark, _star_pairs(members, centres, percent), "pairs")
+    roots = components(spark, stored(spark, _linked(judged, sets, percent), "links"))
+    roots = _rest(spark, members, sets, roots, judged, percent, centres)
     first = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     placed = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))

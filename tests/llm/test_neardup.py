@@ -80,9 +80,11 @@ def test_densified_signatures_estimate_similarity():
         assert abs((one == two).mean() - want) < (0.3 if size == 3 else 0.1)
 
 
-def test_long_chains_settle(spark):
+@pytest.mark.parametrize("in_task", [0, 1000])
+def test_long_chains_settle(spark, in_task):
     edges = [(i, i + 1) for i in range(200)] + [(500, 400), (400, 500), (7, 7)]
-    got = {r.node: r.root for r in components(spark, spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    frame = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r.node: r.root for r in components(spark, frame, in_task=in_task).collect()}
     assert got == {**{i: 0 for i in range(201)}, 400: 400, 500: 400}
     assert not components(spark, spark.createDataFrame([], "a bigint, b bigint")).take(1)
 
