@@ -256,4 +256,5 @@ ORACLES = {
         select * from o where status = 'O' and price < 50000
     """,
     "bulk_once": "select l_orderkey, l_partkey, l_suppkey, l_linenumber from lineitem",
+    "bulk_source": "select l_orderkey, l_linenumber, l_returnflag from lineitem where l_returnflag in ('R', 'N')",
 }

@@ -25,6 +25,7 @@ from tableferry.plans.graph import JobGraph
 from tableferry.plans.job import Job, preview
 from tableferry.session import scratch_dir
 from tableferry.sinks.bulk import batch_plan, write_bulk
+from tableferry.sinks.datasource import read_batches, write_batches
 from tableferry.sinks.once import deliver_once
 from tableferry.sinks.releases import publish, read_release
 from tableferry.sinks.stores import publish_conformed, publish_keyed
@@ -535,6 +536,16 @@ def q_bulk_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def q_bulk_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written through the batch data source: all of them, then only those returned in their place, then the open ones."""
+    rows = prune_columns(table(spark, sf_dir, "lineitem"), "l_orderkey,l_linenumber,l_returnflag")
+    folder = scratch_dir(spark, "bulk_source")
+    write_batches(rows, folder, batch_rows=5000)
+    write_batches(rows.where("l_returnflag = 'R'"), folder, batch_rows=5000, mode="overwrite")
+    write_batches(rows.where("l_returnflag = 'N'"), folder, batch_rows=5000)
+    return read_batches(spark, folder, rows.schema)
+
+
 # --- releases --------------------------------------------------------------
 
 
