@@ -257,4 +257,8 @@ ORACLES = {
     """,
     "bulk_once": "select l_orderkey, l_partkey, l_suppkey, l_linenumber from lineitem",
     "bulk_source": "select l_orderkey, l_linenumber, l_returnflag from lineitem where l_returnflag in ('R', 'N')",
+    "scan_depth_split": """
+        select count(*) as n_rows, min(user_id) as min_key, max(user_id) as max_key, true as even, true as enough
+        from events
+    """,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tableferry.functions.text import register_functions
 from tableferry.operators.columns import normalize_types, prune_columns, select_list, substring_column
 from tableferry.operators.conform import conform, conform_report, target_schema
+from tableferry.operators.depth import with_depth_split
 from tableferry.operators.keyed import keyed_entries, kv_hash, kv_set, kv_string
 from tableferry.operators.splits import (
     KeyBounds,
@@ -94,6 +95,19 @@ def q_scan_range_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_summary(split, "o_orderkey")
 
 
+def q_scan_depth_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by user in slices of equal depth, which hold the rows of any of them between none and twice the mean."""
+    split = with_depth_split(table(spark, sf_dir, "events"), "user_id", SPLITS, second="event_id")
+    slices = split_summary(split, "user_id")
+    return slices.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.min("min_key").alias("min_key"),
+        F.max("max_key").alias("max_key"),
+        (F.max("n_rows") * SPLITS <= 2 * F.sum("n_rows")).alias("even"),
+        (F.count(F.lit(1)) >= SPLITS).alias("enough"),
+    )
+
+
 def q_scan_mod_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = with_mod_split(table(spark, sf_dir, "orders"), "o_orderkey", SPLITS)
     return split.groupBy("split_id").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tableferry.operators.columns import prune_columns, select_list
 from tableferry.operators.conform import target_schema
+from tableferry.operators.depth import depth_cuts, depth_predicates
 from tableferry.operators.splits import (
     KeyBounds,
     check_key_type,
@@ -115,6 +116,28 @@ def read_jdbc_ranges(
     return select_list(rows, columns) if columns else rows
 
 
+def read_jdbc_depths(
+    spark: SparkSession,
+    link: JdbcLink,
+    table: str,
+    key: str,
+    n: int,
+    second: str | None = None,
+    columns: str | None = None,
+    where: str | None = None,
+) -> DataFrame:
+    """Rows satisfying ``where``, in slices of about equal depth, one task each.
+
+    The key column is read first, in ``n`` ranges of equal width, for its quantiles; values that
+    fill more than a slice are divided by the residues of ``second``.
+    """
+    keys = range_predicates(key, jdbc_bounds(spark, link, table, key, where), n, where)
+    probe = spark.read.jdbc(link.url, table, predicates=keys, properties=link.properties()).select(key)
+    predicates = depth_predicates(key, depth_cuts(probe, key, n, second), second, where)
+    rows = spark.read.jdbc(link.url, table, predicates=predicates, properties=link.properties())
+    return select_list(rows, columns) if columns else rows
+
+
 def read_jdbc_residues(
     spark: SparkSession,
     link: JdbcLink,

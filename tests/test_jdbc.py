@@ -19,6 +19,7 @@ from tableferry.sources.jdbc import (
     jdbc_bounds,
     list_jdbc_tables,
     read_jdbc_bounds,
+    read_jdbc_depths,
     read_jdbc_ranges,
     read_jdbc_residues,
     read_jdbc_shards,
@@ -134,6 +135,15 @@ def test_slices_can_be_divided_by_a_second_key(reader):
     assert sorted(r["name"] for r in residues.collect()) == ["a", "b", "c", "d", "n"]
 
 
+def test_slices_of_equal_depth(reader, rows):
+    out = read_jdbc_depths(reader, LINK, "people", "id", 3, second="age", columns="id, name")
+    assert sorted(r["name"] for r in out.collect()) == ["a", "b", "c", "d", "n"]
+    assert len(reader.calls[-1]["predicates"]) >= 3
+    some = read_jdbc_depths(reader, LINK, "people", "id", 2, where="name = 'a' or name = 'b'")
+    assert sorted(r["name"] for r in some.collect()) == ["a", "b"]
+    assert read_jdbc_depths(reader, LINK, "p_2", "id", 4).count() == 0
+
+
 def test_tables_of_a_database(reader, rows):
     assert rows(list_jdbc_tables(reader, LINK, "db", "^p_")) == [("P_1",), ("p_0",)]
 
