@@ -20,6 +20,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK_WORDS = 64
 SHARD_BLOCKS = 16384
+#: Slots that one task makes of its shards' counts, and the most tasks this may ask for.
+TASK_SLOTS, MOST_TASKS = 50_000, 20_000
 #: Multipliers of the permutations: the first that does not divide the number of blocks serves.
 PRIMES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497)
 
@@ -142,9 +144,12 @@ def drawn(spark: SparkSession, sources: DataFrame, most: int = MOST, shard_block
         .withColumn("count", F.col("whole") + F.coalesce("extra", F.lit(0)))
     )
     before = W.partitionBy("src").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    tasks = min(MOST_TASKS, max(1, -(-int(total[0] or 0) // TASK_SLOTS)))
     slots = (
         counts.withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0)))
         .where("count > 0")
+        # A window over a source's shards is one task; what they are made into is dealt out first.
+        .repartition(tasks, "src", "shard")
         .withColumn("slot", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("count") - 1)))
         .where(F.col("slot") < most * F.col("blocks"))
         .withColumn("pass", F.floor(F.col("slot") / F.col("blocks")))
