@@ -118,6 +118,20 @@ def parsed_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = start + size + 4
 
 
+def inflated(data: bytes | memoryview, chunk: int = 1 << 20) -> bytes:
+    """All members of a gzip file one after the other, of which usual archives have one per record."""
+    data, at, out = memoryview(data), 0, []
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(data):
+                raise ValueError("the archive ends inside a compressed member")
+            out.append(member.decompress(data[at : at + chunk]))
+            at = min(at + chunk, len(data))
+        at -= len(member.unused_data)
+    return b"".join(out)
+
+
 def _long(head: dict[str, str], name: str) -> int | None:
     return int(head[name]) if name in head else None
 
@@ -133,7 +147,7 @@ def read_archives(spark: SparkSession, location: str, page_id: str = "bigint") -
         for batch in batches:
             for content in batch.column("content"):
                 rows = []
-                for head, block in parsed_records(zlib.decompress(content.as_buffer(), 31)):
+                for head, block in parsed_records(inflated(content.as_buffer())):
                     lines, _, body = block.partition(b"\r\n\r\n")
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     size = int(lines.rpartition(b": ")[2])

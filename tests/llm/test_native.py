@@ -1,5 +1,6 @@
 """URL reputation, source mixing and archives: edge cases, and the SQL of the queries."""
 
+import hashlib
 import os
 
 import duckdb
@@ -119,3 +120,27 @@ def test_damaged_archive_is_an_error():
     for bad in (record[:-1], b"x" + record, record.replace(b"3", b"4")):
         with pytest.raises((ValueError, KeyError)):
             list(warc.parsed_records(bad))
+
+
+def test_archives_of_several_compressed_members(spark, tmp_path):
+    import gzip
+
+    payloads = {i: f"<p>{i}</p>".encode() * (i + 1) * 50 for i in range(5)}
+
+    def record(i):
+        body = payloads[i]
+        block = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n%s" % (len(body), body)
+        head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <x:{i}>\r\nWARC-Payload-Digest: sha1:{hashlib.sha1(body).hexdigest()}"
+        return f"{head}\r\nX-Page-Id: {i}\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    members = [gzip.compress(record(i)) for i in range(5)]
+    whole = b"".join(record(i) for i in range(5))
+    for chunk in (1, 7, 1 << 20):
+        assert warc.inflated(b"".join(members), chunk) == whole
+    assert warc.inflated(b"") == b""
+    with pytest.raises(ValueError, match="inside"):
+        warc.inflated(b"".join(members)[:-3])
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.warc.gz").write_bytes(b"".join(members))
+    back = {r.page_id: r.html for r in warc.read_archives(spark, str(tmp_path / "a")).collect()}
+    assert back == {i: body.decode() for i, body in payloads.items()}
