@@ -151,6 +151,32 @@ ORACLES = {
         union all
         select -o_orderkey, o_totalprice, 'P' from orders where o_orderstatus = 'P'
     """,
+    "delete_by_keys": """
+        with o as (
+            select o_orderkey, o_custkey, o_totalprice, o_orderstatus as status from orders where o_orderstatus is not null)
+        select * from o
+        where not coalesce(o_totalprice > 50000, false) or not exists (
+            select 1 from customer c
+            where c.c_custkey = o.o_custkey and c.c_mktsegment in ('BUILDING', 'MACHINERY'))
+        union all
+        select -o_orderkey, o_custkey, o_totalprice, status from o where status = 'P'
+    """,
+    "kv_changes": """
+        with e as (
+            select o_custkey, o_orderkey, o_orderpriority, 'o_orderstatus' as field, o_orderstatus as "value" from orders
+            union all
+            select o_custkey, o_orderkey, o_orderpriority, 'o_orderpriority', o_orderpriority from orders),
+        one as (
+            select o_custkey, field, arg_max("value", o_orderkey) as "value" from e
+            where o_orderkey % 3 > 0 and "value" is not null group by all),
+        two as (
+            select o_custkey, field, arg_max("value", o_orderkey) as "value" from e
+            where o_orderpriority <> '5-LOW' and "value" is not null group by all)
+        select cast(two.o_custkey as varchar) as "key", two.field, two."value",
+               case when one."value" = two."value" then 1 else 2 end as "load"
+        from two left join one on one.o_custkey = two.o_custkey and one.field = two.field
+        where two.o_custkey is not null
+    """,
     "kv_string": f"""
         select cast(user_id as varchar) as "key", event_type as "value" from ({_LAST_EVENT}) e
     """,

@@ -26,6 +26,7 @@ from tableferry.plans.graph import JobGraph
 from tableferry.plans.job import Job, preview
 from tableferry.session import scratch_dir
 from tableferry.sinks.bulk import batch_plan, write_bulk
+from tableferry.sinks.changes import publish_changes
 from tableferry.sinks.datasource import read_batches, write_batches
 from tableferry.sinks.once import deliver_once
 from tableferry.sinks.releases import publish, read_release
@@ -33,6 +34,7 @@ from tableferry.sinks.stores import publish_conformed, publish_keyed
 from tableferry.sinks.tables import (
     SAVE_MODES,
     delete_then_write,
+    ensure_table,
     merge_shards,
     overwrite_partition,
     save_files,
@@ -407,6 +409,18 @@ def q_delete_then_write_partitions(spark: SparkSession, sf_dir: str) -> DataFram
     return target.stored()
 
 
+def q_delete_by_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status, without the dear ones of customers that another table names, and with copies of a few."""
+    orders = select_list(table(spark, sf_dir, "orders"), "o_orderkey, o_custkey, o_totalprice, o_orderstatus as status").where("status is not null")
+    target = _Target(spark, "delete_by_keys")
+    ensure_table(spark, target.name, orders.drop("status").schema, ["status"], target.location)
+    delete_then_write(orders, target.name)
+    named = table(spark, sf_dir, "customer").where("c_mktsegment in ('BUILDING', 'MACHINERY')")
+    copies = orders.where("status = 'P'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    delete_then_write(copies, target.name, "o_totalprice > 50000", delete_keys=named, on={"o_custkey": "c_custkey"})
+    return target.stored()
+
+
 # --- keyed and column-store sinks ------------------------------------------
 
 
@@ -531,6 +545,21 @@ def q_kv_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder).select("key", "kind", "value", "expire_ms")
 
 
+def q_kv_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of each customer's last order, the second of other orders; what the store holds, and which load sent it."""
+    orders = table(spark, sf_dir, "orders").where("o_custkey is not null")
+    orders = orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    state, loads = scratch_dir(spark, "kv_state"), []
+    for rows in (orders.where("o_orderkey % 3 > 0"), orders.where("o_orderpriority <> '5-LOW'")):
+        folder = scratch_dir(spark, "kv_changes")
+        publish_changes(rows, _file_writer(folder), "hash", state, order_by="o_orderkey")
+        sent = "change string, key string, kind string, field string, value string, expire_ms bigint"
+        loads.append(spark.read.schema(sent).parquet(folder))
+    first, second = loads
+    held = first.join(second, ["key", "field"], "left_anti").select("key", "field", "value", F.lit(1).alias("load"))
+    return held.unionByName(second.where("change = 'set'").select("key", "field", "value", F.lit(2).alias("load")))
+
+
 def q_conform_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A column-store job: the target describes itself, rows are fitted to it, sent in batches, and read back."""
     described = [("doc_id", "UInt64"), ("quality", "Int8"), ("toxic", "Nullable(Int32)"), ("note", "String"), ("other", "UUID")]

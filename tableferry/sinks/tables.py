@@ -431,14 +431,70 @@ def _next_version(location: str) -> str:
     return f"{re.sub(r'__v_[0-9a-f]{32}$', '', location.rstrip('/'))}__v_{uuid.uuid4().hex}"
 
 
+class _Doomed:
+    """Key values whose rows are to go: distinct, in the types of the table, staged once."""
+
+    def __init__(self, keys: DataFrame, schema: T.StructType, on, null_safe: bool):
+        names = {on: on} if isinstance(on, str) else on if isinstance(on, Mapping) else {c: c for c in on or ()}
+        absent = [c for c in names if c not in schema.names] + [c for c in names.values() if c not in keys.columns]
+        if not names or absent:
+            raise ValueError(f"delete_keys needs columns to compare; these are absent: {absent}" if absent else "delete_keys needs on")
+        # Renamed, so that no name of the table is ambiguous in a condition.
+        self.pairs = {c: f"__doomed_{i}" for i, c in enumerate(names)}
+        chosen = normalize_types(keys.select(*[F.col(quoted(theirs)).alias(self.pairs[ours]) for ours, theirs in names.items()]))
+        columns = []
+        for ours, own in self.pairs.items():
+            has, wants = chosen.schema[own].dataType, schema[ours].dataType
+            if has != wants and wants != T.StringType():
+                raise ValueError(f"key {ours} is {wants.simpleString()} in the table but {has.simpleString()} in delete_keys")
+            columns.append(F.col(own).cast(wants).alias(own))
+        self.null_safe = null_safe
+        chosen = chosen.select(columns)
+        path = scratch_dir(keys.sparkSession, "doomed")
+        (chosen if null_safe else chosen.dropna()).distinct().write.parquet(path)
+        self.keys = keys.sparkSession.read.schema(chosen.schema).parquet(path)
+        ends = [f(c).alias(f"{n}{c}") for c in self.pairs.values() for n, f in (("lo", F.min), ("hi", F.max))]
+        self.ends = self.keys.agg(*ends).first()
+
+    def _same(self, also: Column | None) -> Column:
+        tests = [F.col(quoted(c)).eqNullSafe(F.col(k)) if self.null_safe else F.col(quoted(c)) == F.col(k) for c, k in self.pairs.items()]
+        return reduce(lambda a, b: a & b, tests if also is None else [*tests, also])
+
+    def _between(self, column: str, key: str) -> Column:
+        """Between the least and the greatest key: literals that prune partitions and row groups before the join does."""
+        low, high = self.ends[f"lo{key}"], self.ends[f"hi{key}"]
+        column = F.col(quoted(column)) if column in self.pairs else F.col(column)
+        inside = F.lit(False) if low is None else (column >= F.lit(low)) & (column <= F.lit(high))
+        return inside | column.isNull() if self.null_safe else inside
+
+    def lost(self, stored: DataFrame, also: Column | None) -> DataFrame:
+        """Rows that go. With a range on both sides Spark also filters partitions by the keys it finds at run time."""
+        keys = self.keys
+        for ours, own in self.pairs.items():
+            stored, keys = stored.where(self._between(ours, own)), keys.where(self._between(own, own))
+        return stored.join(keys, self._same(also), "left_semi")
+
+    def kept(self, stored: DataFrame, also: Column | None) -> DataFrame:
+        """All other rows, those with a null condition too."""
+        return stored.join(self.keys, self._same(also), "left_anti")
+
+
 def delete_then_write(
     df: DataFrame,
     table: str,
     delete_where: str | Column | None = None,
     keep_replaced: bool | None = None,
+    delete_keys: DataFrame | None = None,
+    on: Mapping[str, str] | Sequence[str] | str | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Remove the rows matching ``delete_where``, then append ``df``.
 
+    With ``delete_keys`` only rows go whose columns ``on`` (names of the table, or a
+    mapping of them to names of ``delete_keys``) have their values in one of its rows;
+    a null is in none, unless ``null_safe``. The keys are made distinct and stored
+    once, may be more than fit a broadcast, and bound what is read of the table.
+
     Rows for which the condition is null stay. Incoming rows are computed once and
     staged in the shared folder. Of a partitioned table, partitions that lose rows
     are rewritten first, together with their new rows; then the others are appended
@@ -459,14 +515,17 @@ def delete_then_write(
     if isinstance(delete_where, str):
         delete_where = F.expr(delete_where) if delete_where.strip() else None
     rows = _by_name(rows, table)
-    if is_new or delete_where is None:
+    doomed = None if delete_keys is None else _Doomed(delete_keys, spark.table(table).schema, on, null_safe)
+    if is_new or (delete_where is None and doomed is None):
         return _delete_report(spark, table, _append(rows, table, keys), None)
 
     path = scratch_dir(spark, "incoming")
     rows.write.parquet(path)
     staged, stored = spark.read.schema(rows.schema).parquet(path), spark.table(table)
-    lost = stored.where(delete_where)
-    kept = stored.where(~F.coalesce(delete_where, F.lit(False)))
+    if doomed:
+        lost, kept = doomed.lost(stored, delete_where), doomed.kept(stored, delete_where)
+    else:
+        lost, kept = stored.where(delete_where), stored.where(~F.coalesce(delete_where, F.lit(False)))
     if keys:
         names = [quoted(k) for k in keys]
         touched = [tuple(r) for r in lost.select(names).distinct().collect()]

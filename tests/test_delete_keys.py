@@ -1,0 +1,87 @@
+"""Deleting the rows whose keys another table names."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableferry.sinks.tables import _Doomed, delete_then_write, ensure_table
+
+COLUMNS = "id bigint, x string, p string"
+
+
+def made(spark, name, rows, keys=()):
+    df = spark.createDataFrame(rows, COLUMNS)
+    ensure_table(spark, name, df.drop(*keys).schema, list(keys))
+    delete_then_write(df, name)
+    return df
+
+
+def content(spark, name):
+    return sorted(map(tuple, spark.table(name).select("id", "x", "p").collect()), key=repr)
+
+
+ROWS = [(i if i % 7 else None, f"x{i % 5}" if i % 11 else None, "abc"[i % 3]) for i in range(1, 200)]
+
+
+@pytest.mark.parametrize("parts", [(), ("p",)])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_rows_go_as_in_a_plain_loop(spark, new_table, parts, null_safe):
+    rng, name = random.Random(3), new_table()
+    made(spark, name, ROWS, parts)
+    keys = [(rng.choice([None, *range(60)]), rng.choice([None, "x1", "x2", "x3"])) for _ in range(80)] * 2
+    doomed = spark.createDataFrame(keys, "id int, other string")  # an int is a bigint once stored
+    delete_then_write(spark.createDataFrame([(-1, "new", "a")], COLUMNS), name, "x <> 'x3'", delete_keys=doomed, on={"id": "id", "x": "other"}, null_safe=null_safe)
+
+    def goes(row):
+        has = (row[0], row[1]) in keys and (null_safe or None not in row[:2])
+        return has and row[1] is not None and row[1] != "x3"
+
+    assert content(spark, name) == sorted([(-1, "new", "a"), *(r for r in ROWS if not goes(r))], key=repr)
+
+
+def test_null_safe_keys_and_partition_keys(spark, new_table):
+    name = new_table()
+    made(spark, name, [(1, "a", "5"), (2, None, "05"), (3, None, "5"), (4, "b", "6")], ("p",))
+    doomed = spark.createDataFrame([(5, None, 0)], "p int, x string, extra int")
+    delete_then_write(spark.createDataFrame([], COLUMNS), name, delete_keys=doomed, on=["p", "x"])
+    assert len(content(spark, name)) == 4
+    delete_then_write(spark.createDataFrame([], COLUMNS), name, delete_keys=doomed, on=["p", "x"], null_safe=True)
+    assert content(spark, name) == sorted([(1, "a", "5"), (2, None, "05"), (4, "b", "6")], key=repr)
+    delete_then_write(spark.createDataFrame([], COLUMNS), name, delete_keys=doomed, on="p")
+    assert content(spark, name) == sorted([(2, None, "05"), (4, "b", "6")], key=repr)
+
+
+def test_no_keys_only_append_and_odd_names_do_not_clash(spark, new_table):
+    name = new_table()
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "`my key` bigint, value string")
+    delete_then_write(df, name)
+    none = df.limit(0)
+    delete_then_write(df, name, delete_keys=none, on="my key")
+    assert spark.table(name).count() == 4
+    delete_then_write(none, name, "value = 'a'", delete_keys=df, on="my key")
+    assert sorted(map(tuple, spark.table(name).collect())) == [(2, "b"), (2, "b")]
+
+
+def test_columns_and_types_must_fit(spark, new_table):
+    name = new_table()
+    df = made(spark, name, ROWS[:5])
+    for keys, on, told in (
+        (df, None, "needs on"), (df, ["other"], "absent"), (df, {"id": "other"}, "absent"), (df, {"id": "x"}, "bigint in the table but string"),
+    ):
+        with pytest.raises(ValueError, match=told):
+            delete_then_write(df, name, delete_keys=keys, on=on)
+    assert len(content(spark, name)) == 5
+
+
+def test_only_partitions_that_the_keys_name_are_read(spark, new_table):
+    name = new_table()
+    df = spark.range(400).select("id", F.lit("x").alias("x"), (F.col("id") % 40 + 10).cast("string").alias("p"))
+    ensure_table(spark, name, df.drop("p").schema, ["p"])
+    delete_then_write(df, name)
+    doomed = _Doomed(spark.createDataFrame([("12",), ("14",)], "p string"), spark.table(name).schema, "p", False)
+    lost = doomed.lost(spark.table(name), None)
+    plan = lost._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("PartitionFilters"):].splitlines()[0]
+    assert ">= 12" in scan and "<= 14" in scan and "dynamicpruning" in plan
+    assert lost.count() == 20
