@@ -28,11 +28,19 @@ SYMBOLS = 32
 WORD, STRIDE = 32, 16
 #: Bounds of the training sample.
 LABELLED = 20_000
-POSITIVE, NEGATIVE, LANDMARKS, VARIANTS = 400, 3000, 600, 3
+POSITIVE, NEGATIVE, LANDMARKS, VARIANTS = 400, 3000, 600, 8000
 LEAST_NEIGHBOURHOODS, PRECISION = 3, 0.9
+#: Clean documents that must have a word for it to be known as clean.
+LEAST_DOCUMENTS = 2
 FLOOR = -1.0
 #: Of the Gaussian; words whose string kernel with every toxic landmark is under NEAR have the floor.
-SHARPNESS, NEAR = 6.0, 0.7
+SHARPNESS, NEAR = 6.0, 0.5
+#: Share of a toxic landmark's length that a longer word must have in common with it to be searched for it.
+HELD = 0.7
+#: Kernel with a toxic landmark that a window of a longer word must have.
+JOINED = 0.9
+#: Kernel with a clean word at which a toxic one is trained with few changes.
+CROWDED = 0.75
 RIDGE = 0.05
 #: Share of the best F-measure that the cut between the classes must keep.
 CALIBRATION = 0.99
@@ -53,8 +61,9 @@ _SYMBOL[128:192] = 27 + np.arange(64) % 32 % 5
 def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all words, where each word starts, and the words before each row.
 
-    Signs inside a word are dropped; single letters in a row are one word; a long
-    word is read in overlapping pieces.
+    Signs inside a word are dropped; what stands between them is a word too, behind
+    the others of its row; single letters in a row are one word; a long word is read
+    in overlapping pieces.
     """
     begin, end, rows = texts.word_spans(data, starts)
     symbol = _SYMBOL[data]
@@ -62,6 +71,9 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     letters = symbol[symbol > 0].astype(np.int32)
     low, high = before[begin], before[end]
     row = np.repeat(np.arange(len(starts) - 1), np.diff(rows))
+    # Letters with a sign before them, inside a word, begin a part; bytes over 127 are no signs.
+    signs = np.cumsum((symbol == 0) & (data < 128))[symbol > 0]
+    cut = np.flatnonzero(np.diff(signs, prepend=signs[:1])) if len(signs) else np.zeros(0, np.int64)
     full = high > low
     low, high, row = low[full], high[full], row[full]
     single = high - low == 1
@@ -69,7 +81,23 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     new[1:] = ~(single[1:] & single[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(low)) - 1 if len(first) else first
-    low, high, row = low[first], high[last], row[first]
+    low, high, row, low_whole, high_whole, row_whole = low[first], high[last], row[first], low, high, row
+    # Parts: between the begin of a word, its cuts, and its end; only of words that have cuts.
+    owner = np.searchsorted(low_whole, cut, "right") - 1
+    inside = (owner >= 0) & (cut > low_whole[owner]) if len(low_whole) else np.zeros(len(cut), bool)
+    cut, owner = cut[inside], owner[inside]
+    split = np.unique(owner)
+    begins = np.concatenate([low_whole[split], cut])
+    of = np.concatenate([split, owner])
+    order = np.argsort(begins, kind="stable")
+    begins, of = begins[order], of[order]
+    same = np.append(of[1:] == of[:-1], False) if len(of) else np.zeros(0, bool)
+    ends = np.where(same, np.append(begins[1:], 0), high_whole[of])
+    some = ends - begins > 2
+    low, high = np.concatenate([low, begins[some]]), np.concatenate([high, ends[some]])
+    row = np.concatenate([row, row_whole[of[some]]])
+    order = np.argsort(row, kind="stable")
+    low, high, row = low[order], high[order], row[order]
     pieces = np.maximum(1, -(-(high - low - WORD) // STRIDE) + 1)
     which = np.repeat(np.arange(len(low)), pieces)
     number = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -115,13 +143,14 @@ def _places(starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Landmarks:
     """Words that span the feature space, the first ``toxic`` of them toxic; only their subsequences have rows."""
 
-    def __init__(self, marks: list[tuple[np.ndarray, np.ndarray]], toxic: int, common: np.ndarray | None = None):
+    def __init__(self, marks: list[tuple[np.ndarray, np.ndarray]], toxic: int, common: np.ndarray | None = None, sizes: np.ndarray | None = None):
         keys = np.unique(np.concatenate([key for key, _ in marks]))
         self.place = np.zeros(SYMBOLS**3, np.int32)
         self.place[keys] = np.arange(1, len(keys) + 1)
         self.rows = np.zeros((len(keys) + 1, len(marks)), np.float32)
         for i, (key, mass) in enumerate(marks):
             self.rows[self.place[key], i] = mass
+        self.sizes = np.full(len(marks), WORD + 1) if sizes is None else sizes
         self._index(marks[:toxic], np.ones(SYMBOLS**3) if common is None else common + 1.0)
 
     def _index(self, marks: list[tuple[np.ndarray, np.ndarray]], common: np.ndarray) -> None:
@@ -144,8 +173,12 @@ class Landmarks:
         shared = np.stack([mass.astype(np.float32) @ self.rows[self.place[key]] for key, mass in found])
         return np.exp(-SHARPNESS * (1 - shared.astype(np.float64)))
 
-    def near(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Words whose string kernel with a toxic landmark may reach ``NEAR``, and a bound of it."""
+    def near(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words whose string kernel with a toxic landmark may reach ``NEAR``, and a bound of it; longer words and landmarks they may hold.
+
+        A word that holds a landmark has all its subsequences, so that their product is at least the
+        landmark's own length, whatever else the word has.
+        """
         n, marks = len(starts) - 1, self.rows.shape[1]
         word = np.repeat(np.arange(n), np.diff(starts))
         found, owner, weights = [], [], []
@@ -163,15 +196,35 @@ class Landmarks:
         order = np.argsort(owner, kind="stable")
         places, weights = self.place[found[order]], weights[order]
         at = np.searchsorted(owner[order], np.arange(n + 1))
-        bound = np.zeros(n)
+        bound, held = np.zeros(n), [np.zeros(0, np.int64)]
+        length = np.diff(starts)
         least = np.sqrt(np.maximum(_LEAST[np.diff(starts)], 1e-9))
         for begin in range(0, len(pair), 20_000):
             own, mark = np.divmod(pair[begin : begin + 20_000], marks)
             index, inner = _places(at, own)
             mass = weights[index] * self.rows[places[index], np.repeat(mark, np.diff(inner))]
-            np.maximum.at(bound, own, np.add.reduceat(mass, inner[:-1]) / least[own])
+            product = np.add.reduceat(mass, inner[:-1])
+            np.maximum.at(bound, own, product / least[own])
+            longer = length[own] > self.sizes[mark] + 1
+            size = np.sqrt(_LEAST[np.minimum(self.sizes[mark], WORD)])
+            held.append(pair[begin : begin + 20_000][longer & (product >= HELD * size)])
         near = np.flatnonzero(bound >= NEAR)
-        return near, bound[near]
+        return near, bound[near], np.concatenate(held)
+
+    def windows(self, symbols: np.ndarray, starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All windows of the chosen words as long as a toxic landmark, or a letter longer: symbols, starts, the word of each."""
+        sizes = np.unique(np.concatenate([[WORD], self.sizes, self.sizes + 1]))
+        length = (starts[1:] - starts[:-1])[chosen]
+        begin, size, word = [], [], []
+        for s in sizes[sizes < WORD].tolist():
+            count = np.maximum(0, length - s + 1) * (length > s)
+            which = np.repeat(np.arange(len(chosen)), count)
+            begin.append(starts[chosen][which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count))
+            size.append(np.full(len(which), s))
+            word.append(chosen[which])
+        begin, size, word = np.concatenate(begin), np.concatenate(size), np.concatenate(word)
+        at = np.concatenate([[0], np.cumsum(size)])
+        return symbols[np.repeat(begin - at[:-1], size) + np.arange(at[-1])], at, word
 
 
 class Known:
@@ -205,20 +258,56 @@ class Machine:
     def __init__(self, landmarks: Landmarks | None = None, weights: np.ndarray | None = None, bias: float = FLOOR):
         self.landmarks, self.weights, self.bias = landmarks, weights, bias
         self.slope, self.middle = 4.0, 0.0
+        #: Hashes of words that many clean documents have, though they look like insults.
+        self.clean = np.zeros(0, np.uint64)
 
     def margins(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The margin of each word; the floor where no toxic landmark is near."""
         out = np.full(len(starts) - 1, FLOOR)
         if self.landmarks is None or not len(symbols):
             return out
-        near, _ = self.landmarks.near(symbols, starts)
-        for at in range(0, len(near), 2048):
-            part = near[at : at + 2048]
-            index, inner = _places(starts, part)
+        near, _, held = self.landmarks.near(symbols, starts)
+        out[near] = self._evaluated(symbols, starts, near)
+        np.maximum.at(out, *self.within(symbols, starts, held))
+        high = np.flatnonzero(out > 0)
+        hashed = texts.RangeHash(symbols.astype(np.uint8)).of(starts[high], starts[high + 1])
+        out[high[np.isin(hashed, self.clean)]] = FLOOR
+        return out
+
+    def _evaluated(self, symbols: np.ndarray, starts: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(chosen))
+        for at in range(0, len(chosen), 2048):
+            index, inner = _places(starts, chosen[at : at + 2048])
             found = features(symbols[index], inner)
-            out[part] = np.clip(self.landmarks.kernel(found) @ self.weights + self.bias, FLOOR, -FLOOR)
+            out[at : at + 2048] = np.clip(self.landmarks.kernel(found) @ self.weights + self.bias, FLOOR, -FLOOR)
         return out
 
+    def within(self, symbols: np.ndarray, starts: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words that may hold an insult, once per window, and the windows' margins; few words at a time."""
+        holders = np.unique(held // self.landmarks.rows.shape[1])
+        word, margin = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for at in range(0, len(holders), 256):
+            window, inner, of = self.landmarks.windows(symbols, starts, holders[at : at + 256])
+            near, bound, _ = self.landmarks.near(window, inner)
+            near = near[bound >= JOINED]
+            word.append(of[near])
+            margin.append(self._evaluated(window, inner, near))
+        return np.concatenate(word), np.concatenate(margin)
+
+    def in_clean_words(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Toxic landmarks that stand inside these longer words, which are clean."""
+        _, _, held = self.landmarks.near(symbols, starts)
+        holders = np.unique(held // self.landmarks.rows.shape[1])
+        found = [np.zeros(0, np.int64)]
+        for at in range(0, len(holders), 256):
+            window, inner, _ = self.landmarks.windows(symbols, starts, holders[at : at + 256])
+            near, bound, _ = self.landmarks.near(window, inner)
+            index, inner = _places(inner, near[bound >= JOINED])
+            if len(index):
+                kernel = self.landmarks.kernel(features(window[index], inner))
+                found.append(np.unique(np.nonzero(kernel >= math.exp(-SHARPNESS * (1 - JOINED)))[1]))
+        return np.unique(np.concatenate(found))
+
     def worst(self, data: np.ndarray, starts: np.ndarray, known: "Known | None" = None) -> np.ndarray:
         """The greatest margin of each row's words."""
         symbols, at, rows = words(data, starts)
@@ -260,11 +349,15 @@ def _packed(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def fit(positive: list[np.ndarray], negative: list[np.ndarray]) -> Machine:
     """Train on words of both classes; the landmarks are all toxic words and some of the clean ones nearest to them."""
     rng = np.random.Generator(np.random.PCG64(5))
-    # Insults with a letter put in are examples too, but no landmarks.
-    changed = [
-        np.insert(word, rng.integers(1, len(word)), rng.integers(1, 27))
-        for word in positive for _ in range(VARIANTS)
-    ]
+    marks = Landmarks(features(*_packed(positive)), len(positive))
+    close = marks.kernel(features(*_packed(negative))).max(axis=0) >= math.exp(-SHARPNESS * (1 - CROWDED))
+    # Insults with a letter put in are examples too, but no landmarks: all, or as many of each as the bound
+    # allows; few of a word that clean words are like, as a letter more or less is what tells it from them.
+    changed = []
+    for word, crowded in zip(positive, close):
+        ways = [(place, letter) for place in range(1, len(word)) for letter in range(1, 27)]
+        some = rng.permutation(len(ways))[: 3 if crowded else VARIANTS // len(positive)]
+        changed += [np.insert(word, *ways[i]) for i in sorted(some.tolist())]
     own = positive + negative + changed
     found = features(*_packed(own))
     label = np.concatenate([np.ones(len(positive)), -np.ones(len(negative)), np.ones(len(changed))])
@@ -275,14 +368,17 @@ def fit(positive: list[np.ndarray], negative: list[np.ndarray]) -> Machine:
     closest = marks.kernel(found[len(positive) : len(positive) + len(negative)]).max(axis=1)
     extra = np.argsort(-closest, kind="stable")[: max(0, min(300, LANDMARKS - len(positive)))]
     chosen = found[: len(positive)] + [found[len(positive) + i] for i in extra.tolist()]
-    marks = Landmarks(chosen, len(positive), common)
+    sizes = np.full(len(chosen), WORD + 1)
+    sizes[: len(positive)] = [len(word) for word in positive]
+    marks = Landmarks(chosen, len(positive), common, sizes)
     # Nyström: features whose products are the kernel, as far as the landmarks tell.
     values, vectors = np.linalg.eigh(marks.kernel(chosen))
     kept = values > 1e-3
     root = vectors[:, kept] / np.sqrt(values[kept])
     z = np.column_stack([marks.kernel(found) @ root, np.ones(len(found))])
     balance = np.where(label > 0, max(1.0, len(negative) / len(positive)) ** 0.5, 1.0)
-    balance[len(positive) + len(negative) :] = 0.5
+    # Changed words weigh no more than the clean ones, however many they are.
+    balance[len(positive) + len(negative) :] = 0.5 * min(1.0, len(negative) / max(1, len(changed))) ** 0.5
     w = np.zeros(z.shape[1])
     for _ in range(30):
         # Newton steps of the squared hinge: a ridge regression of the words inside the margin.
@@ -348,7 +444,7 @@ def _nearest(positive: list[np.ndarray], clean: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 data, starts = texts.flat(batch.column("word"))
-                near, bound = marks.near(data.astype(np.int32), starts)
+                near, bound, _ = marks.near(data.astype(np.int32), starts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("word").take(pa.array(near)), pa.array(bound.astype(np.float64))], ["word", "near"]
                 )
@@ -356,6 +452,32 @@ def _nearest(positive: list[np.ndarray], clean: DataFrame) -> DataFrame:
     return clean.mapInArrow(run, "word binary, near double")
 
 
+def _in_clean_words(machine: Machine, clean: DataFrame) -> list[int]:
+    """Numbers of the toxic landmarks that clean words have inside."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, starts = texts.flat(batch.column("word"))
+            found = machine.in_clean_words(data.astype(np.int32), starts) if len(data) else []
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["mark"])
+
+    return [r.mark for r in clean.mapInArrow(run, "mark bigint").distinct().collect()]
+
+
+def _mistaken(machine: Machine, clean: DataFrame) -> np.ndarray:
+    """Hashes of words of several clean documents that the machine takes for insults."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, starts = texts.flat(batch.column("word"))
+            high = machine.margins(data.astype(np.int32), starts) > 0
+            hashed = texts.RangeHash(data).of(starts[:-1], starts[1:])
+            yield pa.RecordBatch.from_arrays([pa.array(hashed[high].view(np.int64))], ["hashed"])
+
+    found = clean.where(F.col("clean") >= LEAST_DOCUMENTS).select("word").mapInArrow(run, "hashed bigint").collect()
+    return np.sort(np.array([r.hashed for r in found], np.int64).view(np.uint64))
+
+
 def _worst_words(machine: Machine, documents: DataFrame, column: str, kind: str) -> DataFrame:
     """``column`` and the worst word's margin of each row."""
 
@@ -399,13 +521,17 @@ def learn(spark: SparkSession, documents: DataFrame, labels: DataFrame, folds: i
     positive = [_symbols(r.word) for r in positive]
     if not positive:
         return None
-    clean = vocabulary.where("clean > 0 and toxic <= clean").select("word")
+    unhurt = vocabulary.where("clean > 0 and toxic <= clean")
+    clean = unhurt.select("word")
     some = clean.orderBy(F.xxhash64("word"), "word").limit(NEGATIVE // 4).collect()
     close = _nearest(positive, clean).orderBy(F.desc("near"), "word").limit(NEGATIVE).collect()
     negative = [_symbols(w) for w in sorted({r.word for r in some} | {r.word for r in close})]
     if not negative:
         return None
     machine = fit(positive, negative)
+    # What clean words are made of is no insult when joined to something: only as a word of its own.
+    machine.landmarks.sizes[_in_clean_words(machine, clean)] = WORD + 1
+    machine.clean = _mistaken(machine, unhurt)
     seen = _worst_words(machine, sample, "toxic", "int").toPandas()
     machine.calibrate(seen.margin.to_numpy(), seen.toxic.to_numpy())
     return machine

@@ -1,0 +1,95 @@
+"""Toxicity: the kernel against a plain loop, inserted letters, insults joined to neighbours."""
+
+import itertools
+
+import numpy as np
+import pyarrow as pa
+
+from tableferry.llm import texts
+from tableferry.llm import toxicity as t
+
+INSULTS = "idiot stupid trash loser scum moron pathetic worthless clown".split()
+CLEAN = "table river garden mountain window people through together morning letter forest summer winter market bridge".split()
+
+
+def encoded(word):
+    return np.array([ord(c) - 96 for c in word], np.int32)
+
+
+def plain_kernel(a, b):
+    """Common subsequences of three letters, weighted by what they span, by a plain loop."""
+
+    def mass(word):
+        found = {}
+        for i, j, k in itertools.combinations(range(len(word)), 3):
+            if k - i < t.SPAN:
+                found[word[i], word[j], word[k]] = found.get((word[i], word[j], word[k]), 0) + t.DECAY ** (k - i + 1)
+        return found
+
+    a, b = mass(a), mass(b)
+    norm = sum(v * v for v in a.values()) ** 0.5 * sum(v * v for v in b.values()) ** 0.5
+    return sum(v * b.get(s, 0) for s, v in a.items()) / norm if norm else 0.0
+
+
+def machine():
+    rng = np.random.Generator(np.random.PCG64(2))
+    others = [rng.integers(1, 27, n).astype(np.int32) for n in rng.integers(3, 10, 600)]
+    made = t.fit([encoded(w) for w in INSULTS], [encoded(w) for w in CLEAN] + others)
+    made.middle = 0.2
+    return made
+
+
+def worst(made, *rows):
+    return made.worst(*texts.flat(pa.array(rows, pa.string())))
+
+
+def test_the_kernel_is_that_of_a_plain_loop():
+    words = INSULTS + CLEAN + ["idiiot", "abcabcabc", "aaaaaa", "scu"]
+    found = t.features(*t._packed([encoded(w) for w in words]))
+    got = t.Landmarks(found, len(words)).kernel(found)
+    want = np.array([[np.exp(-t.SHARPNESS * (1 - plain_kernel(a, b))) for b in words] for a in words])
+    assert np.allclose(got, want, atol=1e-5)
+
+
+def test_no_word_that_reaches_the_bound_is_left_out():
+    rng = np.random.Generator(np.random.PCG64(1))
+    toxic = [encoded(w) for w in INSULTS]
+    words = [rng.integers(1, 27, rng.integers(3, 9)) for _ in range(200)]
+    words += [np.insert(w, rng.integers(1, len(w)), rng.integers(1, 27, 2)) for w in toxic for _ in range(20)]
+    words = [w.astype(np.int32) for w in words]
+    near, bound, _ = t.Landmarks(t.features(*t._packed(toxic)), len(toxic)).near(*t._packed(words))
+    for i, word in enumerate(words):
+        most = max(plain_kernel(word.tolist(), w.tolist()) for w in toxic)
+        assert most < t.NEAR + 1e-6 or i in near
+        assert i not in near or bound[near == i][0] >= most - 1e-5
+
+
+def test_every_letter_put_into_an_insult_is_found():
+    made = machine()
+    for word in map(encoded, INSULTS):
+        changed = [np.insert(word, i, c) for i in range(1, len(word)) for c in range(1, 27)]
+        assert (made.margins(*t._packed(changed)) > made.middle).mean() > 0.9
+    assert (made.margins(*t._packed([encoded(w) for w in CLEAN])) < made.middle).all()
+
+
+def test_insults_joined_to_a_neighbour_are_found():
+    made = machine()
+    joined = [f"{a}{sign}{w}{b}" for w in INSULTS for sign in ("-", "/", ".", "") for a, b in (("you", ""), ("the", ""), ("Such", "!"))]
+    assert (worst(made, *joined, "you idiot", "idiotagainandagain") > made.middle).all()
+    assert (worst(made, *[f"the-{w}/you.{w}you" for w in CLEAN], "", "-", "...", "é-è") < made.middle).all()
+
+
+def test_a_mark_that_clean_words_have_inside_is_only_looked_for_by_itself():
+    made = machine()
+    found = made.in_clean_words(*t._packed([encoded("upscumming"), encoded("garden")]))
+    assert found.tolist() == [INSULTS.index("scum")]
+    made.landmarks.sizes[found] = t.WORD + 1
+    assert worst(made, "rescumming")[0] < made.middle < worst(made, "scum")[0]
+    assert worst(made, "youidiot")[0] > made.middle
+
+
+def test_words_between_signs_stand_behind_the_others_of_their_row():
+    symbols, at, rows = t.words(*texts.flat(pa.array(["you-idiot a b c", None, "café x'abc", "---"])))
+    found = ["".join(chr(96 + c) if c < 27 else "?" for c in symbols[at[i] : at[i + 1]]) for i in range(len(at) - 1)]
+    assert found == ["youidiot", "abc", "you", "idiot", "caf" + found[4][3:], "xabc", "abc"] and len(found[4]) == 4
+    assert rows.tolist() == [0, 4, 4, 7, 7]
