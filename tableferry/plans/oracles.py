@@ -62,6 +62,22 @@ ORACLES = {
     "doc_scan_inferred": "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events",
     "doc_read_declared": "select cast(json_extract(props, '$.k') as bigint) as k from events where props is not null",
     "doc_read_inferred": "select cast(json_extract(props, '$.k') as bigint) as k from events where props is not null",
+    "doc_scan_mixed": """
+        select event_id, case when k is not null and event_id % 5 = 0 then round("value", 2) end as v,
+               case event_id % 5 when 3 then event_type end as t,
+               case when k is not null then case event_id % 5 when 0 then 'BIGINT' when 1 then 'STRING' when 2 then 'ARRAY<BIGINT>' end end as k_type,
+               case event_id % 5 when 0 then k when 1 then '"' || k || '"' when 2 then '[' || k || ']' end as k,
+               case event_id % 5 when 4 then '[' || k || ',"x"]' end as rest
+        from (select *, props ->> '$.k' as k from events)
+    """,
+    "doc_read_mixed": """
+        select case event_id % 5 when 0 then k when 1 then '"' || k || '"' when 2 then '[' || k || ']' end as k,
+               case event_id % 5 when 3 then event_type end as t,
+               case event_id % 5 when 0 then round("value", 2) end as v,
+               case event_id % 5 when 4 then '[' || k || ',"x"]' end as rest
+        from (select *, props ->> '$.k' as k from events)
+        where case event_id % 5 when 3 then event_type when 0 then k || "value" else k end is not null
+    """,
     "doc_unreadable": """
         select count(props) as n_documents, count(case when "value" > 50 and props is not null then 1 end) as n_unreadable
         from events
@@ -111,6 +127,20 @@ ORACLES = {
         union all
         select s_suppkey, s_name, cast(s_nationkey as bigint), null, '2024-01-01', 'supplier' from supplier
     """,
+    "merge_widened_shards": """
+        select o_orderkey as row_key, cast(9007199254740992 + o_orderkey as double) as amount,
+               cast(o_custkey as varchar) as code, 'orders' as shard from orders
+        union all
+        select l_orderkey, l_extendedprice, l_returnflag, 'lines' from lineitem
+    """,
+    "widened_columns": """
+        select 'orders' as shard, 'amount' as column_name, 'bigint' as stored_type, 'double' as merged_type,
+               count(o_orderkey) as n_values,
+               count(case when cast(cast(9007199254740992 + o_orderkey as double) as bigint) <> 9007199254740992 + o_orderkey then 1 end) as n_inexact
+        from orders
+        union all
+        select 'orders', 'code', 'bigint', 'string', count(o_custkey), 0 from orders
+    """,
     "table_ddl": """
         select 'o_orderkey' as column_name, 'bigint' as data_type, 'order key' as comment,
                count(o_orderkey) as n_values from orders

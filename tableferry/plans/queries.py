@@ -39,9 +39,10 @@ from tableferry.sinks.tables import (
     overwrite_partition,
     save_files,
     table_location,
+    widened_columns,
 )
 from tableferry.sources.catalog import column_report, list_tables, with_comments
-from tableferry.sources.documents import parse_documents, read_documents, unreadable_texts
+from tableferry.sources.documents import parse_documents, parse_mixed, read_documents, read_mixed_documents, unreadable_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,6 +179,41 @@ def q_doc_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unreadable_texts(cut, "props", "k bigint")
 
 
+def _mixed_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The properties of all events in five shapes: k as number, text, list and absent, and no object at all."""
+    events = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    shapes = [
+        F.concat(F.lit('{"v":'), F.col("value").cast("decimal(12,2)"), F.lit(',"k":'), k, F.lit("}")),
+        F.concat(F.lit('{"k":"'), k, F.lit('"}')),
+        F.concat(F.lit('{"k":['), k, F.lit('],"v":null}')),
+        F.concat(F.lit('{"t":"'), F.col("event_type"), F.lit('"}')),
+        F.concat(F.lit("["), k, F.lit(',"x"]')),
+    ]
+    turn = F.pmod("event_id", F.lit(len(shapes)))
+    return events.select("event_id", F.coalesce(*[F.when(turn == i, s) for i, s in enumerate(shapes)]).alias("props"))
+
+
+def q_doc_scan_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose field k has several types, and arrays among them."""
+    rows = parse_mixed(_mixed_properties(spark, sf_dir), "props")
+    return rows.select(
+        "event_id",
+        F.col("props.v").cast("double").alias("v"),
+        F.col("props.t").alias("t"),
+        F.schema_of_variant("props.k").alias("k_type"),
+        F.to_json("props.k").alias("k"),
+        F.to_json("props_rest").alias("rest"),
+    )
+
+
+def q_doc_read_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "documents")
+    _mixed_properties(spark, sf_dir).select("props").where("props is not null").write.text(path)
+    rows = read_mixed_documents(spark, path)
+    return rows.select(F.to_json("k").alias("k"), "t", F.col("v").cast("double").alias("v"), F.to_json("_rest").alias("rest"))
+
+
 # --- columns ---------------------------------------------------------------
 
 
@@ -334,6 +370,25 @@ def q_merge_drifting_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.stored()
 
 
+def _differing_shards(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Amounts as whole numbers near 2^53, as doubles, and codes as numbers and texts."""
+    return {
+        "orders": select_list(table(spark, sf_dir, "orders"), "o_orderkey as row_key, 9007199254740992 + o_orderkey as amount, o_custkey as code"),
+        "lines": select_list(table(spark, sf_dir, "lineitem"), "l_orderkey as row_key, l_extendedprice as amount, l_returnflag as code"),
+    }
+
+
+def q_merge_widened_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of different types, merged in the narrowest common ones."""
+    target = _Target(spark, "merge_widened_shards")
+    merge_shards(_differing_shards(spark, sf_dir), target.name, location=target.location, widen=True)
+    return target.stored()
+
+
+def q_widened_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return widened_columns(_differing_shards(spark, sf_dir))
+
+
 def q_table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = with_comments(
         table(spark, sf_dir, "orders"), {"o_orderkey": "order key", "o_totalprice": "order's total"}

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -337,37 +337,98 @@ def _union_all(frames: list[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def union_shards(shards: Mapping[str, DataFrame], shard_column: str = "shard") -> DataFrame:
+#: The stored types in a chain: a value of each has a value of every later one.
+_WIDER = (T.LongType(), T.DoubleType(), T.StringType())
+
+
+def common_type(types: Iterable[T.DataType]) -> T.DataType:
+    """The narrowest stored type that all the given ones widen to: bigint, then double, then string."""
+    return _WIDER[max(_WIDER.index(canonical_type(t)) for t in types)]
+
+
+def _shard_types(shards: Mapping[str, DataFrame], widen: bool, shard_column: str) -> dict[str, T.DataType]:
+    """The type of each column over all shards."""
+    found: dict[str, dict[T.DataType, str]] = {}
+    for name, df in shards.items():
+        for f in df.schema.fields:
+            found.setdefault(f.name, {}).setdefault(canonical_type(f.dataType), name)
+    if shard_column in found:
+        raise ValueError(f"the shards already have a column {shard_column}")
+    for c, kinds in found.items():
+        if len(kinds) > 1 and not widen:
+            (first, _), (other, name) = list(kinds.items())[:2]
+            raise ValueError(f"column {c} is {first.simpleString()} but {other.simpleString()} in {name}")
+    return {c: common_type(kinds) for c, kinds in found.items()}
+
+
+def union_shards(shards: Mapping[str, DataFrame], shard_column: str = "shard", widen: bool = False) -> DataFrame:
     """All shards as one table, tagged by name; columns a shard lacks are null.
 
-    Types are made canonical first, so shards may differ in integer width.
+    Types are made canonical first, so shards may differ in integer width. Shards
+    whose stored types differ are refused, or with ``widen`` take the narrowest type
+    that holds both: bigint and double meet in double, anything and string in string
+    (a number as Spark writes it: 5 of a bigint shard, 5.0 of a double one).
+    :func:`widened_columns` counts what that costs.
     """
-    found = {name: {f.name: f for f in df.schema.fields} for name, df in shards.items()}
-    types: dict[str, T.DataType] = {}
-    for name, fields in found.items():
-        for c, f in fields.items():
-            stored = canonical_type(f.dataType)
-            if types.setdefault(c, stored) != stored:
-                raise ValueError(
-                    f"column {c} is {types[c].simpleString()} but {stored.simpleString()} in {name}"
-                )
-    if shard_column in types:
-        raise ValueError(f"the shards already have a column {shard_column}")
+    types = _shard_types(shards, widen, shard_column)
 
     def column(fields: Mapping[str, T.StructField], c: str) -> Column:
         if c not in fields:
             return F.lit(None).cast(types[c]).alias(c)
         f = fields[c]
-        return to_canonical(F.col(quoted(c)), f.dataType).alias(c, metadata=f.metadata)
+        return to_canonical(F.col(quoted(c)), f.dataType).cast(types[c]).alias(c, metadata=f.metadata)
 
     # One projection per shard keeps the planning of thousands of them cheap.
-    aligned = [
-        df.select(*[column(found[name], c) for c in types], F.lit(name).alias(shard_column))
-        for name, df in shards.items()
-    ]
+    aligned = []
+    for name, df in shards.items():
+        fields = {f.name: f for f in df.schema.fields}
+        aligned.append(df.select(*[column(fields, c) for c in types], F.lit(name).alias(shard_column)))
     return _union_all(aligned)
 
 
+def _inexact(whole: Column) -> Column:
+    """Whether a bigint is another number as a double."""
+    near = whole.cast("double")
+    # The cast back of 2^63 saturates, and so would seem to give the greatest bigint.
+    return (near >= F.lit(float(1 << 63))) | ~near.try_cast("bigint").eqNullSafe(whole)
+
+
+def widened_columns(shards: Mapping[str, DataFrame]) -> DataFrame:
+    """``shard, column_name, stored_type, merged_type, n_values, n_inexact`` for each column a merge widens.
+
+    ``n_values`` counts values that are not null, ``n_inexact`` those whose merged value
+    is another number (a bigint beyond 2^53 as a double). A shard without rows has zeros;
+    shards of one type give no rows. One partial aggregate over all shards; the
+    driver sees schemas only.
+    """
+    if not shards:
+        raise ValueError("there are no shards to merge")
+    spark = next(iter(shards.values())).sparkSession
+    types = _shard_types(shards, True, "shard")
+    plan, counted = [], []
+    for name, df in shards.items():
+        fields = [f for f in df.schema.fields if canonical_type(f.dataType) != types[f.name]]
+        marks = []
+        for f in fields:
+            kind, merged = canonical_type(f.dataType), types[f.name]
+            plan.append((name, f.name, kind.simpleString(), merged.simpleString()))
+            value = to_canonical(F.col(quoted(f.name)), f.dataType)
+            lossy = _inexact(value) if (kind, merged) == (T.LongType(), T.DoubleType()) else F.lit(False)
+            present = value.isNotNull()
+            marks.append(F.struct(F.lit(f.name).alias("column_name"), present.alias("present"), (present & lossy).alias("lossy")))
+        if marks:
+            counted.append(df.select(F.lit(name).alias("shard"), F.inline(F.array(*marks))))
+    named = "shard string, column_name string, stored_type string, merged_type string"
+    if not counted:
+        return spark.createDataFrame([], f"{named}, n_values bigint, n_inexact bigint")
+    sums = _union_all(counted).groupBy("shard", "column_name").agg(
+        F.count_if("present").alias("n_values"), F.count_if("lossy").alias("n_inexact")
+    )
+    out = spark.createDataFrame(plan, named).join(sums, ["shard", "column_name"], "left")
+    zero = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_values", "n_inexact")]
+    return out.select("shard", "column_name", "stored_type", "merged_type", *zero)
+
+
 def merge_shards(
     shards: Mapping[str, DataFrame],
     table: str,
@@ -376,12 +437,14 @@ def merge_shards(
     location: str | None = None,
     layout: int | str | None = None,
     partition_values: str | Sequence[str] | None = None,
+    widen: bool = False,
 ) -> DataFrame:
     """Publish tables of one shape as partitions ``shard=<name>`` of one table, in one write.
 
     Only the partitions of the given shards change; a shard without rows has its
     old partition emptied. A plain list of names may name columns some shards
-    lack. Returns ``table_name, partition, n_rows`` per shard: what this merge wrote.
+    lack. Types that differ are refused, or widened as in :func:`union_shards`; a table
+    that exists keeps its types, so that one narrower than the shards is refused. Returns ``table_name, partition, n_rows`` per shard: what this merge wrote.
     """
     if not shards:
         raise ValueError("there are no shards to merge")
@@ -390,7 +453,7 @@ def merge_shards(
         known = {c for df in shards.values() for c in df.columns}
         pick = prune_columns if known.issuperset(list_items(columns)) else select_list
         shards = {name: pick(df, columns) for name, df in shards.items()}
-    merged = union_shards(shards)
+    merged = union_shards(shards, widen=widen)
     ensure_table(spark, table, merged.drop("shard").schema, [*spec, "shard"], location)
     spec, keys = _typed(spark, table, spec), _partition_keys(spark, table)
     stored = {name: _typed(spark, table, {"shard": name})["shard"] for name in shards} if not _is_text(spark, table) else {n: n for n in shards}

@@ -116,10 +116,22 @@ def read_collection(
 _VARIANT_WORDS = {"OBJECT": "STRUCT", "VOID": "STRING"}
 
 
-def inferred_schema(df: DataFrame, column: str) -> T.StructType:
-    """The merged schema of all documents in a text column, from one aggregate over all rows."""
+def _is_object(parsed: Column) -> Column:
+    return F.schema_of_variant(parsed).startswith("OBJECT<")
+
+
+def inferred_schema(df: DataFrame, column: str, objects_only: bool = False) -> T.StructType:
+    """The merged schema of all documents in a text column, from one aggregate over all rows.
+
+    A field whose types have nothing in common is a variant. With ``objects_only``
+    other documents are passed over, and no objects at all give no fields.
+    """
     parsed = F.try_parse_json(F.col(quoted(column)))
+    if objects_only:
+        parsed = F.when(_is_object(parsed), parsed)
     found = df.agg(F.schema_of_variant_agg(parsed).alias("schema")).first()["schema"]
+    if objects_only and found in (None, "VOID", "OBJECT<>"):
+        return T.StructType()
     if found is None or not found.startswith("OBJECT<"):
         raise ValueError(f"column {column} holds no JSON objects of one shape: {found}")
     parts = re.split(r"(`(?:[^`]|``)*`)", found)
@@ -147,3 +159,41 @@ def parse_documents(
     else:
         value = F.when(bad, F.raise_error(F.concat(F.lit(f"unreadable document in {column}: "), text))).otherwise(value)
     return df.withColumn(column, value)
+
+
+def parse_mixed(df: DataFrame, column: str, rest: str | None = None, on_bad: str = "error") -> DataFrame:
+    """Replace a JSON text column of documents of several shapes by the struct of its objects and a variant.
+
+    Fields of one type over all objects are typed, at any depth; fields whose type
+    differs are variants. Documents that are no object (arrays, texts, numbers, the JSON
+    null) are in the variant column ``rest`` (``<column>_rest`` if not named) and have a
+    null struct; objects have a null there. Null texts are null in both. Text that is no
+    JSON is an error, or null in both with ``on_bad="null"``. An empty table, or one
+    without objects, gives a struct with no fields.
+    """
+    _check_on_bad(on_bad)
+    rest = rest or f"{column}_rest"
+    if rest in df.columns:
+        raise ValueError(f"there already is a column {rest}")
+    struct, text = inferred_schema(df, column, objects_only=True), F.col(quoted(column))
+    parsed = F.try_parse_json(text)
+    is_object = F.coalesce(_is_object(parsed), F.lit(False))
+    value, misfit = _parsed(text, struct) if struct.fields else (F.struct(), F.lit(False))
+    bad = text.isNotNull() & (parsed.isNull() | (is_object & misfit))
+    fits = F.when(is_object & ~bad, value)
+    if on_bad == "error":
+        fits = F.when(bad, F.raise_error(F.concat(F.lit(f"unreadable document in {column}: "), text))).otherwise(fits)
+    return df.withColumns({column: fits, rest: F.when(~is_object, parsed)})
+
+
+def read_mixed_documents(spark: SparkSession, path: str, on_bad: str = "error") -> DataFrame:
+    """A folder of JSON documents of several shapes, one per line: a column per field of the objects, and ``_rest``.
+
+    As :func:`parse_mixed`; blank lines are no documents.
+    """
+    lines = spark.read.text(path).where("value rlike '[^ \\t\\r]'")
+    rows = parse_mixed(lines, "value", "_rest", on_bad)
+    names = rows.schema["value"].dataType.names
+    if "_rest" in names:
+        raise ValueError("a field of the documents is named _rest")
+    return rows.select(*[F.col(f"value.{quoted(n)}") for n in names], "_rest")
