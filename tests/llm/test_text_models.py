@@ -196,7 +196,7 @@ def test_tiles_cover_what_greedy_tiling_covers(spark, documents):
         noise = [rng.choice("abcd") + rng.choice("xy") for _ in range(rng.randint(0, 20))]
         rows.append((i, " ".join(words[cut:] + noise + words[:cut])))
     bench = spark.createDataFrame([*items, (50, None), (51, "..")], "item_id bigint, text string")
-    got = {(r.doc_id, r.item_id): r.coverage for r in decontam.contaminated(spark, documents([*rows, (99, None), (98, "")]), bench, slice_words=20).collect()}
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontam.contaminated(spark, documents([*rows, (99, None), (98, "")]), bench).collect()}
     want = {}
     for i, text in rows:
         for k, item in items:
