@@ -366,9 +366,10 @@ def without_duplicates(spark: SparkSession, documents: DataFrame, **more) -> Dat
         .groupBy("root")
         .agg(F.min("key").alias("key"))
     )
-    wordless = found.where("root is null").select("key").distinct()
-    kept = first.select("key", F.lit(True).alias("one")).unionByName(wordless.select("key", F.lit(False).alias("one")))
-    joined = keyed.join(stored(spark, kept, "kept"), "key")
-    own = [F.col(f"`own_{c}`") for c, kind in documents.dtypes if c != "text" and not kind.startswith("map")]
-    placed = joined.withColumn("place", F.row_number().over(W.partitionBy("key").orderBy(*own)))
-    return unprefixed(placed.where("not one or place = 1"), documents.columns)
+    worded = F.coalesce(F.col("own_text").rlike("[^ \\x09-\\x0D]"), F.lit(False))
+    whole = [F.col(f"`own_{c}`") for c in documents.columns]
+    order = [F.col(f"`own_{c}`") for c, kind in documents.dtypes if c != "text" and not kind.startswith(("map", "variant"))]
+    # Each task brings repeats of a row down to one before they meet.
+    single = keyed.where(worded).groupBy("key").agg(F.min_by(F.struct(*whole), F.struct(*order)).alias("row"))
+    kept = single.join(stored(spark, first.select("key"), "kept"), "key", "left_semi").select("row.*")
+    return unprefixed(kept.unionByName(keyed.where(~worded).drop("key")), documents.columns)

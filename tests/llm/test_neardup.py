@@ -98,3 +98,12 @@ def test_links_in_crowded_buckets_equal_brute_force(spark, documents, prose):
     assert [r[2] for r in want if r[0] == 57] == [7]
     got = neardup.near_duplicates(spark, documents(rows), k=1)
     assert sorted(map(tuple, got.collect()), key=repr) == want
+
+
+def test_rows_repeated_often_stay_once_and_wordless_ones_stay_all(spark, documents, prose):
+    text = prose(1, 30)
+    rows = [(5, text, "b")] * 300 + [(5, text, "a")] * 3 + [(6, text)] + [(7, " \t\r\n\x0b")] * 3 + [(None, None)] * 2 + [(8, "\u00a0")] * 2
+    kept = neardup.without_duplicates(spark, documents(rows).repartition(6))
+    assert sorted(((r.doc_id, r.text, r.lang) for r in kept.collect()), key=repr) == sorted(
+        [(5, text, "a"), *[(7, " \t\r\n\x0b", None)] * 3, *[(None, None, None)] * 2, (8, "\u00a0", None)], key=repr
+    )
