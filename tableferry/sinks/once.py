@@ -12,16 +12,17 @@ so the store must ignore an id that it has, as stores with insert tokens do.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.operators.columns import quoted
 from tableferry.session import filesystem
 from tableferry.sinks.bulk import BULK_ROWS
 
-#: Rows of a split; a split is one task's work, in batches.
+#: Rows of a split; a split is one task's work, in batches. More rows than this times the splits make more splits.
 SPLIT_ROWS = 1_000_000
 LEDGER = "plan string, split int, number bigint, digest string, n_rows bigint"
 COUNTERS = ("n_rows", "n_batches", "n_retries", "n_skipped_rows", "n_skipped_batches")
@@ -41,6 +42,40 @@ def ledger_entries(df: DataFrame, ledger: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(ledger).distinct()
 
 
+def _settled_splits(df: DataFrame, ledger: str, delivery: str, splits: int | None, split_rows: int) -> int:
+    """How many splits the delivery has in all its runs: ``splits``, or so many times more that each has about ``split_rows``.
+
+    The first run counts the rows and writes the number beside the ledger, before anything is sent. A
+    delivery that was begun without such a note keeps the number it was begun with.
+    """
+    spark = df.sparkSession
+    fs, path = filesystem(spark, f"{ledger}/_splits-{hashlib.sha256(f'{delivery} {splits}'.encode()).hexdigest()}")
+    if fs.exists(path):
+        return int(_read_text(spark, path))
+    begun = ledger_entries(df, ledger).where(F.col("plan") == delivery).take(1)
+    if begun and splits:
+        return splits
+    parts = -(-df.count() // split_rows)
+    found = max(1, parts if not splits else splits * -(-parts // splits))
+    if not begun:
+        draft = filesystem(spark, f"{ledger}/_draft-{uuid.uuid4().hex}")[1]
+        stream = fs.create(draft)
+        try:
+            stream.write(bytearray(str(found).encode()))
+        finally:
+            stream.close()
+        fs.rename(draft, path)
+    return found
+
+
+def _read_text(spark: SparkSession, path) -> str:
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def deliver_once(
     df: DataFrame,
     open_writer: Callable[[], object],
@@ -51,6 +86,7 @@ def deliver_once(
     splits: int | None = None,
     retry: int = 1,
     retry_codes: Iterable[int] = (),
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Send every row once, in batches of ``bulk_size``; one row of counters.
 
@@ -61,8 +97,9 @@ def deliver_once(
     a split (default: all columns); equal rows are alike, so their order says nothing.
 
     ``splits`` and ``bulk_size`` must be the same in all runs of a delivery, and the rows too: a batch that was
-    taken with other rows is a :class:`BatchChanged` error. ``splits`` defaults to one per million rows. Batches
-    that fail with a listed code are sent again as in ``write_bulk``; then the job fails, and what its
+    taken with other rows is a :class:`BatchChanged` error. ``splits`` defaults to one per ``split_rows``; a given
+    number is multiplied until a split has about as many, so that a task's sort does not grow with the table. The
+    first run notes the number beside the ledger and later ones go by it. Batches that fail with a listed code are sent again as in ``write_bulk``; then the job fails, and what its
     finished tasks sent stays recorded. A task holds one batch. A row that fills a third of the table
     lands in one split: it streams through in batches, sorted by Spark, but by one task.
     """
@@ -71,7 +108,7 @@ def deliver_once(
     names, codes = list(df.columns), frozenset(retry_codes)
     if "'" in delivery or not delivery:
         raise ValueError("a delivery needs a name without quotes")
-    splits = splits or max(1, -(-df.count() // SPLIT_ROWS))
+    splits = _settled_splits(df, ledger, delivery, splits, split_rows)
     own = [quoted(n) for n in names]
     packed = F.struct(*own).alias("row")
     split = F.pmod(F.xxhash64(*own), F.lit(splits)).cast("int").alias("split")
@@ -85,7 +122,7 @@ def deliver_once(
     order = [F.col(f"row.{quoted(n)}") for n in order_by or names]
     stream = (
         rows.unionByName(taken)
-        .repartition(splits, "split")
+        .repartitionById(splits, F.col("split"))
         .sortWithinPartitions("split", "kind", "number", *order, "hash")
     )
     counters = COUNTERS

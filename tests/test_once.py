@@ -175,3 +175,45 @@ def test_listed_codes_are_tried_again(spark, rows, tmp_path):
 
     done = counts(deliver_once(rows, store(folder, busy), ledger, "d", bulk_size=400, splits=1, retry=1, retry_codes=[159]))
     assert done["n_retries"] == 1 and stored(folder) == expected(rows)
+
+
+def tasks_of(spark, group, run):
+    """What ``run`` gives, and the most tasks of a stage in its jobs."""
+    spark.sparkContext.setJobGroup(group, group)
+    done = run()
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return done, max(s.numTasks for s in stages if s)
+
+
+def test_splits_follow_the_rows_and_stay_for_later_runs(spark, rows, tmp_path):
+    folder, ledger = str(tmp_path / "s"), str(tmp_path / "ledger")
+    first, tasks = tasks_of(spark, "first", lambda: counts(deliver_once(rows, store(folder), ledger, "d", bulk_size=10, splits=3, split_rows=50)))
+    # 1000 rows of 50 to a split: 20 parts, as a multiple of the 3 that were asked for.
+    assert tasks == 21 and first["n_rows"] == 1000 and stored(folder) == expected(rows)
+    held = {r.split: r.n for r in ledger_entries(rows, ledger).groupBy("split").agg(F.sum("n_rows").alias("n")).collect()}
+    assert set(held) <= set(range(21)) and sum(held.values()) == 1000 and max(held.values()) < 100
+    again = counts(deliver_once(rows, store(folder), ledger, "d", bulk_size=10, splits=3))
+    assert again["n_rows"] == 0 and again["n_skipped_rows"] == 1000 and len(sent(folder)) == first["n_batches"]
+    # Fewer rows would make fewer splits: the number of the first run holds, so that the change is seen.
+    with pytest.raises(Exception, match="BatchChanged"):
+        deliver_once(rows.where("id < 700"), store(folder), ledger, "d", bulk_size=10, splits=3, split_rows=50)
+
+
+def test_a_delivery_begun_without_a_note_keeps_its_splits(spark, rows, tmp_path):
+    folder, ledger = str(tmp_path / "s"), str(tmp_path / "ledger")
+    deliver_once(rows, store(folder), ledger, "d", bulk_size=10, splits=3)
+    for note in glob.glob(f"{ledger}/_splits-*") + glob.glob(f"{ledger}/._splits-*"):
+        os.remove(note)
+    again = counts(deliver_once(rows, store(folder), ledger, "d", bulk_size=10, splits=3, split_rows=50))
+    assert again["n_rows"] == 0 and again["n_skipped_rows"] == 1000
+
+
+def test_each_split_has_a_task_of_its_own(spark, rows, tmp_path):
+    def one_split(n, batch_id, now):
+        from pyspark import TaskContext
+
+        assert int(batch_id.split("-")[3]) == TaskContext.get().partitionId()
+
+    counts(deliver_once(rows, store(str(tmp_path / "s"), one_split), str(tmp_path / "ledger"), "d", bulk_size=100, splits=8))
