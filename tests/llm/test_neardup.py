@@ -107,3 +107,29 @@ def test_rows_repeated_often_stay_once_and_wordless_ones_stay_all(spark, documen
     assert sorted(((r.doc_id, r.text, r.lang) for r in kept.collect()), key=repr) == sorted(
         [(5, text, "a"), *[(7, " \t\r\n\x0b", None)] * 3, *[(None, None, None)] * 2, (8, "\u00a0", None)], key=repr
     )
+
+
+def test_a_worker_gets_few_whole_texts_at_once(spark, documents, monkeypatch):
+    from tableferry.llm import components, neardup, suffixdedup, texts
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    rows = spark.range(0, 7000, numPartitions=1)
+    before = spark.conf.get(components.ARROW_ROWS)
+    got = components.stored(spark, rows.mapInArrow(sizes, "n bigint"), "sizes", texts.BATCH_ROWS)
+    assert sorted(r.n for r in got.collect()) == [1000] * 7 and spark.conf.get(components.ARROW_ROWS) == before
+    asked = {}
+
+    def noted(spark, df, name, batch_rows=None):
+        asked[name] = batch_rows
+        return components.stored(spark, df, name, batch_rows)
+
+    monkeypatch.setattr(neardup, "stored", noted)
+    monkeypatch.setattr(suffixdedup, "stored", noted)
+    docs = documents([(i, f"one two three four five six {i // 2}") for i in range(20)])
+    neardup.without_duplicates(spark, suffixdedup.without_repeats(spark, docs)).collect()
+    assert all(asked[name] == texts.BATCH_ROWS for name in ("signed", "sets", "segments", "pieces"))
