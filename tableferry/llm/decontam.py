@@ -43,7 +43,7 @@ def _item_seeds(benchmark: DataFrame, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in texts.blocks(batch):
+            for block in texts.blocks(batch, limit=texts.SMALL_BLOCK_BYTES):
                 words, rows = texts.trimmed_hashes(*texts.flat(block.column("text")))
                 size = np.diff(rows)
                 for k in sorted(set(np.minimum(size, seed).tolist()) - {0}):
@@ -76,13 +76,13 @@ def _hits(spark: SparkSession, documents: DataFrame, lengths: list[int], sieve:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, low = shared.value, SIEVE_BITS - 1
         for batch in batches:
-            for block in texts.blocks(batch):
+            for block in texts.blocks(batch, limit=texts.SMALL_BLOCK_BYTES):
                 words, rows = texts.trimmed_hashes(*texts.flat(block.column("text")))
                 for k in lengths:
                     row, place, hashed = _seeds(words, rows, k)
                     at = hashed & low
                     hit = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-                    own = block.take(pa.array(row[hit]))
+                    own = block.select(["doc_id", "doc"]).take(pa.array(row[hit]))
                     yield pa.RecordBatch.from_arrays(
                         [own.column("doc_id"), own.column("doc"), pa.array(hashed[hit]), pa.array(place[hit])],
                         ["doc_id", "doc", "seed", "place"],

@@ -252,7 +252,7 @@ def recognised(spark: SparkSession, documents: DataFrame, least_score: float = L
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in texts.blocks(batch):
+            for block in texts.blocks(batch, limit=texts.SMALL_BLOCK_BYTES):
                 if network:
                     names, score, _ = _judged(network, block)
                     keep = [n != UNKNOWN and s >= least_score for n, s in zip(names, score.tolist())]

@@ -26,8 +26,6 @@ PERCENT = 80
 BANDS, ROWS = 32, 4
 #: Members of a bucket that all others are compared with.
 CENTRES = 3
-#: Bytes of text that a task shingles at once.
-BLOCK_BYTES = 1 << 19
 #: The centre of a bucket is the node nearest to this value, by exclusive or.
 _CENTRES = np.random.Generator(np.random.PCG64(9)).integers(-(1 << 63), 1 << 63, 64, dtype=np.int64)
 
@@ -91,7 +89,7 @@ def signed(documents: DataFrame, k: int, bands: int, rows: int, carried: tuple[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in texts.blocks(batch, limit=BLOCK_BYTES):
+            for block in texts.blocks(batch, limit=texts.SMALL_BLOCK_BYTES):
                 values, at = _sets(block, k)
                 full = np.diff(at) > 0
                 some = np.concatenate([[0], np.cumsum(np.diff(at)[full])])
@@ -115,7 +113,7 @@ def _shingle_sets(documents: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in texts.blocks(batch, limit=BLOCK_BYTES):
+            for block in texts.blocks(batch, limit=texts.SMALL_BLOCK_BYTES):
                 values, at = _sets(block, k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_nodes(values, at), pa.int64()), texts.lists(values.view(np.int64), at)],
